@@ -287,7 +287,7 @@ class Fixtures:
             F.when(F.col("p_type").isin("SMALL", "LARGE"), "L").when(F.col("p_type") != "PROMO", "I").alias("type"),
             "atc3", "atc4", "molecule", long_name.alias("product"), text.alias("pack"),
         ).distinct()
-        second = self.packs.filter(F.col("p_retailprice") >= 1000).select(
+        second = self.packs.filter(F.col("p_size") >= 10).select(
             "packid", "atc3", F.concat(F.lit("class "), "atc3").alias("atc3_cn"), "molecule",
             F.concat(F.lit("m "), "molecule").alias("molecule_cn"), long_name.alias("product"),
             F.when(F.col("p_type") != "MEDIUM", F.concat(F.lit("cn "), "p_name")).alias("product_cn"),

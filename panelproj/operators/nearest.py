@@ -72,8 +72,9 @@ def nearest_in_block(targets: DataFrame, donors: DataFrame, by: str, value: str,
     """Join every target to all donors of its block at the smallest absolute distance.
 
     `donors` names its block `by` too and its value `donor_value`; its other columns
-    must differ from the targets'.
+    must differ from the targets'. Both sides are written once to the shared folder.
     """
+    targets, donors = materialize(targets, "asking"), materialize(donors, "offered")
     near = nearest_values(targets, donors.select(by, F.col(donor_value).alias(value)), by, value)
     paired = na_join(targets, near, [by, value], "inner")
     return na_join(
@@ -155,6 +156,8 @@ def knn_join(
     vec = F.array(*[F.col(f"`{c}`").cast("double") for c in features]).alias("vec")
     donors = donors.select(F.col(key).alias("donor"), vec)
     targets = targets.select(F.col(key).alias("target"), vec)
+    # Cells pay off only when they are well filled.
+    cells = max(1, min(cells, donors.count() // 512))
     pivot_rows = donors.orderBy(F.xxhash64("donor"), "donor").limit(cells).select("vec").collect()
     result = "target string, donor string, distance double"
     if not pivot_rows:

@@ -31,6 +31,7 @@ def nearest_district_donor(districts: DataFrame) -> DataFrame:
     Of several equally close donors the first by (city, larger size) decides the
     donor *name*; all equally close donors of that name stay.
     """
+    districts = materialize(districts, "district-sizes")
     sampled = districts.filter(F.col("sample") > 0)
     own = sampled.select(*PLACE, F.col("city").alias("sample_city"), F.col("district").alias("sample_dist"))
     donors = sampled.select(

@@ -6,13 +6,15 @@ partitions are split. Group fills aggregate first (with map-side combine) and jo
 the one-row-per-key result back, so a hot key is never gathered in one task.
 """
 
+import math
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelproj.functions.missing import is_in, not_in, sum_known
+from panelproj.sources import materialize
 
 Keys = Sequence[str | tuple[str, str]]
 
@@ -112,11 +114,36 @@ def sort_rows(df: DataFrame, *keys: str) -> DataFrame:
     )
 
 
-def weighted_quantile(df: DataFrame, value: str, frequency: str, q: float) -> DataFrame:
-    """One row: linearly interpolated quantile of values given with their counts.
+def weighted_quantile(df: DataFrame, value: str, frequency: str, q: float, bins: int = 256) -> DataFrame:
+    """One row: linearly interpolated quantile of values given with their counts, exact.
 
-    The values are reduced to (value, count) pairs first, so the state of the final
-    aggregate is one entry per distinct value.
+    The values are reduced to (value, count) pairs and written once. Approximate
+    quantiles cut them into bins whose counts (at most `bins` numbers) reach the driver
+    and tell which one or two bins hold the wanted ranks; only those are sorted.
     """
-    pairs = df.groupBy(value).agg(F.sum(frequency).cast("bigint").alias("__n"))
-    return pairs.agg(F.percentile(value, q, F.col("__n")).alias("quantile"))
+    pairs = df.filter(F.col(value).isNotNull()).groupBy(F.col(value).cast("double").alias("v"))
+    pairs = materialize(pairs.agg(F.sum(frequency).cast("bigint").alias("n")), "quantile-pairs")
+    empty = pairs.agg(F.lit(None).cast("double").alias("quantile"))
+    cuts = pairs.agg(F.percentile_approx("v", [i / bins for i in range(1, bins)], 10000)).first()[0]
+    if not cuts:
+        return empty
+    edges = F.array(*[F.lit(c) for c in sorted(set(cuts))])
+    binned = pairs.withColumn("bin", F.size(F.filter(edges, lambda c: c < F.col("v"))))
+    counts = sorted((r["bin"], r["n"]) for r in binned.groupBy("bin").agg(F.sum("n").alias("n")).collect())
+    position = (sum(n for _, n in counts) - 1) * q
+    low, high = math.floor(position), math.ceil(position)
+    offsets, before = {}, 0
+    for bin_id, n in counts:
+        if before <= high and low < before + n:
+            offsets[bin_id] = before
+        before += n
+    start: Column = F.lit(0)
+    for bin_id, offset in offsets.items():
+        start = F.when(F.col("bin") == bin_id, F.lit(offset)).otherwise(start)
+    in_bin = Window.partitionBy("bin").orderBy("v")
+    ranked = binned.filter(F.col("bin").isin(list(offsets))).withColumn("through", start + F.sum("n").over(in_bin))
+    ends = ranked.agg(
+        F.min(F.when(F.col("through") > low, F.col("v"))).alias("low"),
+        F.min(F.when(F.col("through") > high, F.col("v"))).alias("high"),
+    )
+    return ends.select((F.col("low") + (F.col("high") - F.col("low")) * (position - low)).alias("quantile"))

@@ -13,6 +13,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by the cluster; a private one only when none is named (tests)."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="panelproj-")
         spark.conf.set("spark.checkpoint.dir", configured)
     return configured.rstrip("/")
