@@ -19,6 +19,17 @@ from panelproj.operators.dims import product_master, tender_packs, tender_rounds
 from panelproj.operators.relational import flag_membership, sum_by
 from panelproj.operators.standardize import FACT_KEYS
 
+TABLES = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, "
+    "o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+}
 QUARTERS = [f"{y}Q{q}" for y in range(1995, 2002) for q in range(1, 5)][:27]
 MONTHS = [f"{y}{m:02d}" for y in range(1995, 2002) for m in range(1, 13)][:80]
 CURRENT = "2001Q2"
@@ -42,7 +53,7 @@ class Fixtures:
         self.spark, self.dir = spark, sf_dir
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
+        return self.spark.read.schema(TABLES[name]).parquet(f"{self.dir}/{name}.parquet")
 
     @cached_property
     def places(self) -> DataFrame:
@@ -80,24 +91,19 @@ class Fixtures:
 
     @cached_property
     def sales(self) -> DataFrame:
-        orders = self.table("orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
+        month = F.date_format("o_orderdate", "yyyyMM")
+        orders = self.table("orders").select(
+            "o_orderkey", "o_custkey", "o_orderstatus", month.alias("date"), F.substring(month, 1, 4).alias("year"),
+            month_to_quarter(month).alias("quarter"),
+        )
         lines = self.table("lineitem").select(
-            "l_orderkey", "l_partkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus"
+            "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus"
         )
-        month = F.date_format("o_orderdate", "yyyyMM")
         return (
             lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
             .join(self.places, F.col("o_custkey") == F.col("c_custkey"))
             .join(self.packs, F.col("l_partkey") == F.col("p_partkey"))
-            .withColumns(
-                {
-                    "date": month,
-                    "year": F.substring(month, 1, 4),
-                    "quarter": month_to_quarter(month),
-                    "units": F.col("l_quantity"),
-                    "sales": F.floor("l_extendedprice").cast("double"),
-                }
-            )
+            .withColumns({"units": F.col("l_quantity"), "sales": F.floor("l_extendedprice").cast("double")})
         )
 
     @cached_property
@@ -202,17 +208,23 @@ class Fixtures:
     @cached_property
     def history(self) -> DataFrame:
         """Delivery-like rows of every quarter; codes are unpadded."""
-        p = F.col("p_size")
+        # Text attributes come from numbers, so that the grouping can hash.
+        prefix, version = F.substring("packid", 1, 5), F.max("l_linenumber").cast("string")
+        low, high = F.min(F.ascii("l_returnflag")), F.max(F.ascii("l_returnflag"))
+        line, p = F.max(F.ascii("l_linestatus")), F.col("p_size")
+        first_class = F.min(F.when(F.col("atc3") == "C09A", 1).when(F.col("atc3") == "C05A", 1).otherwise(2))
         return (
             self.sales.groupBy("city", "year", "quarter", "market", "packid")
             .agg(
-                F.min("atc3").alias("atc3"),
-                F.min("molecule").alias("molecule"),
-                F.max("p_name").alias("product_name"),
-                F.min("product").alias("product"),
-                F.when(F.max("l_returnflag") == "R", F.concat(F.lit("cn "), F.max("p_name"))).alias("product_cn"),
-                F.when(F.min("l_returnflag") == "A", "oral").when(F.min("l_returnflag") == "N", "topical").alias("route"),
-                F.when(F.max("l_linestatus") == "O", F.concat(F.lit("CORP "), F.min("l_returnflag"))).alias("corp"),
+                F.when(F.col("market") == "Diabetes", "A10H").when(F.col("market") == "IHD", "C08A")
+                .when((F.col("market") == "HTN") & (first_class == 1), "C09A").when(F.col("market") == "HTN", "C07A")
+                .when(first_class == 1, "C05A").otherwise("V03B").alias("atc3"),
+                F.concat(F.lit("MOL"), prefix).alias("molecule"),
+                F.concat(F.lit("PROD"), prefix, F.lit(" v"), version).alias("product_name"),
+                F.concat(F.lit("PROD"), prefix).alias("product"),
+                F.when(high == 82, F.concat(F.lit("cn v"), version)).alias("product_cn"),
+                F.when(low == 65, "oral").when(low == 78, "topical").alias("route"),
+                F.when(line == 79, F.concat(F.lit("CORP "), F.chr(low))).alias("corp"),
                 F.when(F.min("l_discount") == 0, "R1").alias("tender_round"),
                 F.sum("sales").alias("value_lc"),
                 F.sum("units").alias("units"),

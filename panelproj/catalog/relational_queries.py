@@ -158,10 +158,10 @@ def not_isin_null_kept(fx: Fixtures) -> DataFrame:
     "class_allowlist",
     with_views("""
     SELECT city, date, packid, atc3, product_cn FROM history
-    WHERE NOT (atc3 = 'V03B' AND NOT coalesce(product_cn IN ('cn red bolt', 'cn small ring'), FALSE))"""),
+    WHERE NOT (atc3 = 'V03B' AND NOT coalesce(product_cn IN ('cn v1', 'cn v7'), FALSE))"""),
 )
 def class_allowlist(fx: Fixtures) -> DataFrame:
-    rows = exclude_class(fx.history, "atc3", "V03B", "product_cn", ["cn red bolt", "cn small ring"])
+    rows = exclude_class(fx.history, "atc3", "V03B", "product_cn", ["cn v1", "cn v7"])
     return rows.select("city", "date", "packid", "atc3", "product_cn")
 
 

@@ -83,9 +83,10 @@ VIEWS = {
     "city_names": "SELECT n_name AS city, replace(n_name, 'NATION_', 'City ') AS city_en FROM nation",
     "history": """
         SELECT 'CHC' AS channel, replace(city, 'NATION_', 'City ') AS city_en, city, 'QTR' AS period_type, year,
-               substr(quarter, 5, 2) AS quarter, quarter AS date, min(atc3) AS atc3, market, market AS category_2,
-               min(molecule) AS molecule, max(p_name) AS product_name, min(product) AS product,
-               CASE WHEN max(l_returnflag) = 'R' THEN 'cn ' || max(p_name) END AS product_cn,
+               substr(quarter, 5, 2) AS quarter, quarter AS date,
+               CASE market WHEN 'HTN' THEN max(atc3) ELSE min(atc3) END AS atc3,
+               market, market AS category_2, min(molecule) AS molecule, min(product) || ' v' || max(l_linenumber) AS product_name,
+               min(product) AS product, CASE WHEN max(l_returnflag) = 'R' THEN 'cn v' || max(l_linenumber) END AS product_cn,
                CAST(CAST(packid AS INTEGER) AS VARCHAR) AS packid,
                CASE min(l_returnflag) WHEN 'A' THEN 'oral' WHEN 'N' THEN 'topical' END AS route,
                CASE WHEN max(l_linestatus) = 'O' THEN 'CORP ' || min(l_returnflag) END AS corp,

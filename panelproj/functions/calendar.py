@@ -10,9 +10,13 @@ def month_to_quarter(c: Column | str) -> Column:
     """202011 -> 2020Q4; NULL when the month is not 01..12."""
     c = _col(c)
     month = F.substring(c, 5, 2)
-    valid = month.rlike("^(0[1-9]|1[0-2])$")
-    q = F.ceil(F.when(valid, month.try_cast("int")) / 3).cast("string")
-    return F.concat(F.substring(c, 1, 4), F.lit("Q"), q)
+    quarter = (
+        F.when(month.isin("01", "02", "03"), "Q1")
+        .when(month.isin("04", "05", "06"), "Q2")
+        .when(month.isin("07", "08", "09"), "Q3")
+        .when(month.isin("10", "11", "12"), "Q4")
+    )
+    return F.concat(F.substring(c, 1, 4), quarter)
 
 
 def excel_serial_date(c: Column | str) -> Column:

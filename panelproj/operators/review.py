@@ -2,7 +2,7 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelproj.functions import half_even, is_in, ratio, substring_between, sum_known
@@ -89,17 +89,20 @@ def price_check_matrix(
     """Rounded average price per pack and quarter, best-selling packs of a market first.
 
     A pack with several prices in one quarter shows the highest, or all of them with
-    `as_lists` (every cell is then a sorted array).
+    `as_lists` (every cell is then a sorted array). One grouping gives all cells; without
+    `dates` the distinct quarters are read first.
     """
     ids = _present(delivery, ["channel", "city", "market", "molecule", "product_name", "packid"])
     quarters = delivery.filter(F.col("period_type") == "QTR")
-    prices = quarters.select(*ids, "date", half_even(ratio("value_lc", "units")).alias("price")).distinct()
-    if as_lists:
-        prices = prices.groupBy(*ids, "date").agg(F.array_sort(F.collect_list("price")).alias("price"))
-    matrix = pivot_wider(prices, ids, "date", ["price"], members=dates)
-    totals = quarters.groupBy(*ids).agg(sum_known("value_lc").alias("__sales"))
-    matrix = na_join(matrix, totals, ids, "inner")
+    price = half_even(ratio("value_lc", "units"))
+    if dates is None:
+        dates = sorted(r["date"] for r in quarters.select("date").distinct().collect())
+
+    def cell(date: str) -> Column:
+        value = F.when(F.col("date") == date, price)
+        return F.array_sort(F.collect_set(value)) if as_lists else F.max(value)
+
+    matrix = quarters.groupBy(*ids).agg(*[cell(d).alias(d) for d in dates], sum_known("value_lc").alias("__sales"))
     if sort:
         matrix = sort_rows(matrix, "channel", "city", "market", "-__sales")
     return matrix.drop("__sales")
-
