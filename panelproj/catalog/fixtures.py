@@ -326,9 +326,9 @@ class Fixtures:
 
     @cached_property
     def tender_parts(self) -> DataFrame:
-        """Awards in four rounds, taken from returned, taxed or discounted lines."""
+        """Awards in four rounds: what was sold without discount, by return and line status."""
         rounds = F.when(F.col("l_returnflag") == "A", 1).when(F.col("l_returnflag") == "N", 2).when(F.col("l_linestatus") == "F", 3).otherwise(4)
-        return self.sales.filter((F.col("l_discount") == 0) & (F.col("l_quantity") == 50)).select(
+        return self.sales.filter(F.col("l_discount") == 0).select(
             rounds.alias("sheet"),
             "province",
             F.concat(F.lit("m "), "molecule").alias("molecule_cn"),

@@ -499,14 +499,13 @@ def unpivot_split(fx: Fixtures) -> DataFrame:
 
 @query(
     "long_to_measures",
-    with_views("SELECT city, packid, date, units AS UNIT, counting_units AS SU, value_lc AS RENMINBI FROM history WHERE market = 'HTN'"),
+    with_views("SELECT city, market, packid, date, units AS UNIT, counting_units AS SU, value_lc AS RENMINBI FROM history"),
 )
 def long_to_measures(fx: Fixtures) -> DataFrame:
-    rows = fx.history.filter(F.col("market") == "HTN").select(
-        "city", "packid", "date", F.col("units").alias("UNIT"), F.col("counting_units").alias("SU"), F.col("value_lc").alias("RENMINBI")
-    )
-    long = pivot_longer(rows, ["city", "packid", "date"], ["UNIT", "SU", "RENMINBI"], "measure", "value")
-    return pivot_wider(long, ["city", "packid", "date"], "measure", ["value"], members=["UNIT", "SU", "RENMINBI"])
+    ids, names = ["city", "market", "packid", "date"], {"units": "UNIT", "counting_units": "SU", "value_lc": "RENMINBI"}
+    rows = fx.history.select(*ids, *names).withColumnsRenamed(names)
+    long = pivot_longer(rows, ids, list(names.values()), "measure", "value")
+    return pivot_wider(long, ids, "measure", ["value"], members=list(names.values()))
 
 
 @query(

@@ -151,7 +151,7 @@ VIEWS = {
         SELECT CASE WHEN l_returnflag = 'A' THEN 1 WHEN l_returnflag = 'N' THEN 2 WHEN l_linestatus = 'F' THEN 3 ELSE 4 END AS sheet,
                province, 'm ' || molecule AS molecule_cn, CAST(CAST(packid AS INTEGER) AS VARCHAR) AS pack_id,
                CAST(date_diff('day', DATE '1899-12-30', last_day(CAST(strptime(date, '%Y%m') AS DATE))) AS INTEGER) AS award_serial
-        FROM sales WHERE l_discount = 0 AND l_quantity = 50""",
+        FROM sales WHERE l_discount = 0""",
     "tenders": f"""
         SELECT DISTINCT t.city, p.molecule, t.packid, '中标产品' AS tender_win, t.sheet
         FROM (SELECT 'National' AS city, lpad(pack_id, 7, '0') AS packid, sheet FROM tender_parts

@@ -24,6 +24,28 @@ MASTER_COLUMNS = [
     "corp", "corp_cn", "type", "atc3", "atc4", "atc3_cn", "molecule", "molecule_cn", "product", "product_cn", "pack", "route",
 ]
 
+# Source column -> attribute, for the three product sources and the name list.
+PANEL_ATTRIBUTES = {
+    "Corp_Desc": "corp", "MNF_TYPE": "type", "ATC3_Code": "atc3", "ATC4_Code": "atc4", "Molecule_Desc": "molecule",
+    "Prd_desc": "product", "Pck_Desc": "pack", "Pack_ID": "packid",
+}
+MASTER_ATTRIBUTES = {
+    "CORP_NAME_EN": "corp", "MNF_TYPE": "type", "ATC3_CODE": "atc3", "ATC4_CODE": "atc4", "ATC3": "atc3_cn", "MOLE_NAME_EN": "molecule",
+    "MOLE_NAME_CH": "molecule_cn", "PROD_DESC": "product", "PROD_NAME_CH": "product_cn", "PCK_DESC": "pack", "NFC1_NAME_CH": "route",
+    "PACK_ID": "packid",
+}
+SUPPLEMENT_ATTRIBUTES = {"Pack Code": "packid", "Prod_CN_Name": "product_cn", "NFCI Description": "route"}
+NAME_ATTRIBUTES = {"PACK_ID": "packid", "PROD_NAME_CH": "product_cn", "NFC1_NAME_CH": "route"}
+DISABLED_MARK = "禁用"
+
+
+def attribute_source(df: DataFrame, columns: Mapping[str, str], strip: Mapping[str, str] | None = None) -> DataFrame:
+    """Distinct renamed attributes of one source; `strip` removes a pattern from a column first."""
+    strip = strip or {}
+    return df.select(
+        *[(strip_pattern(F.col(f"`{c}`"), strip[c]) if c in strip else F.col(f"`{c}`")).alias(n) for c, n in columns.items()]
+    ).distinct()
+
 
 def registered_centres(registry: DataFrame) -> DataFrame:
     """One row per centre with positive size: first known place, summed size."""

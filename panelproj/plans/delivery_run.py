@@ -1,8 +1,8 @@
 """The whole batch: standardised panels in, delivery table out.
 
-Three results are written to the shared folder on the way (combined panel, total
-sample, priced projection). They cut the lineage and are what a lost executor
-recomputes from.
+Every stage's result is written to the shared folder on the way (combined panel, total
+sample, priced projection, quarter). That cuts the lineage: after the loss of an executor
+only the current stage is recomputed.
 """
 
 from collections.abc import Sequence
@@ -84,12 +84,13 @@ def run_delivery(inputs: Inputs, params: Parameters) -> DataFrame:
         target_cities=params.target_cities,
         tcm_products=params.tcm_products,
         rules=params.rules,
-    ).filter(F.col("date") == params.quarter)
+    )
+    rows = materialize(rows.filter(F.col("date") == params.quarter), "quarter")
     city = growth_rollforward(
         rows, inputs.history, inputs.external,
         missing_city=params.missing_city, proxy_city=params.proxy_city, quarter=params.quarter,
     )
     residual = self_rollforward(inputs.history, molecule=params.residual_molecule, quarter=params.quarter)
-    current = complete_quarter(rows, params.missing_city, city, residual)
+    current = materialize(complete_quarter(rows, params.missing_city, city, residual), "current")
     mat = moving_annual_total(inputs.history, current, quarter=params.quarter)
     return assemble_delivery(inputs.history, current, mat)

@@ -11,7 +11,9 @@ from panelproj.session import build_session  # noqa: E402
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     shared = str(tmp_path_factory.mktemp("shared"))
-    return build_session("local[8]", 8, "tests", **{"spark.checkpoint.dir": shared, "spark.driver.memory": "8g"})
+    # Interpreted expressions: the frames are tiny, compiling their stages would take most of the time.
+    quick = {"spark.sql.codegen.wholeStage": "false", "spark.sql.codegen.factoryMode": "NO_CODEGEN"}
+    return build_session("local[8]", 4, "tests", **{"spark.checkpoint.dir": shared, "spark.driver.memory": "8g"}, **quick)
 
 
 @pytest.fixture(scope="session")

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from panelproj.operators.delivery import DELIVERY_COLUMNS, DELIVERY_LABELS, DIMENSIONS, MEASURES, classify, label_delivery, national_rollup, split_markets
-from panelproj.operators.dims import build_universe, city_tier, newest_attributes, product_master, tender_rounds
+from panelproj.operators.dims import DISABLED_MARK, NAME_ATTRIBUTES, attribute_source, build_universe, city_tier, newest_attributes, product_master, tender_rounds
 from panelproj.operators.periods import growth_rollforward, lead_growth, self_rollforward
 from panelproj.operators.project import tier_districts
 from panelproj.operators.review import duplicate_key_check, price_check_matrix, tender_coverage, uniformity_report
@@ -89,6 +89,11 @@ def test_product_master(spark):
     assert got[("2", "r1")].product_cn == "alt" and got[("3", None)].atc3_cn == "class"
 
 
+def test_attribute_source(spark, rows):
+    df = spark.createDataFrame([("01禁用", "n", None), ("01", "n", None)], "PACK_ID string, PROD_NAME_CH string, NFC1_NAME_CH string")
+    assert rows(attribute_source(df, NAME_ATTRIBUTES, {"PACK_ID": DISABLED_MARK}), "packid", "product_cn", "route") == [("01", "n", None)]
+
+
 def test_tender_rounds(spark, rows):
     packs = spark.createDataFrame([("National", "m", 2), ("c", "m", 2), ("c", "x", 1), ("c", None, 1), ("c", "m", 9)], "city string, molecule string, sheet int")
     out = tender_rounds(packs, labels={1: "4+7", 2: "扩围"}, merge_national=("扩围", "4+7"), exclude_molecules=["x"])
