@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelproj.catalog.fixtures import CURRENT, QUARTERS, ROUND_LABELS, TRACKED, Fixtures
-from panelproj.catalog.registry import query
+from panelproj.catalog.registry import query, rounded
 from panelproj.catalog.sql_views import FACT_KEYS, PLACE, with_views
 from panelproj.functions import (
     drop_suffix,
@@ -50,10 +50,6 @@ PLACE_COLUMNS = ["province", "city", "district"]
 NO_DONORS = ["AFRICA"]
 
 
-def rounded(df: DataFrame, **digits: int) -> DataFrame:
-    return df.withColumns({c: F.round(c, n) for c, n in digits.items()})
-
-
 # --- text, codes, periods ------------------------------------------------------------
 
 
@@ -273,7 +269,7 @@ def combine_panels_query(fx: Fixtures) -> DataFrame:
     "channel_extract",
     with_views(
         """
-    SELECT date, province, city, district, market, packid, sum(sales) AS sales, round(sum(units), 4) AS units,
+    SELECT date, province, city, district, market, packid, sum(sales) AS sales, floor(sum(units) * 10000 + 0.5) / 10000 AS units,
            'CHS' AS channel, 1 AS flag_sample
     FROM cleaned JOIN market_def USING (atc3, molecule) GROUP BY date, province, city, district, market, packid""",
         cleaned=(_CLEANED % ("price,", "WHERE regexp_matches(hospital_name, 'station')")).replace(
@@ -356,7 +352,7 @@ _KNN_VIEWS = {
 
 @query(
     "knn_neighbours",
-    with_views("SELECT province, city, district, pchc, rank, knn_pchc, round(distance, 6) AS distance FROM neighbours", **_KNN_VIEWS),
+    with_views("SELECT province, city, district, pchc, rank, knn_pchc, floor(distance * 1000000 + 0.5) / 1000000 AS distance FROM neighbours", **_KNN_VIEWS),
 )
 def knn_neighbours_query(fx: Fixtures) -> DataFrame:
     return rounded(knn_neighbours(fx.panel, target="ASIA"), distance=6)
@@ -364,7 +360,7 @@ def knn_neighbours_query(fx: Fixtures) -> DataFrame:
 
 @query(
     "knn_weights",
-    with_views("SELECT province, city, district, pchc, rank, knn_pchc, round(knn_weight, 8) AS knn_weight FROM weights", **_KNN_VIEWS),
+    with_views("SELECT province, city, district, pchc, rank, knn_pchc, floor(knn_weight * 100000000 + 0.5) / 100000000 AS knn_weight FROM weights", **_KNN_VIEWS),
 )
 def knn_weights_query(fx: Fixtures) -> DataFrame:
     return rounded(knn_weights(knn_neighbours(fx.panel, target="ASIA")), knn_weight=8)
@@ -374,8 +370,8 @@ def knn_weights_query(fx: Fixtures) -> DataFrame:
     "knn_impute",
     with_views(
         f"""
-    SELECT year, date, quarter, w.province, w.city, w.district, w.pchc, market, packid, round(sum(units * knn_weight), 4) AS units,
-           round(sum(sales * knn_weight), 2) AS sales, 1 AS flag
+    SELECT year, date, quarter, w.province, w.city, w.district, w.pchc, market, packid, floor(sum(units * knn_weight) * 10000 + 0.5) / 10000 AS units,
+           floor(sum(sales * knn_weight) * 100 + 0.5) / 100 AS sales, 1 AS flag
     FROM weights w JOIN panel f ON f.pchc = w.knn_pchc AND f.province <> 'ASIA' AND market = 'Diabetes' GROUP BY ALL""",
         **_KNN_VIEWS,
     ),
@@ -412,15 +408,16 @@ _PROJECT_VIEWS = {
                            = (u.province, u.city, u.district, u.pchc, c.market, c.packid, c.date)""",
     "rates": """
         SELECT sample_dist, market, packid, date, avg(flag_sample) AS share,
-               avg(sales) FILTER (WHERE flag_sample = 1) / avg(est) FILTER (WHERE flag_sample = 1) AS sales_rate,
-               avg(units) FILTER (WHERE flag_sample = 1) / avg(est) FILTER (WHERE flag_sample = 1) AS units_rate
+               sum(sales) FILTER (WHERE flag_sample = 1) / sum(est) FILTER (WHERE flag_sample = 1) AS sales_rate,
+               sum(units) FILTER (WHERE flag_sample = 1) / sum(est) FILTER (WHERE flag_sample = 1) AS units_rate
         FROM literal GROUP BY ALL""",
     "proj_sample": f"""
         SELECT date, {PLACE}, market, packid, flag_sample, sum(sales) AS sales, sum(units) AS units FROM (
-            SELECT l.date, l.province, l.city, l.district, l.market, l.packid, l.flag_sample,
-                   CASE WHEN l.flag_sample = 1 OR share >= 0.8 THEN l.sales ELSE est * sales_rate END AS sales,
-                   CASE WHEN l.flag_sample = 1 OR share >= 0.8 THEN l.units ELSE est * units_rate END AS units
-            FROM literal l JOIN rates USING (sample_dist, market, packid, date)
+            SELECT date, {PLACE}, market, packid, 1 AS flag_sample, sales, units FROM literal WHERE flag_sample = 1
+            UNION ALL
+            SELECT date, {PLACE}, market, packid, 0, sum(est) * sales_rate, sum(est) * units_rate
+            FROM literal JOIN rates USING (sample_dist, market, packid, date) WHERE flag_sample = 0 AND share < 0.8
+            GROUP BY date, {PLACE}, market, packid, sample_dist, sales_rate, units_rate
             UNION ALL
             SELECT date, {PLACE}, market, packid, 1, sales, units FROM panel WHERE pchc NOT IN (SELECT pchc FROM universe))
         WHERE sales > 0 AND units > 0 GROUP BY ALL""",
@@ -465,7 +462,7 @@ def nearest_district_donor_query(fx: Fixtures) -> DataFrame:
 @query(
     "nearest_tier_donor",
     with_views(
-        "SELECT province, city, district, tier, donor_province, donor_city, donor_district, round(slope, 8) AS slope FROM slopes",
+        "SELECT province, city, district, tier, donor_province, donor_city, donor_district, floor(slope * 100000000 + 0.5) / 100000000 AS slope FROM slopes",
         **_TIER_VIEWS,
         sample_facts="SELECT * FROM panel",
     ),
@@ -478,7 +475,7 @@ def nearest_tier_donor_query(fx: Fixtures) -> DataFrame:
 
 @query(
     "project_sample",
-    with_views(f"SELECT date, {PLACE}, market, packid, flag_sample, round(sales, 2) AS sales, round(units, 4) AS units FROM proj_sample", **_PROJECT_VIEWS),
+    with_views(f"SELECT date, {PLACE}, market, packid, flag_sample, floor(sales * 100 + 0.5) / 100 AS sales, floor(units * 10000 + 0.5) / 10000 AS units FROM proj_sample", **_PROJECT_VIEWS),
 )
 def project_sample_query(fx: Fixtures) -> DataFrame:
     return rounded(project_sample(fx.panel, fx.universe), sales=2, units=4)
@@ -490,7 +487,7 @@ def _projected(fx: Fixtures) -> DataFrame:
 
 @query(
     "project_nation",
-    with_views(f"SELECT date, {PLACE}, market, packid, flag_sample, round(sales, 2) AS sales, round(units, 4) AS units FROM proj_nation", **_NATION_VIEWS),
+    with_views(f"SELECT date, {PLACE}, market, packid, flag_sample, floor(sales * 100 + 0.5) / 100 AS sales, floor(units * 10000 + 0.5) / 10000 AS units FROM proj_nation", **_NATION_VIEWS),
 )
 def project_nation_query(fx: Fixtures) -> DataFrame:
     return rounded(_projected(fx), sales=2, units=4)
@@ -500,8 +497,8 @@ def project_nation_query(fx: Fixtures) -> DataFrame:
     "price_fallback",
     with_views(
         f"""
-    SELECT 'CHC' AS channel, year, date, quarter, {PLACE}, market, packid, flag_sample, round(price, 4) AS price,
-           round(sales / price, 4) AS units, round(sales, 2) AS sales
+    SELECT 'CHC' AS channel, year, date, quarter, {PLACE}, market, packid, flag_sample, floor(price * 10000 + 0.5) / 10000 AS price,
+           floor((sales / price) * 10000 + 0.5) / 10000 AS units, floor(sales * 100 + 0.5) / 100 AS sales
     FROM (SELECT d.*, coalesce(a.price, b.price, c.price, e.price, g.price, h.price) AS price FROM dated d
           LEFT JOIN (SELECT packid, province, city, quarter, sum(sales) / sum(units) AS price FROM panel GROUP BY ALL) a
               USING (packid, province, city, quarter)
@@ -555,7 +552,7 @@ def classify_rules(fx: Fixtures) -> DataFrame:
 
 @query(
     "split_factors",
-    with_views(f"SELECT city, date, market, packid, atc3, round(value_lc * {_SPLIT}, 2) AS value_adj, round(units * {_SPLIT}, 2) AS units_adj FROM history"),
+    with_views(f"SELECT city, date, market, packid, atc3, floor((value_lc * {_SPLIT}) * 100 + 0.5) / 100 AS value_adj, floor((units * {_SPLIT}) * 100 + 0.5) / 100 AS units_adj FROM history"),
 )
 def split_factors(fx: Fixtures) -> DataFrame:
     rows = split_markets(fx.history, {"value_adj": "value_lc", "units_adj": "units"})
@@ -633,8 +630,8 @@ _FORMAT_VIEWS = {
     with_views(
         """
     SELECT * EXCLUDE (src, rn) REPLACE (
-        arg_min(product_cn, rn) OVER (PARTITION BY product) AS product_cn, round(value_lc, 2) AS value_lc,
-        round(value_lc_raw, 2) AS value_lc_raw) FROM ranked""",
+        arg_min(product_cn, rn) OVER (PARTITION BY product) AS product_cn, floor(value_lc * 100 + 0.5) / 100 AS value_lc,
+        floor(value_lc_raw * 100 + 0.5) / 100 AS value_lc_raw) FROM ranked""",
         **_FORMAT_VIEWS,
     ),
 )
@@ -655,7 +652,7 @@ _MAT_PERIODS = QUARTERS[QUARTERS.index(CURRENT) - 3 : QUARTERS.index(CURRENT)]
 
 
 def _grown(value: str, units: str) -> str:
-    parts = [f"round(h.{m} * {value if m.startswith('value') else units}, 4) AS {m}" for m in MEASURES]
+    parts = [f"floor((h.{m} * {value if m.startswith('value') else units}) * 10000 + 0.5) / 10000 AS {m}" for m in MEASURES]
     return ", ".join(parts)
 
 

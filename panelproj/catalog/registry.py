@@ -3,6 +3,7 @@
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from panelproj.catalog.fixtures import Fixtures
 
@@ -31,3 +32,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return dict(_SQL)
+
+
+def rounded(df: DataFrame, **digits: int) -> DataFrame:
+    """Round by plain arithmetic, written the same way in the SQL: library rounding differs between engines at ties."""
+
+    def cut(c: str, n: int):
+        scale = F.lit(float(10**n))
+        return F.when(F.abs(c) < 1e14, F.floor(F.col(c) * scale + 0.5) / scale).otherwise(F.col(c))
+
+    return df.withColumns({c: cut(c, n) for c, n in digits.items()})

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelproj.catalog.fixtures import CURRENT, MONTHS, QUARTERS, Fixtures
-from panelproj.catalog.registry import query
+from panelproj.catalog.registry import query, rounded
 from panelproj.catalog.sql_views import FACT_KEYS, with_views
 from panelproj.functions import first_known, if_else, is_in, mean_known, not_in, ratio, sum_known
 from panelproj.operators.periods import lead_growth
@@ -242,11 +242,11 @@ def agg_sum_rollup(fx: Fixtures) -> DataFrame:
 
 @query(
     "agg_weighted_sum",
-    with_views("SELECT city, packid, round(sum(sales * (1 - l_discount)), 2) AS net FROM sales GROUP BY ALL"),
+    with_views("SELECT city, packid, floor((sum(sales * (1 - l_discount))) * 100 + 0.5) / 100 AS net FROM sales GROUP BY ALL"),
 )
 def agg_weighted_sum(fx: Fixtures) -> DataFrame:
     net = F.sum(F.col("sales") * (1 - F.col("l_discount")))
-    return fx.sales.groupBy("city", "packid").agg(F.round(net, 2).alias("net"))
+    return rounded(fx.sales.groupBy("city", "packid").agg(net.alias("net")), net=2)
 
 
 @query("agg_mean", with_views("SELECT province, city, district, avg(nullif(est, 0)) AS est FROM places GROUP BY ALL"))
