@@ -4,6 +4,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from panelproj.llm.quality_classifier import quality_scores
+from panelproj.llm.quality_rules import quality_rules, trusted_ids
+from panelproj.llm.simhash import simhash_components
 from panelproj.llm.substring_dedup import substring_dedup
 from panelproj.llm.suffix_dedup import suffix_dedup
 
@@ -12,6 +15,18 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(_table(spark, sf_dir, "documents"), trusted_ids(_table(spark, sf_dir, "labels")))
+
+
+def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_components(_table(spark, sf_dir, "documents"))
+
+
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup(_table(spark, sf_dir, "documents"))
 
@@ -23,6 +38,9 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op1_quality_rules,
+        op2_simhash_near_dedup,
+        op3_quality_classifier,
         op4_suffix_array_dedup,
         op10_substring_dedup,
     )
