@@ -4,8 +4,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from panelproj.llm.pii import personal_data
 from panelproj.llm.quality_classifier import quality_scores
 from panelproj.llm.quality_rules import quality_rules, trusted_ids
+from panelproj.llm.secret_scan import secret_scan
 from panelproj.llm.simhash import simhash_components
 from panelproj.llm.substring_dedup import substring_dedup
 from panelproj.llm.suffix_dedup import suffix_dedup
@@ -31,6 +33,14 @@ def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup(_table(spark, sf_dir, "documents"))
 
 
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan(_table(spark, sf_dir, "documents"))
+
+
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data(_table(spark, sf_dir, "documents"))
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(_table(spark, sf_dir, "documents"))
 
@@ -42,6 +52,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op2_simhash_near_dedup,
         op3_quality_classifier,
         op4_suffix_array_dedup,
+        op5_secret_scan,
+        op9_pii,
         op10_substring_dedup,
     )
 }
