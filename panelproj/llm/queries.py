@@ -4,6 +4,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from panelproj.llm import mixing
+from panelproj.llm.decontaminate import contamination
 from panelproj.llm.pii import personal_data
 from panelproj.llm.quality_classifier import quality_scores
 from panelproj.llm.quality_rules import quality_rules, trusted_ids
@@ -37,6 +39,14 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan(_table(spark, sf_dir, "documents"))
 
 
+def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data(_table(spark, sf_dir, "documents"))
 
@@ -53,9 +63,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op3_quality_classifier,
         op4_suffix_array_dedup,
         op5_secret_scan,
+        op7_benchmark_decontamination,
+        op8_source_mixing,
         op9_pii,
         op10_substring_dedup,
     )
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op8_source_mixing": mixing.ORACLE}
