@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from panelproj.llm import mixing
 from panelproj.llm.decontaminate import contamination
+from panelproj.llm.line_dedup import line_dedup
 from panelproj.llm.pii import personal_data
 from panelproj.llm.quality_classifier import quality_scores
 from panelproj.llm.quality_rules import quality_rules, trusted_ids
@@ -39,6 +40,10 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan(_table(spark, sf_dir, "documents"))
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup(_table(spark, sf_dir, "documents"))
+
+
 def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -63,6 +68,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op3_quality_classifier,
         op4_suffix_array_dedup,
         op5_secret_scan,
+        op6_line_dedup,
         op7_benchmark_decontamination,
         op8_source_mixing,
         op9_pii,

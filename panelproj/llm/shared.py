@@ -1,17 +1,31 @@
 """Cutting lineage in the folder that all executors share."""
 
 import tempfile
+import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """The rows written to the session's spark.checkpoint.dir; where none is set, a new local folder is used, which serves tests only."""
-    spark = df.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """The session's checkpoint folder; where none is set, a new local one is used, which serves tests only."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", "")
         if not folder and not context.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoint-"))
+    return context.getCheckpointDir()
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """The rows, written to the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
+
+
+def written(df: DataFrame) -> DataFrame:
+    """The rows as a Parquet table in the shared folder: smaller than a checkpoint, and read by column."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/written-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
