@@ -7,6 +7,7 @@ tasks at most and no lineage grows.
 """
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from panelproj.llm.decontaminate import clean_documents
 from panelproj.llm.line_dedup import without_repeated_lines
@@ -22,8 +23,9 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that nearly repeat an earlier line go; every document stays."""
-    return without_repeated_lines(docs)
+    """Lines that nearly repeat an earlier line go; every document stays, with the length of the text it is left with."""
+    kept = without_repeated_lines(docs)
+    return kept.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else kept
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
