@@ -2,7 +2,8 @@
 
 Documents are dealt into chunks of neighbouring ids. A chunk sends its distinct keys, cut by
 the keys' high bits into buckets, one row for each bucket that it has keys for; a bucket meets
-the keys of all chunks and answers each chunk with those that matter to it. A key that a third
+the keys of all chunks and answers each chunk with one bit for each of its keys; the chunk
+computes its keys again to read the bits. A key that a third
 of all documents hold is sent once by each chunk, so no bucket grows hot, and rows never
 outnumber windows. Lost tasks are computed again from the documents: nothing is kept outside
 Spark's shuffles.
@@ -17,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-CHUNK_BYTES = 16 << 20
+CHUNK_BYTES = 8 << 20
 ACCURACY = 20
 
 
@@ -55,42 +56,48 @@ def unpack(payload: bytes, planes: int = 8) -> np.ndarray:
     return wide.reshape(-1).view(">u8").astype(np.uint64)
 
 
+def _edges(keys: np.ndarray, buckets: int) -> np.ndarray:
+    """Where each bucket begins among sorted keys, and their number."""
+    of = ((keys >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+    return np.searchsorted(of, np.arange(buckets + 1, dtype=np.uint64))
+
+
 def dealt(chunk: int, keys: np.ndarray, buckets: int, planes: int = 8) -> pa.RecordBatch:
     """One row for each bucket that the sorted keys reach."""
-    of = ((keys >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
-    edges = np.searchsorted(of, np.arange(buckets + 1, dtype=np.uint64))
+    edges = _edges(keys, buckets)
     full = np.flatnonzero(np.diff(edges))
     return pa.record_batch({"chunk": np.full(len(full), chunk, np.int64), "bucket": full.astype(np.int64), "keys": pa.array([pack(keys[edges[b] : edges[b + 1]], planes) for b in full], pa.binary())})
 
 
 REQUEST = "chunk long, bucket long, keys binary"
 REQUEST_SCHEMA = pa.schema([("chunk", pa.int64()), ("bucket", pa.int64()), ("keys", pa.binary())])
-ANSWER = "chunk long, keys binary"
+ANSWER = "chunk long, bucket long, bits binary"
 
 
 def answered(requests: DataFrame, choose, planes: int = 8) -> DataFrame:
-    """Bring the chunks' keys together by bucket. choose(keys, chunks) gets them ordered by key and chunk and says which to send back, True for each."""
+    """Bring the chunks' keys together by bucket. choose(keys, chunks) gets them ordered by key and chunk and gives one truth value for each."""
 
     def meet(table: pa.Table) -> pa.Table:
         lists = [unpack(x.as_py(), planes) for c in table.column("keys").chunks for x in c]
-        chunks = np.repeat(table.column("chunk").to_numpy(), [len(x) for x in lists])
-        keys = np.concatenate(lists) if lists else np.zeros(0, np.uint64)
+        sizes = [len(x) for x in lists]
+        keys, chunks = np.concatenate(lists), np.repeat(table.column("chunk").to_numpy(), sizes)
         order = np.lexsort((chunks, keys))
-        keys, chunks = keys[order], chunks[order]
-        back = choose(keys, chunks)
-        keys, chunks = keys[back], chunks[back]
-        order = np.argsort(chunks, kind="stable")
-        keys, chunks = keys[order], chunks[order]
-        to, at = np.unique(chunks, return_index=True)
-        return pa.table({"chunk": to.astype(np.int64), "keys": pa.array([pack(x, planes) for x in np.split(keys, at[1:])] if len(to) else [], pa.binary())})
+        told = np.zeros(len(keys), dtype=bool)
+        told[order] = choose(keys[order], chunks[order])
+        bits = [np.packbits(x).tobytes() if x.any() else None for x in np.split(told, np.cumsum(sizes)[:-1])]
+        return pa.table({"chunk": table.column("chunk"), "bucket": table.column("bucket"), "bits": pa.array(bits, pa.binary())}).drop_null()
 
     return requests.groupBy("bucket").applyInArrow(meet, ANSWER)
 
 
-def merged(answers: pa.Table, planes: int = 8) -> np.ndarray:
-    """The sorted keys of a chunk's answers."""
-    lists = [unpack(x.as_py(), planes) for c in answers.column("keys").chunks for x in c]
-    return np.sort(np.concatenate(lists)) if lists else np.zeros(0, np.uint64)
+def told(answers: pa.Table, keys: np.ndarray, buckets: int) -> np.ndarray:
+    """The answer to each of the sorted keys that a chunk has sent; buckets without an answer say no."""
+    edges, out = _edges(keys, buckets), np.zeros(len(keys), dtype=bool)
+    bits = [x for c in answers.column("bits").chunks for x in c]
+    for b, row in zip(answers.column("bucket").to_pylist(), bits, strict=True):
+        size = int(edges[b + 1] - edges[b])
+        out[edges[b] : edges[b + 1]] = np.unpackbits(np.frombuffer(row.as_py(), np.uint8), count=size).astype(bool)
+    return out
 
 
 class Among:

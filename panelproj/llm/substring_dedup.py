@@ -36,13 +36,14 @@ def _ordered(table: pa.Table) -> pa.Table:
     return table.sort_by([("doc_id", "ascending"), ("text", "ascending")])
 
 
-def _sliced(table: pa.Table, roller: textbytes.Roller):
-    """Word keys and their rows' word offsets, slice by slice."""
+def _sliced(table: pa.Table):
+    """First and last row, bytes, words, and prefix sums of the words' keys, slice by slice."""
+    roller = textbytes.Roller()
     data, offsets = textbytes.buffer_of(table.column("text"))
     for lo, hi in textbytes.slices(offsets):
         part = data[offsets[lo] : offsets[hi]]
         words = textbytes.Words(part, offsets[lo : hi + 1] - offsets[lo])
-        yield lo, hi, part, words, roller.prefix(words.keys(roller, part))
+        yield lo, hi, part, words, roller.prefix(words.keys(roller, part)), roller
 
 
 def _grams(roller, words, prefix, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -61,15 +62,18 @@ def substring_dedup(docs: DataFrame, window: int = 20, with_text: bool = False)
     texts, buckets = repeats.chunked(docs)
     schema = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string())] + ([("kept_text", pa.string())] if with_text else []))
 
-    def probes(key: tuple, table: pa.Table) -> pa.Table:
-        roller, found = textbytes.Roller(), []
-        for _, _, _, words, prefix in _sliced(table, roller):
+    def probe_keys(slices) -> np.ndarray:
+        """A chunk's distinct rolling windows, flagged where they are blocks or occur again."""
+        found = []
+        for _, _, _, words, prefix, roller in slices:
             starts, keys = _grams(roller, words, prefix, block)
             inside = starts - words.first[words.row[starts]] if len(starts) else starts
             keys = _narrow(keys) | ((inside % block == 0).astype(np.uint64) << LOW)
             found.append(_folded(np.sort(keys)))
-        keys = _folded(np.sort(np.concatenate(found))) if found else np.zeros(0, np.uint64)
-        return pa.Table.from_batches([repeats.dealt(key[0].as_py(), keys, buckets, PLANES)])
+        return _folded(np.sort(np.concatenate(found)))
+
+    def probes(key: tuple, table: pa.Table) -> pa.Table:
+        return pa.Table.from_batches([repeats.dealt(key[0].as_py(), probe_keys(_sliced(table)), buckets, PLANES)])
 
     def hits(keys: np.ndarray, chunks: np.ndarray) -> np.ndarray:
         """Keys that are a block somewhere and occur more than once."""
@@ -81,14 +85,21 @@ def substring_dedup(docs: DataFrame, window: int = 20, with_text: bool = False)
         flags = np.bitwise_or.reduceat(keys >> LOW, head)
         return np.repeat((flags & ONE != 0) & ((size > 1) | (flags & TWO != 0)), size)
 
+    def near_hits(slices, answers: pa.Table) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Starts and keys of the full windows with a hit inside, slice by slice."""
+        sent = probe_keys(slices)
+        hit = repeats.Among(_narrow(sent[repeats.told(answers, sent, buckets)]))
+        out = []
+        for _, _, _, words, prefix, roller in slices:
+            starts, keys = _grams(roller, words, prefix, window)
+            near = _around(roller, words, prefix, starts, hit, block, window)
+            out.append((starts[near], keys[near]))
+        return out
+
     def extended(key: tuple, table: pa.Table, answers: pa.Table) -> pa.Table:
         if not table.num_rows:
             return pa.Table.from_batches([], schema=repeats.REQUEST_SCHEMA)
-        roller, hit, found = textbytes.Roller(), repeats.Among(np.unique(_narrow(repeats.merged(answers, PLANES)))), []
-        for _, _, _, words, prefix in _sliced(table, roller):
-            starts, keys = _grams(roller, words, prefix, window)
-            found.append(np.unique(keys[_around(roller, words, prefix, starts, hit, block, window)]))
-        keys = np.unique(np.concatenate(found)) if found else np.zeros(0, np.uint64)
+        keys = np.unique(np.concatenate([k for _, k in near_hits(list(_sliced(table)), answers)]))
         return pa.Table.from_batches([repeats.dealt(key[0].as_py(), keys, buckets)])
 
     def later(keys: np.ndarray, chunks: np.ndarray) -> np.ndarray:
@@ -98,23 +109,20 @@ def substring_dedup(docs: DataFrame, window: int = 20, with_text: bool = False)
     def removed(key: tuple, table: pa.Table, answers: pa.Table) -> pa.Table:
         if not table.num_rows:
             return pa.Table.from_batches([], schema=schema)
-        roller, table = textbytes.Roller(), _ordered(table)
-        kind = answers.column("kind").to_numpy()
-        hit = repeats.Among(np.unique(_narrow(repeats.merged(answers.filter(pa.array(kind == 0)), PLANES))))
-        before = repeats.Among(repeats.merged(answers.filter(pa.array(kind == 1))))
-        parts = []
-        for lo, hi, part, words, prefix in _sliced(table, roller):
-            starts, keys = _grams(roller, words, prefix, window)
-            near = _around(roller, words, prefix, starts, hit, block, window)
-            parts.append((hi - lo, part.tobytes(), words, starts[near], keys[near]))
+        table, kind = _ordered(table), answers.column("kind").to_numpy()
+        slices = list(_sliced(table))
+        near = near_hits(slices, answers.filter(pa.array(kind == 0)))
+        every = np.concatenate([keys for _, keys in near])
+        sent, at_first, which = np.unique(every, return_index=True, return_inverse=True)
+        late_ones = repeats.told(answers.filter(pa.array(kind == 1)), sent, buckets)[which]
         # of equal windows in this chunk all but the first are later ones
-        every = np.concatenate([keys for *_, keys in parts])
-        first = np.zeros(len(every), dtype=bool)
-        first[np.unique(every, return_index=True)[1]] = True
+        again = np.ones(len(every), dtype=bool)
+        again[at_first] = False
+        late_ones |= again
         at, counts, gone, digests, kept_texts = 0, [], [], [], []
-        for rows, part, words, starts, keys in parts:
-            late = ~first[at : at + len(keys)] | before(keys)
-            at += len(keys)
+        for (lo, hi, data, words, _, _), (starts, _) in zip(slices, near, strict=True):
+            rows, part, late = hi - lo, data.tobytes(), late_ones[at : at + len(starts)]
+            at += len(starts)
             stay = np.flatnonzero(~textbytes.covered(starts[late], window, len(words.starts)))
             left = np.bincount(words.row[stay], minlength=rows)
             counts += words.counts.tolist()
@@ -153,7 +161,6 @@ def _around(roller, words, prefix, starts: np.ndarray, hit: repeats.Among, block
     """Of the full windows' starts: those with a hit of block length inside, as indexes."""
     small, keys = _grams(roller, words, prefix, block)
     small = small[hit(_narrow(keys))]
-    steps = np.zeros(len(words.starts) + 1, np.int32)
-    np.add.at(steps, np.maximum(small - (window - block), words.first[words.row[small]]) if len(small) else small, 1)
-    np.add.at(steps, small + 1, -1)
+    n = len(words.starts) + 1
+    steps = np.bincount(np.maximum(small - (window - block), words.first[words.row[small]]) if len(small) else small, minlength=n) - np.bincount(small + 1, minlength=n)
     return np.flatnonzero((np.cumsum(steps[:-1]) > 0)[starts])

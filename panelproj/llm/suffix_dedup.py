@@ -48,11 +48,12 @@ def suffix_dedup(docs: DataFrame, length: int = 200, with_text: bool = False) ->
     on_cover[COVER] = True
     schema = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string())] + ([("kept", pa.binary())] if with_text else []))
 
-    def parts(table: pa.Table, roller: textbytes.Roller):
+    def parts(table: pa.Table):
+        roller = textbytes.Roller()
         data, offsets = textbytes.buffer_of(table.column("text"))
         for lo, hi in textbytes.slices(offsets):
             part, edges = data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]
-            yield part, edges, roller.prefix(textbytes.BYTE_VALUES[part])
+            yield part, edges, roller.prefix(textbytes.BYTE_VALUES[part]), roller
 
     def samples(edges: np.ndarray, prefix: np.ndarray, roller: textbytes.Roller) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Positions on the cover, the begin of their row, and their keys."""
@@ -62,33 +63,37 @@ def suffix_dedup(docs: DataFrame, length: int = 200, with_text: bool = False) ->
         at, begin = at[chosen], begin[chosen]
         return at, begin, _narrow(roller.keys(prefix, at, at + depth))
 
-    def sample_keys(key: tuple, table: pa.Table) -> pa.Table:
-        roller = textbytes.Roller()
-        keys = [_folded(np.sort(samples(edges, prefix, roller)[2])) for _, edges, prefix in parts(table, roller)]
-        return pa.Table.from_batches([repeats.dealt(key[0].as_py(), _folded(np.sort(np.concatenate(keys))), buckets, PLANES)])
+    def sample_keys(pieces) -> np.ndarray:
+        """A chunk's distinct cover samples, flagged where they occur again."""
+        return _folded(np.sort(np.concatenate([samples(edges, prefix, roller)[2] for _, edges, prefix, roller in pieces])))
+
+    def sample_requests(key: tuple, table: pa.Table) -> pa.Table:
+        return pa.Table.from_batches([repeats.dealt(key[0].as_py(), sample_keys(parts(table)), buckets, PLANES)])
 
     def ties(keys: np.ndarray, chunks: np.ndarray) -> np.ndarray:
         plain = _narrow(keys)
         same = repeats.same_before(plain)
         return (keys & REPEATED != 0) | same | np.append(same[1:], False) if len(keys) else same
 
-    def tied_suffixes(edges, prefix, roller, tied: repeats.Among) -> tuple[np.ndarray, np.ndarray]:
-        """Starts of full length whose cover sample has a tie, and their keys."""
-        at, begin, keys = samples(edges, prefix, roller)
-        hit = tied(keys)
-        steps = np.zeros(edges[-1] + 1, np.int32)
-        np.add.at(steps, np.maximum(at[hit] - PERIOD + 1, begin[hit]), 1)
-        np.add.at(steps, at[hit] + 1, -1)
-        starts = textbytes.window_starts(edges, length)
-        starts = starts[(np.cumsum(steps[:-1]) > 0)[starts]]
-        return starts, _whole(roller.keys(prefix, starts, starts + length))
+    def tied_suffixes(pieces, answers: pa.Table) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Starts of full length whose cover sample has a tie, and their keys, piece by piece."""
+        sent = sample_keys(pieces)
+        tied, out = repeats.Among(_narrow(sent[repeats.told(answers, sent, buckets)])), []
+        for _, edges, prefix, roller in pieces:
+            at, begin, keys = samples(edges, prefix, roller)
+            hit = tied(keys)
+            n = int(edges[-1]) + 1
+            steps = np.bincount(np.maximum(at[hit] - PERIOD + 1, begin[hit]), minlength=n) - np.bincount(at[hit] + 1, minlength=n)
+            starts = textbytes.window_starts(edges, length)
+            starts = starts[(np.cumsum(steps[:-1]) > 0)[starts]]
+            out.append((starts, _whole(roller.keys(prefix, starts, starts + length))))
+        return out
 
     def long_ties(key: tuple, table: pa.Table, answers: pa.Table) -> pa.Table:
         if not table.num_rows:
             return pa.Table.from_batches([], schema=repeats.REQUEST_SCHEMA)
-        roller, tied = textbytes.Roller(), repeats.Among(np.unique(_narrow(repeats.merged(answers, PLANES))))
-        keys = [_marked(np.sort(tied_suffixes(edges, prefix, roller, tied)[1])) for _, edges, prefix in parts(table, roller)]
-        return pa.Table.from_batches([repeats.dealt(key[0].as_py(), _marked(np.sort(np.concatenate(keys))), buckets)])
+        keys = np.concatenate([k for _, k in tied_suffixes(list(parts(table)), answers)])
+        return pa.Table.from_batches([repeats.dealt(key[0].as_py(), _marked(np.sort(keys)), buckets)])
 
     def repeated(keys: np.ndarray, chunks: np.ndarray) -> np.ndarray:
         plain = _whole(keys)
@@ -98,26 +103,30 @@ def suffix_dedup(docs: DataFrame, length: int = 200, with_text: bool = False) ->
     def removed(key: tuple, table: pa.Table, answers: pa.Table) -> pa.Table:
         if not table.num_rows:
             return pa.Table.from_batches([], schema=schema)
-        kind = answers.column("kind").to_numpy()
-        tied = repeats.Among(np.unique(_narrow(repeats.merged(answers.filter(pa.array(kind == 0)), PLANES))))
-        again = repeats.Among(np.unique(_whole(repeats.merged(answers.filter(pa.array(kind == 1))))))
-        roller, sizes, gone, spans, digests, kept = textbytes.Roller(), [], [], [], [], []
-        for part, edges, prefix in parts(table, roller):
-            starts, keys = tied_suffixes(edges, prefix, roller, tied)
-            mask = textbytes.covered(starts[again(keys)], length, len(part))
+        kind, pieces = answers.column("kind").to_numpy(), list(parts(table))
+        tied = tied_suffixes(pieces, answers.filter(pa.array(kind == 0)))
+        keys = np.concatenate([k for _, k in tied])
+        order = np.argsort(keys)
+        keys = keys[order]
+        several = np.zeros(len(keys), dtype=bool)
+        several[order] = repeats.told(answers.filter(pa.array(kind == 1)), _marked(keys), buckets)[np.cumsum(~repeats.same_before(keys)) - 1]
+        at, sizes, gone, spans, digests, kept = 0, [], [], [], [], []
+        for (part, edges, _, _), (starts, _) in zip(pieces, tied, strict=True):
+            mask = textbytes.covered(starts[several[at : at + len(starts)]], length, len(part))
+            at += len(starts)
             rows = textbytes.row_sums(mask, edges)
             sizes.append(np.diff(edges))
             gone.append(rows)
             spans.append(textbytes.run_counts(mask, edges))
-            left, at = part[~mask].tobytes(), np.concatenate(([0], np.cumsum(np.diff(edges) - rows))).tolist()
-            texts_left = [left[a:b] for a, b in zip(at[:-1], at[1:], strict=True)]
+            left, ends = part[~mask].tobytes(), np.concatenate(([0], np.cumsum(np.diff(edges) - rows))).tolist()
+            texts_left = [left[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
             digests += [hashlib.sha256(x).hexdigest() for x in texts_left]
             if with_text:
                 kept += texts_left
         columns = [table.column("doc_id"), *(pa.array(np.concatenate(x), pa.int64()) for x in (sizes, gone, spans)), pa.array(digests, pa.string())]
         return pa.table(columns + ([pa.array(kept, pa.binary())] if with_text else []), schema=schema)
 
-    asked = texts.groupBy("chunk").applyInArrow(sample_keys, repeats.REQUEST)
+    asked = texts.groupBy("chunk").applyInArrow(sample_requests, repeats.REQUEST)
     found = repeats.answered(asked, ties, PLANES)
     suffixes = texts.groupBy("chunk").cogroup(found.groupBy("chunk")).applyInArrow(long_ties, repeats.REQUEST)
     several = repeats.answered(suffixes, repeated)

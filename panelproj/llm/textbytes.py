@@ -98,16 +98,16 @@ def window_starts(offsets: np.ndarray, length: int) -> np.ndarray:
     sizes = np.diff(offsets)
     steps = np.zeros(offsets[-1] + 1, np.int64)
     fits = sizes >= length
-    np.add.at(steps, offsets[:-1][fits], 1)
-    np.add.at(steps, (offsets[1:] - length + 1)[fits], -1)
+    steps[offsets[:-1][fits]] += 1
+    steps[(offsets[1:] - length + 1)[fits]] -= 1
     return np.flatnonzero(np.cumsum(steps[:-1]))
 
 
 def covered(starts: np.ndarray, length: int, total: int) -> np.ndarray:
-    """Which of the positions lie in a window of this length that begins at one of the starts."""
+    """Which of the positions lie in a window of this length that begins at one of the distinct starts."""
     steps = np.zeros(total + 1, np.int32)
-    np.add.at(steps, starts, 1)
-    np.add.at(steps, starts + length, -1)
+    steps[starts] += 1
+    steps[starts + length] -= 1
     return np.cumsum(steps[:-1]) > 0
 
 
