@@ -18,6 +18,7 @@ from panelproj.functions import month_to_quarter
 from panelproj.operators.dims import product_master, tender_packs, tender_rounds
 from panelproj.operators.relational import flag_membership, sum_by
 from panelproj.operators.standardize import FACT_KEYS
+from panelproj.sources import materialize
 
 TABLES = {
     "region": "r_regionkey int, r_name string",
@@ -32,7 +33,6 @@ TABLES = {
 }
 QUARTERS = [f"{y}Q{q}" for y in range(1995, 2002) for q in range(1, 5)][:27]
 MONTHS = [f"{y}{m:02d}" for y in range(1995, 2002) for m in range(1, 13)][:80]
-CURRENT = "2001Q2"
 ATC4 = {"ECONOMY": "C09A1", "STANDARD": "C07A0", "SMALL": "C08A0", "LARGE": "A10H0", "MEDIUM": "C05A0", "PROMO": "V03B1"}
 MARKET = {
     "ECONOMY": "HTN", "STANDARD": "HTN", "SMALL": "IHD", "LARGE": "Diabetes", "MEDIUM": "Venous Disease", "PROMO": "Venous Disease",
@@ -258,13 +258,23 @@ class Fixtures:
             )
         )
 
+    @cached_property
+    def quarter(self) -> str:
+        """The last quarter with orders."""
+        return self.table("orders").agg(month_to_quarter(F.date_format(F.max("o_orderdate"), "yyyyMM")).alias("q")).first()["q"]
+
+    @cached_property
+    def written_history(self) -> DataFrame:
+        """The history as a stored table, as deliveries are."""
+        return materialize(self.history, "history")
+
     @cached_property
     def past(self) -> DataFrame:
-        return self.history.filter(F.col("date") < CURRENT)
+        return self.written_history.filter(F.col("date") < self.quarter)
 
     @cached_property
     def current(self) -> DataFrame:
-        return self.history.filter(F.col("date") == CURRENT).withColumn("packid", F.lpad("packid", 7, "0"))
+        return self.written_history.filter(F.col("date") == self.quarter).withColumn("packid", F.lpad("packid", 7, "0"))
 
     @cached_property
     def residual(self) -> DataFrame:

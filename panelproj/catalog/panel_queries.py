@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelproj.catalog.fixtures import CURRENT, QUARTERS, ROUND_LABELS, TRACKED, Fixtures
+from panelproj.catalog.fixtures import QUARTERS, ROUND_LABELS, TRACKED, Fixtures
 from panelproj.catalog.registry import query, rounded
 from panelproj.catalog.sql_views import FACT_KEYS, PLACE, with_views
 from panelproj.functions import (
@@ -248,7 +248,7 @@ def place_map_query(fx: Fixtures) -> DataFrame:
                                 arg_min(district, rn) FILTER (WHERE district IS NOT NULL) AS district FROM stacked GROUP BY pchc) p
     USING (pchc) GROUP BY ALL""",
         stacked=f"""
-        SELECT *, row_number() OVER (ORDER BY src, date, market, packid, province, city, district NULLS FIRST) AS rn FROM (
+        SELECT *, row_number() OVER (ORDER BY src, date, market, packid, province, city, district) AS rn FROM (
             SELECT 0 AS src, year, date, quarter, province, city, CASE WHEN p_type <> 'LARGE' THEN district END AS district,
                    pchc, market, packid, units, sales FROM sales WHERE o_orderstatus = 'P'
             UNION ALL
@@ -621,7 +621,12 @@ _FORMAT_VIEWS = {
         WHERE NOT coalesce(atc3 = 'V03B' AND NOT coalesce(product_name IN ('PROD00003  RED', 'PROD00011  SMA'), FALSE), FALSE)
           AND r.city IN ('National', 'NATION_2', 'NATION_5', 'NATION_9') AND value_lc > 0 AND units > 0 AND counting_units > 0""",
     "ranked": """
-        SELECT *, row_number() OVER (ORDER BY src, channel, date, city, market, packid, product_cn NULLS FIRST) AS rn FROM kept""",
+        SELECT *, row_number() OVER (ORDER BY src,
+            CASE src WHEN 0 THEN struct_pack(a := channel, b := period_type, c := year, d := quarter, e := date) END,
+            CASE src WHEN 0 THEN atc3 END, CASE src WHEN 0 THEN atc4 END, CASE src WHEN 0 THEN market END,
+            CASE src WHEN 0 THEN category_1 END, CASE src WHEN 0 THEN category_2 END, CASE src WHEN 0 THEN molecule END,
+            CASE src WHEN 0 THEN product_name END, CASE src WHEN 0 THEN product END,
+            channel, date, city, market, packid, product_cn) AS rn FROM kept""",
 }
 
 
@@ -646,9 +651,7 @@ def format_delivery_query(fx: Fixtures) -> DataFrame:
 
 # --- periods ---------------------------------------------------------------------------------------------
 
-_PREVIOUS = QUARTERS[QUARTERS.index(CURRENT) - 1]
-_BEFORE = QUARTERS[QUARTERS.index(CURRENT) - 2]
-_MAT_PERIODS = QUARTERS[QUARTERS.index(CURRENT) - 3 : QUARTERS.index(CURRENT)]
+_THIS, _PREVIOUS, _BEFORE = (f"(SELECT q{i} FROM this_quarter)" for i in range(3))
 
 
 def _grown(value: str, units: str) -> str:
@@ -665,20 +668,20 @@ _ROLL_DIMS = (
 @query(
     "growth_rollforward",
     with_views(f"""
-    SELECT {_ROLL_DIMS}, lpad(h.packid, 7, '0') AS packid, '{CURRENT[4:]}' AS quarter, '{CURRENT}' AS date,
+    SELECT {_ROLL_DIMS}, lpad(h.packid, 7, '0') AS packid, substr({_THIS}, 5) AS quarter, {_THIS} AS date,
            {_grown('coalesce(g.gs, x.gs)', 'coalesce(g.gu, x.gu)')}
     FROM past h
     LEFT JOIN (SELECT a.market, a.packid, b.value_lc / a.value_lc AS gs, b.units / a.units AS gu
                FROM past a JOIN current_q b ON b.city = 'NATION_0' AND a.city = 'NATION_0' AND a.market = b.market
-                    AND lpad(a.packid, 7, '0') = b.packid AND a.date = '{_PREVIOUS}') g
+                    AND lpad(a.packid, 7, '0') = b.packid AND a.date = {_PREVIOUS}) g
         ON g.market = h.market AND g.packid = h.packid
-    LEFT JOIN (SELECT pack_id, "{CURRENT}_RENMINBI" / "{_PREVIOUS}_RENMINBI" AS gs, "{CURRENT}_UNIT" / "{_PREVIOUS}_UNIT" AS gu FROM external) x
+    LEFT JOIN (SELECT * FROM pack_growth WHERE isfinite(gs) AND isfinite(gu)) x
         ON x.pack_id = lpad(h.packid, 7, '0')
-    WHERE h.city = 'NATION_20' AND h.date = '{_PREVIOUS}' AND coalesce(g.gs, x.gs) > 0 AND coalesce(g.gu, x.gu) > 0"""),
+    WHERE h.city = 'NATION_20' AND h.date = {_PREVIOUS} AND coalesce(g.gs, x.gs) > 0 AND coalesce(g.gu, x.gu) > 0"""),
 )
 def growth_rollforward_query(fx: Fixtures) -> DataFrame:
     rows = growth_rollforward(
-        fx.current, fx.past, fx.external, missing_city="NATION_20", proxy_city="NATION_0", quarter=CURRENT
+        fx.current, fx.past, fx.external, missing_city="NATION_20", proxy_city="NATION_0", quarter=fx.quarter
     )
     return rounded(rows, **dict.fromkeys(MEASURES, 4))
 
@@ -687,26 +690,26 @@ def growth_rollforward_query(fx: Fixtures) -> DataFrame:
     "self_rollforward",
     with_views(f"""
     SELECT h.channel, h.city_en, h.city, h.period_type, h.year, h.molecule, h.category_2, h.market, lpad(h.packid, 7, '0') AS packid,
-           '{CURRENT[4:]}' AS quarter, '{CURRENT}' AS date, {_grown('(h.value_lc / b.value_lc)', '(h.units / b.units)')}
-    FROM residual h JOIN residual b ON h.city = b.city AND h.date = '{_PREVIOUS}' AND b.date = '{_BEFORE}'"""),
+           substr({_THIS}, 5) AS quarter, {_THIS} AS date, {_grown('(h.value_lc / b.value_lc)', '(h.units / b.units)')}
+    FROM residual h JOIN residual b ON h.city = b.city AND h.date = {_PREVIOUS} AND b.date = {_BEFORE}"""),
 )
 def self_rollforward_query(fx: Fixtures) -> DataFrame:
-    rows = self_rollforward(fx.residual, molecule="Others", quarter=CURRENT)
+    rows = self_rollforward(fx.residual, molecule="Others", quarter=fx.quarter)
     return rounded(rows, **dict.fromkeys(MEASURES, 4))
 
 
 _MAT_VIEWS = {
-    "mat_rows": f"""
-        SELECT 0 AS src, * REPLACE (lpad(packid, 7, '0') AS packid) FROM past WHERE date IN ({', '.join(repr(p) for p in _MAT_PERIODS)})
+    "mat_rows": """
+        SELECT 0 AS src, * REPLACE (lpad(packid, 7, '0') AS packid) FROM past WHERE date >= (SELECT q3 FROM this_quarter)
         UNION ALL SELECT 1, * FROM current_q""",
     "mat_named": """
         SELECT * REPLACE (last_value(product_name) OVER w AS product_name, last_value(product) OVER w AS product,
             last_value(corp) OVER w AS corp, first_value(route IGNORE NULLS) OVER w AS route,
             last_value(tender_round IGNORE NULLS) OVER w AS tender_round)
-        FROM mat_rows WINDOW w AS (PARTITION BY city, packid ORDER BY src, date, channel, market
+        FROM mat_rows WINDOW w AS (PARTITION BY city, packid ORDER BY src, channel, period_type DESC, date, city_en, market
             ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)""",
     "mat": f"""
-        SELECT channel, city_en, city, 'MAT' AS period_type, '{CURRENT[:4]}' AS year, '{CURRENT[4:]}' AS quarter, '{CURRENT}' AS date,
+        SELECT channel, city_en, city, 'MAT' AS period_type, substr({_THIS}, 1, 4) AS year, substr({_THIS}, 5) AS quarter, {_THIS} AS date,
                atc3, market, category_2, molecule, product_name, product, product_cn, packid, route, corp, tender_round,
                {', '.join(f'sum({m}) AS {m}' for m in MEASURES)}
         FROM mat_named
@@ -717,7 +720,7 @@ _MAT_VIEWS = {
 
 @query("moving_annual_total", with_views("SELECT * FROM mat", **_MAT_VIEWS))
 def moving_annual_total_query(fx: Fixtures) -> DataFrame:
-    return moving_annual_total(fx.past, fx.current, quarter=CURRENT)
+    return moving_annual_total(fx.past, fx.current, quarter=fx.quarter)
 
 
 _ASSEMBLE_VIEWS = {
@@ -735,13 +738,15 @@ _ASSEMBLE_VIEWS = {
     SELECT * EXCLUDE (src, product_name, product, corp, product_cn, route),
            last_value(product_name) OVER w AS product_name, last_value(product) OVER w AS product, last_value(corp) OVER w AS corp,
            last_value(product_cn IGNORE NULLS) OVER w AS product_cn, first_value(route IGNORE NULLS) OVER w AS route
-    FROM assembled WINDOW w AS (PARTITION BY packid ORDER BY src, period_type, date, channel, city, market
-        , product_name, product_cn NULLS FIRST, corp NULLS FIRST ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)""",
+    FROM assembled WINDOW w AS (PARTITION BY packid ORDER BY src, channel, CASE WHEN src < 2 THEN period_type END DESC,
+        CASE WHEN src < 2 THEN date END, CASE src WHEN 1 THEN city ELSE city_en END, CASE WHEN src < 2 THEN market END,
+        city, atc3, market, category_2, molecule, product_name, product, product_cn
+        ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)""",
         **_ASSEMBLE_VIEWS,
     ),
 )
 def assemble_delivery_query(fx: Fixtures) -> DataFrame:
-    return assemble_delivery(fx.past, fx.current, moving_annual_total(fx.past, fx.current, quarter=CURRENT))
+    return assemble_delivery(fx.past, fx.current, moving_annual_total(fx.past, fx.current, quarter=fx.quarter))
 
 
 # --- review -----------------------------------------------------------------------------------------------
@@ -754,7 +759,7 @@ def assemble_delivery_query(fx: Fixtures) -> DataFrame:
         SELECT DISTINCT packid, market, atc3, category_2, molecule, last_value(product_name) OVER w AS product_name,
                last_value(product) OVER w AS product, product_cn, first_value(route IGNORE NULLS) OVER w AS route,
                last_value(corp) OVER w AS corp
-        FROM history WINDOW w AS (PARTITION BY packid ORDER BY date, city, market
+        FROM history WINDOW w AS (PARTITION BY packid ORDER BY channel, period_type DESC, date, city_en, market
             ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING))
     QUALIFY n > 1"""),
 )
@@ -802,12 +807,17 @@ def benchmark_extract_query(fx: Fixtures) -> DataFrame:
     "price_check_matrix",
     with_views(
         "SELECT channel, city, market, molecule, product_name, packid, "
-        + ", ".join(f'max(CASE WHEN date = \'{q}\' THEN round_even(value_lc / units, 0) END) AS "{q}"' for q in QUARTERS)
+        + ", ".join(
+            f"coalesce(array_to_string(list_sort(list(DISTINCT CAST(round_even(value_lc / units, 0) AS BIGINT)) FILTER (date = '{q}')), ' '), '') AS \"{q}\""
+            for q in QUARTERS
+        )
         + " FROM history GROUP BY channel, city, market, molecule, product_name, packid"
     ),
 )
 def price_check_query(fx: Fixtures) -> DataFrame:
-    return price_check_matrix(fx.history, dates=QUARTERS)
+    """All prices of a cell, as one text."""
+    matrix = price_check_matrix(fx.history, dates=QUARTERS)
+    return matrix.withColumns({q: F.array_join(F.transform(q, lambda p: p.cast("bigint").cast("string")), " ") for q in QUARTERS})
 
 
 @query(

@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from panelproj.catalog.fixtures import CURRENT, MONTHS, QUARTERS, Fixtures
+from panelproj.catalog.fixtures import MONTHS, QUARTERS, Fixtures
 from panelproj.catalog.registry import query, rounded
 from panelproj.catalog.sql_views import FACT_KEYS, with_views
 from panelproj.functions import first_known, if_else, is_in, mean_known, not_in, ratio, sum_known
@@ -30,7 +30,7 @@ from panelproj.operators.relational import (
 )
 from panelproj.operators.reshape import densify, pivot_longer, pivot_longer_split, pivot_wider
 from panelproj.operators.review import duplicate_key_check
-from panelproj.sources import checkpoint_dir, read_parts, read_raw_csv, write_history
+from panelproj.sources import checkpoint_dir, read_parts, read_raw_csv, read_sheet, write_history, write_report
 
 
 def _scratch(fx: Fixtures, name: str) -> str:
@@ -51,6 +51,27 @@ def ingest_csv_roundtrip(fx: Fixtures) -> DataFrame:
     return read_raw_csv(fx.spark, path, T.StructType(fx.raw_panel.schema.fields))
 
 
+@query("sheet_first_columns", "SELECT p_partkey, p_brand, p_retailprice FROM part")
+def sheet_first_columns(fx: Fixtures) -> DataFrame:
+    """An exported sheet: its header line goes by position, and only its first columns are read."""
+    path = _scratch(fx, "sheet")
+    fx.table("part").select("p_partkey", "p_brand", "p_retailprice", "p_type", "p_name").write.csv(path, header=True)
+    schema = T.StructType().add("p_partkey", T.LongType()).add("p_brand", "string").add("p_retailprice", "double")
+    return read_sheet(fx.spark, path, schema.add("p_type", "string").add("p_name", "string"), first_columns=3)
+
+
+@query(
+    "report_sorted",
+    with_views("SELECT channel, period_type, date, city_en, market, packid, value_lc FROM history"),
+)
+def report_sorted(fx: Fixtures) -> DataFrame:
+    """The delivery's report, written in its order and read again."""
+    path = _scratch(fx, "report")
+    rows = fx.history.select("channel", "period_type", "date", "city_en", "market", "packid", "value_lc")
+    write_report(rows, path, ["channel", "-period_type", "date", "city_en", "market", "packid"])
+    return fx.spark.read.schema(rows.schema).parquet(path)
+
+
 @query(
     "multipart_source_tagged",
     with_views("""
@@ -78,7 +99,7 @@ def history_plus_current(fx: Fixtures) -> DataFrame:
     write_history(union_strict(fx.past, fx.current).select(*columns), path)
     write_history(fx.current.select(*columns).withColumn("value_lc", F.col("value_lc") * 2), path)
     schema = fx.past.select(*columns).schema
-    return fx.spark.read.schema(schema).parquet(path).filter(F.col("date") <= CURRENT)
+    return fx.spark.read.schema(schema).parquet(path)
 
 
 # --- projection, filters, predicates --------------------------------------------------

@@ -2,7 +2,7 @@
 
 import re
 
-from panelproj.catalog.fixtures import ATC4, CURRENT, MARKET, QUARTERS, ROUND_LABELS, TRACKED
+from panelproj.catalog.fixtures import ATC4, MARKET, QUARTERS, ROUND_LABELS, TRACKED
 
 
 def _case(column: str, mapping: dict) -> str:
@@ -94,8 +94,16 @@ VIEWS = {
                sum(sales) AS value_lc, sum(units) AS units, sum(units * p_size) AS counting_units,
                sum(sales) AS value_lc_raw, sum(units) AS units_raw, sum(units * p_size) AS counting_units_raw
         FROM sales GROUP BY city, year, sales.quarter, market, sales.packid""",
-    "past": f"SELECT * FROM history WHERE date < '{CURRENT}'",
-    "current_q": f"SELECT * REPLACE (lpad(packid, 7, '0') AS packid) FROM history WHERE date = '{CURRENT}'",
+    # The last quarter with orders and the three before it.
+    "this_quarter": "SELECT "
+    + ", ".join(f"strftime(d - INTERVAL {3 * i} MONTH, '%Y') || 'Q' || quarter(d - INTERVAL {3 * i} MONTH) AS q{i}" for i in range(4))
+    + " FROM (SELECT date_trunc('quarter', max(o_orderdate)) AS d FROM orders)",
+    "past": "SELECT * FROM history WHERE date < (SELECT q0 FROM this_quarter)",
+    "current_q": "SELECT * REPLACE (lpad(packid, 7, '0') AS packid) FROM history WHERE date = (SELECT q0 FROM this_quarter)",
+    "pack_growth": """
+        SELECT packid AS pack_id, sum(CASE WHEN quarter = q0 THEN sales END) / sum(CASE WHEN quarter = q1 THEN sales END) AS gs,
+               sum(CASE WHEN quarter = q0 THEN units END) / sum(CASE WHEN quarter = q1 THEN units END) AS gu
+        FROM sales, (SELECT * FROM this_quarter) GROUP BY packid""",
     "residual": """
         SELECT channel, city_en, city, period_type, year, quarter, date, 'Others' AS molecule, 'TCM' AS category_2,
                'Venous Disease' AS market, '99' AS packid, sum(value_lc) AS value_lc, sum(units) AS units,
@@ -124,12 +132,11 @@ VIEWS = {
         FROM packs WHERE p_size >= 10""",
     "product_3": "SELECT DISTINCT packid, 'sup ' || p_name AS product_cn, '外用制剂' AS route FROM packs WHERE p_type = 'PROMO'",
     "fallback_names": "SELECT packid, 'alt ' || min(p_name) AS product_cn, '口服固体' AS route FROM packs GROUP BY packid",
-    # Rows in the order of their source and of their contents, numbered; NULL sorts first.
+    # Rows in the order of their source and of their contents, numbered; NULL sorts last.
     "product_rows": """
         SELECT *, CASE WHEN corp IS NOT NULL THEN replace(corp, 'CORP', '公司') END AS corp_cn,
-               row_number() OVER (ORDER BY src, packid NULLS FIRST, corp NULLS FIRST, type NULLS FIRST, atc3 NULLS FIRST,
-                   atc4 NULLS FIRST, atc3_cn NULLS FIRST, molecule NULLS FIRST, molecule_cn NULLS FIRST, product NULLS FIRST,
-                   product_cn NULLS FIRST, pack NULLS FIRST, route NULLS FIRST) AS rn
+               row_number() OVER (ORDER BY src, packid, corp, type, atc3, atc4, atc3_cn, molecule, molecule_cn, product,
+                   product_cn, pack, route) AS rn
         FROM (SELECT 0 AS src, * FROM product_1 UNION ALL BY NAME SELECT 1 AS src, * FROM product_2
               UNION ALL BY NAME SELECT 2 AS src, * FROM product_3)""",
     "product_filled": """

@@ -8,6 +8,7 @@ from panelproj.functions.missing import (
     mean_known,
     not_in,
     ratio,
+    row_order,
     safe_double,
     safe_int,
     sum_known,
@@ -30,6 +31,7 @@ __all__ = [
     "quarter_shift",
     "ratio",
     "remap_prefix",
+    "row_order",
     "safe_double",
     "safe_int",
     "strip_pattern",

@@ -61,21 +61,28 @@ def safe_double(c: Column | str) -> Column:
 
 
 def safe_int(c: Column | str) -> Column:
-    """Text to whole number, truncating decimals; junk becomes NULL."""
-    return safe_double(c).try_cast("int")
+    """Text to whole number of 64 bits, truncating decimals; junk becomes NULL.
+
+    Plain digits are read as they are, so that long codes keep every digit.
+    """
+    text = _col(c).cast("string")
+    whole = F.when(text.rlike(r"^\s*[+-]?[0-9]+\s*$"), F.trim(text).try_cast("bigint"))
+    return F.coalesce(whole, safe_double(c).try_cast("bigint"))
 
 
-def _order(order_by: Iterable) -> Column:
-    return F.struct(*[_col(o) for o in order_by])
+def row_order(order_by: Iterable) -> Column:
+    """Sort key of a row: the named values in turn, missing ones last."""
+    columns = [_col(o) for o in order_by]
+    return F.struct(*[part for i, c in enumerate(columns) for part in (c.isNull().alias(f"n{i}"), c.alias(f"v{i}"))])
 
 
 def first_known(c: Column | str, order_by: Iterable) -> Column:
     """Aggregate: first non-missing value in the given row order."""
     c = _col(c)
-    return F.min_by(c, F.when(c.isNotNull(), _order(order_by)))
+    return F.min_by(c, F.when(c.isNotNull(), row_order(order_by)))
 
 
 def last_known(c: Column | str, order_by: Iterable) -> Column:
     """Aggregate: last non-missing value in the given row order."""
     c = _col(c)
-    return F.max_by(c, F.when(c.isNotNull(), _order(order_by)))
+    return F.max_by(c, F.when(c.isNotNull(), row_order(order_by)))

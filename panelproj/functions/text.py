@@ -19,9 +19,9 @@ def substring_between(c: Column | str, first: int, last: int) -> Column:
 
 
 def drop_suffix(c: Column | str, n: int) -> Column:
-    """Text without its last n characters, trimmed."""
+    """Text without its last n characters, then without white space at its ends."""
     c = _col(c)
-    return F.trim(F.substr(c, F.lit(1), F.greatest(F.length(c) - n, F.lit(0))))
+    return F.regexp_replace(F.substr(c, F.lit(1), F.greatest(F.length(c) - n, F.lit(0))), r"^\s+|\s+$", "")
 
 
 def pad_code(c: Column | str, width: int = 7) -> Column:
@@ -30,12 +30,12 @@ def pad_code(c: Column | str, width: int = 7) -> Column:
     return F.when(F.length(c) >= width, c).otherwise(F.lpad(c, width, "0"))
 
 
-def remap_prefix(c: Column | str, prefixes: Mapping[str, str]) -> Column:
-    """Replace code prefixes, one rule after the other."""
+def remap_prefix(c: Column | str, prefixes: Mapping[str, str], width: int = 7) -> Column:
+    """Replace code prefixes, one rule after the other. A replaced code keeps what follows the prefix up to `width` characters."""
     c = _col(c)
     for old, new in prefixes.items():
         n = len(old)
-        c = F.when(F.substring(c, 1, n) == old, F.concat(F.lit(new), F.substr(c, F.lit(n + 1), F.length(c)))).otherwise(c)
+        c = F.when(F.substring(c, 1, n) == old, F.concat(F.lit(new), F.substring(c, n + 1, max(width - n, 0)))).otherwise(c)
     return c
 
 
@@ -60,6 +60,6 @@ def parse_pack(df: DataFrame, pack: str = "pack") -> DataFrame:
         {
             "pack_form": F.nullif(_squish(form), F.lit("")),
             "pack_strength": F.nullif(_squish(strength), F.lit("")),
-            "pack_size": safe_int(_squish(size)),
+            "pack_size": safe_int(_squish(size)).try_cast("int"),
         }
     ).drop("__digit", "__space")

@@ -119,6 +119,15 @@ class DeliveryRules:
     market_split: Mapping[tuple[str, str], float] = field(default_factory=lambda: MARKET_SPLIT)
     route_rounds: Mapping[tuple[str, str], str] = field(default_factory=lambda: ROUTE_ROUNDS)
     tcm_class: str = "V03B"
+    tcm_prefix: str = "V03"
+    venous_market: str = "Venous Disease"
+    diabetes_market: str = "Diabetes"
+    diabetes_label: str = "OAD&GLP-1"
+    nitrate_market: str = "IHD"
+    nitrate_class: str = "C01D"
+    nitrate_molecule: str = "TRIMETAZIDINE"
+    nitrate_labels: tuple[str, str] = ("TMZ", "OTHERS")
+    first_as_second: tuple[str, ...] = ("HTN", "Venous Disease")
     main_channel: str = "CHC"
     national: str = "National"
 
@@ -138,12 +147,12 @@ def classify(df: DataFrame, rules: DeliveryRules | None = None) -> DataFrame:
     """Two category levels; each step reads the result of the one before."""
     rules = rules or DeliveryRules()
     market, atc3, molecule = F.col("market"), F.col("atc3"), F.col("molecule")
-    venous, diabetes = market == "Venous Disease", market == "Diabetes"
-    nitrate = (market == "IHD") & (atc3 == "C01D")
+    venous, diabetes = market == rules.venous_market, market == rules.diabetes_market
+    nitrate = (market == rules.nitrate_market) & (atc3 == rules.nitrate_class)
     first = (
-        F.when(nitrate & (molecule == "TRIMETAZIDINE"), "TMZ")
-        .when(nitrate & (molecule != "TRIMETAZIDINE"), "OTHERS")
-        .when(venous & (F.substring(atc3, 1, 3) == "V03"), "TCM")
+        F.when(nitrate & (molecule == rules.nitrate_molecule), rules.nitrate_labels[0])
+        .when(nitrate & (molecule != rules.nitrate_molecule), rules.nitrate_labels[1])
+        .when(venous & F.startswith(atc3, F.lit(rules.tcm_prefix)), "TCM")
         .otherwise(_mapped_pair(market, atc3, rules.category_1))
     )
     c1, c2 = F.col("category_1"), F.col("category_2")
@@ -151,10 +160,10 @@ def classify(df: DataFrame, rules: DeliveryRules | None = None) -> DataFrame:
         df.withColumn("category_1", first)
         .withColumn("category_2", F.coalesce(_mapped(atc3, rules.category_2), _mapped("atc4", rules.category_2_subclass)))
         .withColumn("category_2", if_else(diabetes, c1, c2))
-        .withColumn("category_1", F.when(diabetes, "OAD&GLP-1").otherwise(F.coalesce(_mapped(c1, rules.relabel_1), c1)))
+        .withColumn("category_1", F.when(diabetes, rules.diabetes_label).otherwise(F.coalesce(_mapped(c1, rules.relabel_1), c1)))
         .withColumn("category_2", F.coalesce(_mapped(c2, rules.relabel_2), c2))
         .withColumn("category_2", F.when(venous, F.when(c1 == "TCM", _mapped("route", rules.tcm_routes))).otherwise(c2))
-        .withColumn("category_2", F.when(c2.isNull() & is_in(market, ["HTN", "Venous Disease"]), c1).otherwise(c2))
+        .withColumn("category_2", F.when(c2.isNull() & is_in(market, rules.first_as_second), c1).otherwise(c2))
     )
 
 
@@ -251,9 +260,13 @@ def format_delivery(
     rows = rows.filter(is_in("city", [rules.national, *target_cities]))
     for m in ("value_lc", "units", "counting_units"):
         rows = rows.filter((F.col(m) > 0) & (F.col(m) < float("inf")))
-    order = ["_src", "channel", "date", "city", "market", "packid"]
+    # National rows follow their grouping keys, city rows channel, date, city, market and pack.
+    grouped = [c for c in DIMENSIONS if c in rows.columns and c not in ("city_en", "city", "tender_round", "manufacture_type", "tender_win", "originator")]
+    placed = ["channel", "date", "city", "market", "packid"]
+    national = F.col("_src") == 0
+    keys = {f"__k{i}": F.when(national, F.col(g).cast("string")).otherwise(F.col(placed[i]) if i < len(placed) else None) for i, g in enumerate(grouped)}
     named = fill_from_group(
-        rows.withColumn("__cn", F.col("product_cn")), ["product"], {"product_cn": first_known("__cn", [*order, "__cn"])}
+        rows.withColumn("__cn", F.col("product_cn")).withColumns(keys), ["product"], {"product_cn": first_known("__cn", ["_src", *keys, "__cn"])}
     )
     return named.select(*DELIVERY_COLUMNS)
 

@@ -11,6 +11,7 @@ from panelproj.functions import (
     is_in,
     last_known,
     pad_code,
+    row_order,
     safe_int,
     strip_pattern,
     substring_between,
@@ -74,7 +75,7 @@ def build_universe(facts: DataFrame, registry: DataFrame) -> DataFrame:
     stacked = tag_rows([sampled, registered_centres(registry)])
     order = ["_src", "date", *PLACE]
     universe = stacked.groupBy("pchc").agg(
-        F.min_by("province", F.struct(*order)).alias("province"),
+        F.min_by("province", row_order(order)).alias("province"),
         first_known("city", order).alias("city"),
         first_known("district", order).alias("district"),
         first_known("est", order).alias("est"),
@@ -182,12 +183,13 @@ def newest_attributes(df: DataFrame, keys: Sequence[str], order_by: Sequence[str
     """Harmonise attributes within a key.
 
     `last` takes the newest row's value even when it is missing, `last_known` and
-    `first_known` skip missing values. Rows equal in `order_by` are ordered by the value.
+    `first_known` skip missing values. Missing order values come last; rows equal in
+    `order_by` are ordered by the value.
     """
     kept = {f"__o{i}": F.col(c) for i, c in enumerate(order_by)}
     ordered = df.withColumns(kept)
     names = list(kept)
-    values = {c: F.max_by(c, F.struct(*names, c)) for c in how.get("last", ())}
+    values = {c: F.max_by(c, row_order([*names, c])) for c in how.get("last", ())}
     values |= {c: last_known(c, [*names, c]) for c in how.get("last_known", ())}
     values |= {c: first_known(c, [*names, c]) for c in how.get("first_known", ())}
     return fill_from_group(ordered, keys, values).drop(*names)

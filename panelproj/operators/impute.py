@@ -42,9 +42,12 @@ def knn_neighbours(
     months = [c for c in matrix.columns if c not in (*PLACE, "pchc")]
     is_target = F.coalesce(F.col(target_column) == target, F.lit(False))
     scaled = scaled_features(matrix, is_target, months)
-    pairs = knn_join(scaled.filter(is_target), scaled.filter(~is_target), months, "pchc", k)
-    asked = matrix.filter(is_target).select(*PLACE, "pchc")
-    return na_join(asked, pairs, [("pchc", "target")], "inner").withColumnRenamed("donor", "knn_pchc")
+    # A centre is asked for at each of its places; missing parts of a place count as well.
+    unit = F.to_json(F.array(*PLACE, "pchc"), {"ignoreNullFields": "false"})
+    asked = scaled.filter(is_target).withColumn("__unit", unit)
+    pairs = knn_join(asked.select(F.col("__unit").alias("pchc"), *[f"`{m}`" for m in months]), scaled.filter(~is_target), months, "pchc", k)
+    asked = asked.select("__unit", *PLACE, "pchc")
+    return na_join(asked, pairs, [("__unit", "target")], "inner").withColumnRenamed("donor", "knn_pchc").drop("__unit")
 
 
 def knn_weights(neighbours: DataFrame, k: int = 3, normalize: str = "sequential") -> DataFrame:
@@ -52,7 +55,8 @@ def knn_weights(neighbours: DataFrame, k: int = 3, normalize: str = "sequential"
 
     `sequential` divides the first weight by the sum, the second by the sum that
     already holds the changed first, and so on (the weights then do not add up to 1);
-    `proper` divides all by the original sum.
+    `proper` divides all by the original sum. With fewer than k neighbours the sums are
+    of those that exist.
     """
     unit = [*PLACE, "pchc"]
     raw = neighbours.withColumn("w", 1 / (F.col("distance") + 1))
@@ -65,7 +69,7 @@ def knn_weights(neighbours: DataFrame, k: int = 3, normalize: str = "sequential"
         *[F.max(F.when(F.col("rank") == r, F.col("knn_pchc"))).alias(f"p{r}") for r in ranks],
     )
     for r in ranks:
-        total = sum((F.col(f"w{i}") for i in ranks[1:]), F.col("w1"))
+        total = sum((F.coalesce(F.col(f"w{i}"), F.lit(0.0)) for i in ranks[1:]), F.col("w1"))
         wide = wide.withColumn(f"w{r}", F.col(f"w{r}") / total)
     entries = [
         F.struct(F.lit(r).alias("rank"), F.col(f"p{r}").alias("knn_pchc"), F.col(f"w{r}").alias("knn_weight"))

@@ -10,6 +10,7 @@ per target decides which cells can hold a neighbour; cells are split into blocks
 bounded size, and only the k best candidates per block leave a task.
 """
 
+import math
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -21,22 +22,31 @@ from panelproj.operators.relational import na_join
 from panelproj.sources import materialize
 
 
-def nearest_values(targets: DataFrame, donors: DataFrame, by: str, value: str, bins: int = 64) -> DataFrame:
+def value_bins(points: DataFrame, by: str, per_bin: int = 4096, most: int = 1024) -> DataFrame:
+    """Add `bin`: quantile ranges of `v` within each block, as many as the block's size asks for.
+
+    Of `most` - 1 quantiles every n-th is a cut, so that a bin holds about `per_bin`
+    points while the block has at most per_bin x most of them.
+    """
+    quantiles = F.percentile_approx("v", [i / most for i in range(1, most)], F.lit(10000))
+    blocks = points.groupBy(by).agg(F.count(F.lit(1)).alias("points"), quantiles.alias("cuts"))
+    step = F.greatest(F.ceil(F.lit(most) * per_bin / F.col("points")), F.lit(1))
+    blocks = blocks.select(by, F.filter("cuts", lambda _, i: (i + 1) % step == 0).alias("cuts"))
+    binned = na_join(points, blocks, [by], "inner")
+    return binned.withColumn("bin", F.size(F.filter("cuts", lambda c: c < F.col("v")))).drop("cuts")
+
+
+def nearest_values(targets: DataFrame, donors: DataFrame, by: str, value: str, per_bin: int = 4096) -> DataFrame:
     """(by, value, donor_value): each target value's nearest donor values in its block.
 
     Two donor values at the same distance are both returned. Blocks without donors
-    give no row.
+    give no row. The bins follow targets and donors together, so targets far outside the
+    donors' range are spread as well.
     """
     asked = targets.select(by, F.col(value).alias("v")).distinct()
     offered = donors.select(by, F.col(value).alias("v")).distinct()
-    cuts = [i / bins for i in range(1, bins)]
-    edges = offered.groupBy(by).agg(F.percentile_approx("v", cuts, F.lit(10000)).alias("cuts"))
     points = asked.withColumn("donor", F.lit(None).cast("double")).unionByName(offered.withColumn("donor", F.col("v")))
-    points = (
-        na_join(points, edges, [by], "inner")
-        .withColumn("bin", F.size(F.filter("cuts", lambda c: c < F.col("v"))))
-        .drop("cuts")
-    )
+    points = value_bins(points, by, per_bin)
     in_order = Window.partitionBy(by).orderBy("bin")
     spans = points.groupBy(by, "bin").agg(F.min("donor").alias("low"), F.max("donor").alias("high"))
     spans = spans.withColumns(
@@ -82,6 +92,17 @@ def nearest_in_block(targets: DataFrame, donors: DataFrame, by: str, value: str,
     )
 
 
+MATRIX = 4_000_000  # numbers in one array of differences (32 MB)
+
+
+def _gaps(vectors: np.ndarray, others: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Distances of all vectors to all others, in chunks of bounded memory: (first row, distances)."""
+    step = max(1, MATRIX // max(1, others.size))
+    for lo in range(0, len(vectors), step):
+        part = vectors[lo : lo + step]
+        yield lo, np.sqrt(((part[:, None, :] - others[None, :, :]) ** 2).sum(axis=2))
+
+
 def _assign(pivots: np.ndarray):
     """Batch function: nearest pivot of each vector."""
 
@@ -89,10 +110,8 @@ def _assign(pivots: np.ndarray):
         for batch in batches:
             if batch.empty:
                 continue
-            vectors = np.stack(batch["vec"].to_numpy())
-            gaps = np.sqrt(((vectors[:, None, :] - pivots[None, :, :]) ** 2).sum(axis=2))
-            cell = gaps.argmin(axis=1)
-            yield batch.assign(cell=cell.astype("int32"), gap=gaps[np.arange(len(cell)), cell])
+            found = [(gaps.argmin(axis=1), gaps.min(axis=1)) for _, gaps in _gaps(np.stack(batch["vec"].to_numpy()), pivots)]
+            yield batch.assign(cell=np.concatenate([c for c, _ in found]).astype("int32"), gap=np.concatenate([g for _, g in found]))
 
     return run
 
@@ -104,17 +123,16 @@ def _candidate_cells(pivots: np.ndarray, counts: np.ndarray, radii: np.ndarray,
         for batch in batches:
             if batch.empty:
                 continue
-            vectors = np.stack(batch["vec"].to_numpy())
-            gaps = np.sqrt(((vectors[:, None, :] - pivots[None, :, :]) ** 2).sum(axis=2))
-            rows = []
-            for i, gap in enumerate(gaps):
-                farthest = gap + radii
-                order = np.argsort(farthest, kind="stable")
-                enough = np.searchsorted(np.cumsum(counts[order]), k)
-                bound = farthest[order[min(enough, len(order) - 1)]]
+            rows: list[np.ndarray] = []
+            for _, gaps in _gaps(np.stack(batch["vec"].to_numpy()), pivots):
+                farthest = gaps + radii
+                order = np.argsort(farthest, axis=1, kind="stable")
+                enough = (np.cumsum(counts[order], axis=1) < k).sum(axis=1)
+                last = order[np.arange(len(order)), np.minimum(enough, order.shape[1] - 1)]
+                bound = farthest[np.arange(len(order)), last]
                 # A hair of slack keeps rounding from excluding a donor at the bound.
-                inside = gap - radii <= bound * (1 + 1e-9) + 1e-9
-                rows.append(np.flatnonzero(inside).astype("int32"))
+                inside = gaps - radii <= (bound * (1 + 1e-9) + 1e-9)[:, None]
+                rows.extend(np.flatnonzero(row).astype("int32") for row in inside)
             yield batch.assign(cells=rows)
 
     return run
@@ -123,41 +141,41 @@ def _candidate_cells(pivots: np.ndarray, counts: np.ndarray, radii: np.ndarray,
 def _block_best(k: int):
     """Cogroup function: the k best donors of one block for each target of one block."""
 
-    def frame(found: list[tuple[str, str, float]]) -> pd.DataFrame:
-        types = {"target": object, "donor": object, "distance": float}
-        return pd.DataFrame({c: pd.Series([f[i] for f in found], dtype=t) for i, (c, t) in enumerate(types.items())})
-
     def run(targets: pd.DataFrame, donors: pd.DataFrame) -> pd.DataFrame:
         if targets.empty or donors.empty:
-            return frame([])
+            return pd.DataFrame({"target": pd.Series(dtype=object), "donor": pd.Series(dtype=object), "distance": pd.Series(dtype=float)})
         donors = donors.sort_values("donor", kind="stable")
-        names, space = donors["donor"].to_numpy(), np.stack(donors["vec"].to_numpy())
-        found: list[tuple[str, str, float]] = []
-        for target, vector in zip(targets["target"], targets["vec"], strict=True):
-            distance = np.sqrt(((space - vector) ** 2).sum(axis=1))
-            # Donors are in name order, so the stable sort breaks ties by name.
-            best = np.argsort(distance, kind="stable")[:k]
-            found.extend((target, names[j], float(distance[j])) for j in best)
-        return frame(found)
+        names, asked = donors["donor"].to_numpy(), targets["target"].to_numpy()
+        space, parts = np.stack(donors["vec"].to_numpy()), []
+        for lo, gaps in _gaps(np.stack(targets["vec"].to_numpy()), space):
+            limit = np.partition(gaps, min(k, gaps.shape[1]) - 1, axis=1)[:, min(k, gaps.shape[1]) - 1]
+            row, column = np.nonzero(gaps <= limit[:, None])
+            # Donors are in name order, so their position breaks ties by name.
+            order = np.lexsort((column, gaps[row, column], row))
+            row, column = row[order], column[order]
+            place = np.arange(len(row)) - np.searchsorted(row, row)
+            row, column = row[place < k], column[place < k]
+            parts.append(pd.DataFrame({"target": asked[lo + row], "donor": names[column], "distance": gaps[row, column]}))
+        return pd.concat(parts, ignore_index=True)
 
     return run
 
 
 def knn_join(
-    targets: DataFrame, donors: DataFrame, features: Sequence[str], key: str, k: int = 3, *, cells: int = 64, block: int = 2048
+    targets: DataFrame, donors: DataFrame, features: Sequence[str], key: str, k: int = 3, *, cells: int | None = None, block: int = 2048
 ) -> DataFrame:
     """(target, rank, donor, distance): exact k nearest donors by Euclidean distance.
 
-    Ties go to the smaller donor key. Runs jobs while building: at most `cells` pivot
-    vectors and cell statistics reach the driver; both sides are written once to the
-    shared folder so the statistics describe exactly the rows that are joined.
+    Ties go to the smaller donor key. Runs jobs while building: `cells` pivot vectors (by
+    default the square root of the number of donors, at most 4096) and cell statistics
+    reach the driver; both sides are written once to the shared folder so the statistics
+    describe exactly the rows that are joined.
     """
     spark = targets.sparkSession
     vec = F.array(*[F.col(f"`{c}`").cast("double") for c in features]).alias("vec")
     donors = donors.select(F.col(key).alias("donor"), vec)
     targets = targets.select(F.col(key).alias("target"), vec)
-    # Cells pay off only when they are well filled.
-    cells = max(1, min(cells, donors.count() // 512))
+    cells = max(1, min(math.isqrt(donors.count()), 4096)) if cells is None else cells
     pivot_rows = donors.orderBy(F.xxhash64("donor"), "donor").limit(cells).select("vec").collect()
     result = "target string, donor string, distance double"
     if not pivot_rows:

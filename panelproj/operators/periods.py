@@ -1,6 +1,6 @@
 """Growth roll-forward, moving annual totals and the assembled delivery."""
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -9,16 +9,17 @@ from panelproj.functions import is_in, pad_code, quarter_shift, ratio
 from panelproj.operators.delivery import DELIVERY_COLUMNS, MEASURES
 from panelproj.operators.dims import newest_attributes
 from panelproj.operators.relational import na_join, replace_slice, sort_rows, sum_by, tag_rows, union_strict
+from panelproj.sources import materialize
 
 VALUE_MEASURES = ["value_lc", "value_lc_raw"]
 
 
 def lead_growth(df: DataFrame, keys: Sequence[str], period: str = "date", tie_break: Sequence[str] = ()) -> DataFrame:
-    """Growth of value and units from each row to the next row of its key in period order.
+    """Growth of value and units from each row to the next row of its key in period order, a missing period last.
 
     Works on delivery rows, where a key has a handful of periods.
     """
-    following = Window.partitionBy(*keys).orderBy(period, *tie_break)
+    following = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_last() for c in (period, *tie_break)])
     growth = df.select(
         *keys,
         ratio(F.lead("value_lc").over(following), "value_lc").alias("growth_sales"),
@@ -100,18 +101,49 @@ def complete_quarter(current: DataFrame, missing_city: str, *recomputed: DataFra
     return replace_slice(current, "city", [missing_city], *recomputed)
 
 
-# Row order of delivery rows within an input; position of the input comes first.
-ROW_ORDER = ["_src", "date", "channel", "city", "market", "packid"]
+# Row orders of the inputs: a delivered table, rows of a quarter as they are made, grouped rows.
+DELIVERED = ["channel", "-period_type", "date", "city_en", "market", "packid"]
+MADE = ["channel", "date", "city", "market", "packid"]
+GROUPED = [c for c in DELIVERY_COLUMNS if c not in MEASURES]
+
+
+def order_keys(df: DataFrame, orders: Mapping[int, Sequence[str]]) -> tuple[DataFrame, list[str]]:
+    """Add sort columns that give each input (`_src`, or all rows if there is none) its own row order.
+
+    Returns the frame and the names to order by. Period types are QTR and MAT; "-period_type"
+    puts QTR first. Text sorts as text, so numbers only break ties.
+    """
+    given = {src: [k for k in keys if k.lstrip("-") in df.columns] for src, keys in orders.items()}
+
+    def key(name: str) -> Column:
+        if name == "-period_type":
+            return F.when(F.col("period_type") == "QTR", "0").when(F.col("period_type") == "MAT", "1")
+        return F.col(name).cast("string")
+
+    tagged, names = "_src" in df.columns, []
+    for i in range(max(len(keys) for keys in given.values())):
+        value: Column = F.lit(None).cast("string")
+        for src, keys in given.items():
+            if i < len(keys):
+                value = F.when(F.col("_src") == src, key(keys[i])).otherwise(value) if tagged else key(keys[i])
+        df = df.withColumn(f"_k{i}", value)
+        names.append(f"_k{i}")
+    return df, ["_src", *names] if tagged else names
 
 
 def moving_annual_total(history: DataFrame, current: DataFrame, *, quarter: str) -> DataFrame:
-    """Sum of the current and the three previous quarters, newest attributes per city and pack."""
+    """Sum of the current and the three previous quarters, newest attributes per city and pack.
+
+    The four quarters feed the attributes and the sums, so they are written once.
+    """
     periods = [quarter_shift(quarter, -i) for i in (1, 2, 3)]
     past = history.filter((F.col("period_type") == "QTR") & is_in("date", periods)).withColumn("packid", pad_code("packid"))
+    four = materialize(tag_rows([past, current]), "four-quarters")
+    ordered, order = order_keys(four, {0: DELIVERED, 1: MADE})
     rows = newest_attributes(
-        tag_rows([past, current]),
+        ordered,
         ["city", "packid"],
-        ROW_ORDER,
+        order,
         last=[c for c in ("product_name", "product", "corp", "corp_cn") if c in past.columns],
         first_known=[c for c in ("route",) if c in past.columns],
         last_known=[c for c in ("tender_round",) if c in past.columns],
@@ -123,12 +155,16 @@ def moving_annual_total(history: DataFrame, current: DataFrame, *, quarter: str)
 
 
 def assemble_delivery(history: DataFrame, current: DataFrame, mat: DataFrame, *, sort: bool = True) -> DataFrame:
-    """History, new quarter and moving totals with the newest attributes per pack, in delivery order."""
-    stacked = tag_rows([history.withColumn("packid", pad_code("packid")), current, mat])
+    """History, new quarter and moving totals with the newest attributes per pack, in delivery order.
+
+    The stacked rows feed the attributes and the table, so they are written once.
+    """
+    stacked = materialize(tag_rows([history.withColumn("packid", pad_code("packid")), current, mat]), "stacked")
+    ordered, order = order_keys(stacked, {0: DELIVERED, 1: MADE, 2: GROUPED})
     rows = newest_attributes(
-        stacked,
+        ordered,
         ["packid"],
-        [*ROW_ORDER[:1], "period_type", *ROW_ORDER[1:]],
+        order,
         last=[c for c in ("product_name", "product", "corp", "corp_cn") if c in stacked.columns],
         last_known=[c for c in ("product_cn",) if c in stacked.columns],
         first_known=[c for c in ("route",) if c in stacked.columns],

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from panelproj.functions import half_even, is_in, ratio, substring_between, sum_known
 from panelproj.operators.dims import newest_attributes
-from panelproj.operators.periods import ROW_ORDER
+from panelproj.operators.periods import DELIVERED, order_keys
 from panelproj.operators.relational import exclude_class, keep_repeated, lookup_matched, na_join, sort_rows
 from panelproj.operators.reshape import pivot_longer_split, pivot_wider
 
@@ -23,9 +23,9 @@ def _present(df: DataFrame, columns: Sequence[str]) -> list[str]:
 
 def uniformity_report(delivery: DataFrame) -> DataFrame:
     """Attribute combinations of packs that have more than one in a market, after harmonising."""
-    order = [c for c in ["period_type", *ROW_ORDER] if c in delivery.columns]
+    ordered, order = order_keys(delivery, {0: DELIVERED})
     rows = newest_attributes(
-        delivery,
+        ordered,
         ["packid"],
         order,
         last=_present(delivery, ["product_name", "product", "corp", "corp_cn"]),
@@ -84,13 +84,13 @@ def benchmark_extract(
 
 
 def price_check_matrix(
-    delivery: DataFrame, *, dates: Sequence[str] | None = None, sort: bool = True, as_lists: bool = False
+    delivery: DataFrame, *, dates: Sequence[str] | None = None, sort: bool = True, as_lists: bool = True
 ) -> DataFrame:
     """Rounded average price per pack and quarter, best-selling packs of a market first.
 
-    A pack with several prices in one quarter shows the highest, or all of them with
-    `as_lists` (every cell is then a sorted array). One grouping gives all cells; without
-    `dates` the distinct quarters are read first.
+    A cell is the sorted array of its prices. With as_lists=False it is the one price,
+    and several are an error. One grouping gives all cells; without `dates` the distinct
+    quarters are read first.
     """
     ids = _present(delivery, ["channel", "city", "market", "molecule", "product_name", "packid"])
     quarters = delivery.filter(F.col("period_type") == "QTR")
@@ -100,7 +100,10 @@ def price_check_matrix(
 
     def cell(date: str) -> Column:
         value = F.when(F.col("date") == date, price)
-        return F.array_sort(F.collect_set(value)) if as_lists else F.max(value)
+        if as_lists:
+            return F.array_sort(F.collect_set(value))
+        several = F.raise_error(F.concat(F.lit(f"several prices in {date} of "), F.min("packid"))).cast("double")
+        return F.when(F.min(value) < F.max(value), several).otherwise(F.max(value))
 
     matrix = quarters.groupBy(*ids).agg(*[cell(d).alias(d) for d in dates], sum_known("value_lc").alias("__sales"))
     if sort:

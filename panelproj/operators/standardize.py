@@ -13,6 +13,7 @@ from panelproj.functions import (
     pad_code,
     ratio,
     remap_prefix,
+    row_order,
     strip_pattern,
     substring_between,
 )
@@ -127,7 +128,7 @@ def place_map(registry: DataFrame, name_columns: Sequence[str], order_by: Sequen
     parts = [
         known.filter(F.col(n).isNotNull())
         .groupBy(*PLACE, F.col(n).alias("hospital"))
-        .agg(F.min_by("pchc", F.struct(*order_by)).alias("pchc"))
+        .agg(F.min_by("pchc", row_order(order_by)).alias("pchc"))
         for n in name_columns
     ]
     return tag_rows(parts).select(*PLACE, "hospital", "pchc").distinct()

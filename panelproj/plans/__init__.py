@@ -1,3 +1,4 @@
+from panelproj.plans.client_values import published_parameters
 from panelproj.plans.delivery_run import Inputs, Parameters, run_delivery
 
-__all__ = ["Inputs", "Parameters", "run_delivery"]
+__all__ = ["Inputs", "Parameters", "published_parameters", "run_delivery"]

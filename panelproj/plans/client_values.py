@@ -1,5 +1,7 @@
 """Client parameters of the published delivery; every operator takes them as arguments."""
 
+from panelproj.plans.delivery_run import Parameters
+
 # Fixed values.
 TARGET_CITIES = ["北京", "上海", "杭州", "南京"]
 EXCLUDE_DONOR_PROVINCES = ["北京", "上海"]
@@ -32,3 +34,18 @@ TCM_PRODUCTS = [
     "HUAIYU QINGRE ZHIX HMA",
     "XIAO ZHI           LZF",
 ]
+
+
+def published_parameters(quarter: str) -> Parameters:
+    """The published run's parameters for one quarter."""
+    return Parameters(
+        quarter=quarter,
+        target_cities=TARGET_CITIES,
+        impute_region=IMPUTE_REGION,
+        impute_market=IMPUTE_MARKET,
+        missing_city=MISSING_CITY,
+        proxy_city=PROXY_CITY,
+        residual_molecule=RESIDUAL_MOLECULE,
+        exclude_donor_provinces=EXCLUDE_DONOR_PROVINCES,
+        tcm_products=TCM_PRODUCTS,
+    )

@@ -60,7 +60,9 @@ class Parameters:
 
 def run_delivery(inputs: Inputs, params: Parameters) -> DataFrame:
     """Delivery rows: history, the completed quarter and its moving annual totals."""
-    panel = materialize(combine_panels(*inputs.panels), "panel")
+    # The run projects one quarter: centres that reported in it are its sample.
+    panels = [p.filter(F.col("quarter") == params.quarter) for p in inputs.panels]
+    panel = materialize(combine_panels(*panels), "panel")
     imputed = knn_impute(
         panel, target=params.impute_region, target_column=params.impute_column, market=params.impute_market
     )
@@ -73,7 +75,7 @@ def run_delivery(inputs: Inputs, params: Parameters) -> DataFrame:
         exclude_provinces=params.exclude_donor_provinces,
     ).withColumn("channel", F.lit("CHC"))
     if inputs.second_channel is not None:
-        projected = union_strict(projected, inputs.second_channel)
+        projected = union_strict(projected, inputs.second_channel.filter(F.col("quarter") == params.quarter))
     priced = materialize(update_price(projected, sample), "priced")
     rows = format_delivery(
         priced,
@@ -85,7 +87,7 @@ def run_delivery(inputs: Inputs, params: Parameters) -> DataFrame:
         tcm_products=params.tcm_products,
         rules=params.rules,
     )
-    rows = materialize(rows.filter(F.col("date") == params.quarter), "quarter")
+    rows = materialize(rows, "quarter")
     city = growth_rollforward(
         rows, inputs.history, inputs.external,
         missing_city=params.missing_city, proxy_city=params.proxy_city, quarter=params.quarter,

@@ -3,6 +3,7 @@
 import tempfile
 import uuid
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,39 +36,52 @@ def read_raw_csv(spark: SparkSession, path: str | Sequence[str], schema: StructT
 
 
 def read_sheet(
-    spark: SparkSession, path: str, schema: StructType, *, first_columns: int | None = None, preamble: Sequence[str] = ()
+    spark: SparkSession,
+    path: str,
+    schema: StructType,
+    *,
+    first_columns: int | None = None,
+    skip_lines: int = 0,
+    header: bool = True,
+    strict: bool = True,
 ) -> DataFrame:
     """Exported worksheet: optionally only its first columns, below some leading lines.
 
-    `preamble` holds the first cells of the leading lines; the header line is
-    recognised by the schema's first name.
+    The first `skip_lines` lines of each file and, with `header`, the one after them are
+    left out by their position; rows that look like them stay. A cell holds no line
+    break. Text that does not fit its column's type is an error, or with strict=False
+    missing.
     """
-    text = StructType()
-    for field in schema:
-        text = text.add(field.name, "string")
-    rows = spark.read.schema(text).csv(path, header=False)
-    lead = F.col(f"`{schema[0].name}`")
-    if preamble:
-        rows = rows.filter(~F.coalesce(lead.isin(list(preamble)), F.lit(False)))
-    rows = rows.filter(~F.coalesce(lead == schema[0].name, F.lit(False)))
-    fields = schema.fields[:first_columns]
-    return rows.select(*[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in fields])
+    lead = skip_lines + int(header)
+    lines = spark.read.text(path).select("value", F.monotonically_increasing_id().alias("__at"), "_metadata.file_path", "_metadata.file_block_start")
+    if lead:
+        # A file's first block is read in order by one task, so its first lines have its lowest numbers.
+        begin = lines.filter(F.col("file_block_start") == 0).groupBy("file_path").agg(F.min("__at").alias("__begin"))
+        lines = lines.join(begin, "file_path").filter((F.col("file_block_start") != 0) | (F.col("__at") >= F.col("__begin") + lead))
+    columns = ", ".join(f"`{f.name}` string" for f in schema)
+    cells = lines.filter(F.length("value") > 0).select(F.from_csv("value", F.lit(columns)).alias("c"))
+
+    def typed(name: str, kind) -> Column:
+        cell = F.col("c")[name]
+        value = cell.try_cast(kind)
+        if strict:
+            wrong = F.raise_error(F.concat(F.lit(f"column {name} cannot hold "), cell)).cast(kind)
+            value = F.when(cell.isNotNull() & value.isNull(), wrong).otherwise(value)
+        return value.alias(name)
+
+    return cells.select(*[typed(f.name, f.dataType) for f in schema.fields[:first_columns]])
 
 
 def read_parts(spark: SparkSession, paths: Sequence[str], ordinal: str = "sheet") -> DataFrame:
-    """Several Parquet parts in one scan, each row tagged with its part number (from 1)."""
-    frame = spark.read.parquet(*paths)
-    source = F.col("_metadata.file_path")
-    number: Column = F.lit(None).cast("int")
-    for i, path in enumerate(paths, start=1):
-        number = F.when(F.contains(source, F.lit(path.rstrip("/") + "/")), F.lit(i)).otherwise(number)
-    return frame.withColumn(ordinal, number)
+    """Several Parquet parts, folders or single files, each row tagged with its part number (from 1)."""
+    parts = [spark.read.parquet(path).withColumn(ordinal, F.lit(i)) for i, path in enumerate(paths, start=1)]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def write_report(df: DataFrame, path: str, sort_by: Sequence[str] = (), fmt: str = "parquet") -> None:
-    """Report sink; with `sort_by` the files are in global order."""
+    """Report sink; with `sort_by` the files are in global order, missing values last. A leading '-' means descending."""
     if sort_by:
-        df = df.orderBy(*[F.col(c).asc_nulls_last() for c in sort_by])
+        df = df.orderBy(*[F.col(c[1:]).desc_nulls_last() if c.startswith("-") else F.col(c).asc_nulls_last() for c in sort_by])
     writer = df.write.mode("overwrite")
     writer.csv(path, header=True) if fmt == "csv" else writer.parquet(path)
 

@@ -8,9 +8,10 @@ import os
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
 from check import TABLES, canonical
-from panelproj.catalog.fixtures import CURRENT, Fixtures
+from panelproj.catalog import registry
+from panelproj.catalog.fixtures import Fixtures
 from panelproj.catalog.panel_queries import RULES, TARGET_CITIES, TCM_PRODUCTS
 from panelproj.operators.delivery import DELIVERY_COLUMNS
 from panelproj.plans import Inputs, Parameters, run_delivery
@@ -20,13 +21,13 @@ CORE = [
     "ingest_csv_roundtrip", "standardize_no_district", "place_map", "combine_panels", "build_universe", "product_master", "tender_packs",
     "knn_impute", "project_nation", "price_levels", "format_delivery", "growth_rollforward", "assemble_delivery", "benchmark_extract",
 ]
-NAMES = sorted(queries()) if os.environ.get("PANELPROJ_ALL") else CORE
+NAMES = sorted(registry.queries()) if os.environ.get("PANELPROJ_ALL") else CORE
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="example tables not present")
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(registry.queries()) == set(registry.oracle_sql())
 
 
 def test_entry(spark):
@@ -38,8 +39,8 @@ def test_query(spark, name):
     con = duckdb.connect()
     for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{DATA}/{t}.parquet'")
-    df = queries()[name](spark, DATA)
-    cursor = con.execute(oracle_sql()[name])
+    df = registry.queries()[name](spark, DATA)
+    cursor = con.execute(registry.oracle_sql()[name])
     names = [c[0] for c in cursor.description]
     assert sorted(names) == sorted(df.columns)
     assert canonical([tuple(r) for r in df.collect()], df.columns) == canonical(cursor.fetchall(), names)
@@ -52,13 +53,33 @@ def test_delivery_run(spark):
         city_names=fx.city_names, history=fx.past, external=fx.external,
     )
     params = Parameters(
-        quarter=CURRENT, target_cities=TARGET_CITIES, impute_region="ASIA", impute_market="Diabetes", missing_city="NATION_20",
+        quarter=fx.quarter, target_cities=TARGET_CITIES, impute_region="ASIA", impute_market="Diabetes", missing_city="NATION_20",
         proxy_city="NATION_2", residual_molecule="Others", tcm_products=TCM_PRODUCTS, rules=RULES,
     )
     rows = run_delivery(inputs, params).cache()
     assert set(rows.columns) <= set(DELIVERY_COLUMNS)
     periods = {r[0]: r[1] for r in rows.groupBy("period_type").count().collect()}
     assert set(periods) == {"QTR", "MAT"}
-    current = rows.filter((rows.period_type == "QTR") & (rows.date == CURRENT))
+    current = rows.filter((rows.period_type == "QTR") & (rows.date == fx.quarter))
     assert {"National", "NATION_20"} <= {r.city for r in current.select("city").distinct().collect()}
     assert rows.filter("value_lc <= 0 OR units <= 0").count() == 0
+
+
+def test_run_projects_one_quarter(spark):
+    """Rows of other quarters in the panels change nothing."""
+    fx = Fixtures(spark, DATA)
+    params = Parameters(
+        quarter=fx.quarter, target_cities=TARGET_CITIES, impute_region="ASIA", impute_market="Diabetes", missing_city="NATION_20",
+        proxy_city="NATION_2", residual_molecule="Others", tcm_products=TCM_PRODUCTS, rules=RULES,
+    )
+
+    def national(panel):
+        inputs = Inputs(
+            panels=[panel], registry=fx.registry, tiers=fx.tier_listing, master=fx.master, tenders=fx.tenders, rounds=fx.rounds,
+            city_names=fx.city_names, history=fx.past, external=fx.external,
+        )
+        rows = run_delivery(inputs, params)
+        return rows.filter((rows.city == "National") & (rows.date == fx.quarter) & (rows.period_type == "QTR")).agg({"value_lc": "sum"}).first()[0]
+
+    panel = fx.panel.drop("flag")
+    assert national(panel) == pytest.approx(national(panel.filter(panel.quarter == fx.quarter)))

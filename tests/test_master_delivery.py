@@ -3,11 +3,12 @@
 import pytest
 from pyspark.sql import functions as F
 
-from panelproj.operators.delivery import DELIVERY_COLUMNS, DELIVERY_LABELS, DIMENSIONS, MEASURES, classify, label_delivery, national_rollup, split_markets
+from panelproj.operators.delivery import DELIVERY_COLUMNS, DELIVERY_LABELS, DIMENSIONS, MEASURES, DeliveryRules, classify, label_delivery, national_rollup, split_markets
 from panelproj.operators.dims import DISABLED_MARK, NAME_ATTRIBUTES, attribute_source, build_universe, city_tier, newest_attributes, product_master, tender_rounds
-from panelproj.operators.periods import growth_rollforward, lead_growth, self_rollforward
+from panelproj.operators.periods import assemble_delivery, growth_rollforward, lead_growth, moving_annual_total, self_rollforward
 from panelproj.operators.project import tier_districts
 from panelproj.operators.review import duplicate_key_check, price_check_matrix, tender_coverage, uniformity_report
+from panelproj.plans import published_parameters
 from panelproj.operators.standardize import centre_places, combine_panels, standardize_panel
 
 RAW = (
@@ -190,18 +191,20 @@ def test_reports(spark, rows):
     assert rows(uniformity_report(odd), "packid", "atc3", "n") == [("0000001", "A", 2), ("0000001", "B", 2)]
     assert duplicate_key_check(odd).count() == 2
     tenders = spark.createDataFrame([("c", "m", "0000001", 4), ("c", "m", "0000009", 4), ("c", "q", "0000001", 4), ("c", "m", "0000001", 1)], "city string, molecule string, packid string, sheet int")
-    assert rows(tender_coverage(tenders, clean, sheet=4), "existence") == [("Pack没有，产品有",), ("有",), ("没有",)] or set(
-        rows(tender_coverage(tenders, clean, sheet=4), "existence")
-    ) == {("有",), ("没有",), ("Pack没有，产品有",)}
+    assert rows(tender_coverage(tenders, clean, sheet=4), "packid", "molecule", "existence") == [
+        ("0000001", "m", "有"), ("0000001", "q", "没有"), ("0000009", "m", "Pack没有，产品有")
+    ]
 
 
 def test_price_matrix(spark):
     df = delivery(spark, {"value_lc": 25.0}, {"date": "2020Q4", "value_lc": 40.0}, {"date": "2020Q4", "value_lc": 90.0}, {"packid": "2", "value_lc": 999.0})
     matrix = price_check_matrix(df)
     assert [r.packid for r in matrix.collect()] == ["2", "0000001"]
-    assert [tuple(r)[-2:] for r in matrix.collect()] == [(100.0, None), (2.0, 9.0)]
-    lists = price_check_matrix(df, as_lists=True).filter("packid = '0000001'").first()
-    assert (lists["2020Q3"], lists["2020Q4"]) == ([2.0], [4.0, 9.0])
+    assert [tuple(r)[-2:] for r in matrix.collect()] == [([100.0], []), ([2.0], [4.0, 9.0])]
+    single = price_check_matrix(df.filter("value_lc <> 90"), as_lists=False).filter("packid = '0000001'").first()
+    assert (single["2020Q3"], single["2020Q4"]) == (2.0, 4.0)
+    with pytest.raises(Exception, match="several prices in 2020Q4 of 0000001"):
+        price_check_matrix(df, as_lists=False).collect()
 
 
 def test_classes_do_not_gather_hot_groups(spark):
@@ -209,3 +212,33 @@ def test_classes_do_not_gather_hot_groups(spark):
     df = spark.range(100).select(F.lit("k").alias("k"), F.col("id").alias("o"), F.col("id").cast("string").alias("v"))
     plan = newest_attributes(df, ["k"], ["o"], last=["v"])._jdf.queryExecution().executedPlan().toString()
     assert "Window" not in plan and "partial_max_by" in plan
+
+
+def test_last_is_the_last_delivered_row(spark, rows):
+    """Within a delivered table QTR rows come before MAT rows, and a channel before the next one's older rows."""
+    history = delivery(
+        spark,
+        {"period_type": "MAT", "product_name": "from MAT"}, {"period_type": "QTR", "product_name": "from QTR"},
+        {"packid": "0000002", "channel": "CHC", "date": "2020Q4", "product_name": "new CHC"}, {"packid": "0000002", "channel": "CHS", "date": "2020Q1", "product_name": "old CHS"},
+    )
+    nothing = history.filter("false")
+    named = assemble_delivery(history, nothing, nothing, sort=False)
+    assert set(rows(named, "packid", "product_name")) == {("0000001", "from MAT"), ("0000002", "old CHS")}
+    report = uniformity_report(history.withColumn("market", F.lit("m")).withColumn("atc3", F.col("period_type")))
+    assert set(rows(report, "packid", "product_name")) == {("0000001", "from MAT")}
+    total = moving_annual_total(history.filter("packid = '0000002'").withColumn("date", F.lit("2020Q3")), nothing, quarter="2020Q4")
+    assert set(rows(total, "product_name")) == {("old CHS",)}
+
+
+def test_missing_order_values_come_last(spark, rows):
+    df = spark.createDataFrame([("k", None, "undated"), ("k", "2020Q3", "first"), ("k", "2020Q4", "second")], "k string, date string, v string")
+    out = newest_attributes(df.withColumn("w", F.col("v")), ["k"], ["date"], last=["v"], first_known=["w"])
+    assert set(rows(out, "v", "w")) == {("undated", "first")}
+    periods = spark.createDataFrame([("k", None, 9.0, 9.0), ("k", "2020Q3", 2.0, 1.0), ("k", "2020Q4", 4.0, 2.0)], "k string, date string, value_lc double, units double")
+    assert rows(lead_growth(periods, ["k"]), "growth_sales", "growth_units") == [(2.0, 2.0), (2.25, 4.5)]
+
+
+def test_published_parameters_fit_the_run():
+    params = published_parameters("2020Q4")
+    assert params.missing_city in params.target_cities and params.proxy_city in params.target_cities
+    assert set(params.exclude_donor_provinces) <= set(params.target_cities) and params.rules == DeliveryRules()

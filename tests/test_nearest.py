@@ -1,10 +1,12 @@
 """Nearest-donor joins against brute force."""
 
 import numpy as np
+import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from panelproj.operators.impute import centre_months, knn_neighbours, knn_weights
-from panelproj.operators.nearest import knn_join, nearest_in_block, nearest_values
+from panelproj.operators.nearest import _candidate_cells, knn_join, nearest_in_block, nearest_values, value_bins
 from panelproj.operators.project import nearest_district_donor
 
 
@@ -18,17 +20,27 @@ def brute(targets, donors):
     return found
 
 
-@pytest.mark.parametrize("bins", [2, 8, 64])
-def test_nearest_values(spark, bins):
-    rng = np.random.default_rng(bins)
+@pytest.mark.parametrize("per_bin", [1, 7, 4096])
+def test_nearest_values(spark, per_bin):
+    rng = np.random.default_rng(per_bin)
     targets = [(str(rng.choice(["a", "b", "z"])), float(v)) for v in rng.integers(0, 300, 200)]
     # Whole numbers give many two-sided ties and exact hits; block b is skewed, z has no donor.
     donors = [("a", float(v)) for v in rng.integers(0, 300, 60)] + [("b", float(v)) for v in rng.integers(40, 60, 90)]
     t, d = spark.createDataFrame(targets, "by string, v double"), spark.createDataFrame(donors, "by string, v double")
-    got = {(r.by, r.v, r.donor_value) for r in nearest_values(t, d, "by", "v", bins).collect()}
+    got = {(r.by, r.v, r.donor_value) for r in nearest_values(t, d, "by", "v", per_bin).collect()}
     assert got == brute(targets, donors)
 
 
+def test_targets_beyond_all_donors_are_spread(spark):
+    """100,000 targets above 64 donors: no bin holds more than a few times its share."""
+    points = spark.range(100_064).select(F.lit("a").alias("by"), F.col("id").cast("double").alias("v"))
+    sizes = [r["count"] for r in value_bins(points, "by").groupBy("bin").count().collect()]
+    assert len(sizes) >= 20 and max(sizes) <= 3 * 4096
+    targets, donors = points.filter("v >= 64"), points.filter("v < 64")
+    near = nearest_values(targets, donors, "by", "v")
+    assert near.count() == 100_000 and near.filter("donor_value <> 63").count() == 0
+
+
 def test_all_tied_donors_stay(spark, rows):
     t = spark.createDataFrame([("x", 1.0, 10.0)], "name string, tier double, est double")
     d = spark.createDataFrame(
@@ -105,3 +117,30 @@ def test_weights(spark):
     assert [r.knn_weight for r in knn_weights(near).orderBy("rank").collect()] == pytest.approx([a, b, c])
     proper = [r.knn_weight for r in knn_weights(near, normalize="proper").orderBy("rank").collect()]
     assert sum(proper) == pytest.approx(1) and proper == pytest.approx([x / sum(w) for x in w])
+
+
+def test_one_centre_at_two_places(spark):
+    """Each place's vector is ranked on its own."""
+    facts = [("2020", "202010", "2020Q4", "t", "c", d, "t1", "HTN", "1", 1.0, s) for d, s in (("north", 10.0), ("south", 50.0))]
+    facts += [fact("o", f"d{i}", "202010", "HTN", "1", s) for i, s in enumerate([10, 20, 50], start=1)]
+    near = knn_neighbours(spark.createDataFrame(facts, FACT), target="t", k=1)
+    assert sorted((r.district, r.pchc, r.knn_pchc) for r in near.collect()) == [("north", "t1", "d1"), ("south", "t1", "d3")]
+
+
+def test_weights_with_fewer_donors_than_k(spark):
+    facts = [fact("t", "t1", "202010", "HTN", "1", 10)] + [fact("o", f"d{i}", "202010", "HTN", "1", s) for i, s in enumerate([10, 30], start=1)]
+    near = knn_neighbours(spark.createDataFrame(facts, FACT), target="t")
+    weights = [r.knn_weight for r in knn_weights(near).orderBy("rank").collect()]
+    assert len(weights) == 2 and all(w > 0 for w in weights)
+
+
+def test_clusters_are_pruned(spark):
+    """On clustered donors a target looks at few cells."""
+    rng = np.random.default_rng(0)
+    centres = rng.uniform(0, 1000, (40, 3))
+    donors = np.repeat(centres, 50, axis=0) + rng.normal(0, 1, (2000, 3))
+    counts, pivots = np.full(40, 50), centres
+    radii = np.array([np.sqrt(((donors[i * 50 : i * 50 + 50] - centres[i]) ** 2).sum(axis=1)).max() for i in range(40)])
+    asked = pd.DataFrame({"target": [str(i) for i in range(200)], "vec": list(donors[::10] + 0.1)})
+    cells = next(_candidate_cells(pivots, counts, radii, 3)(iter([asked])))["cells"]
+    assert np.mean([len(c) for c in cells]) * 50 < 0.1 * len(donors)

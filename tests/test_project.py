@@ -4,7 +4,8 @@ import numpy as np
 import pytest
 
 from panelproj.operators.price import price_level_table, price_levels, update_price
-from panelproj.operators.project import project_nation, project_sample, project_sample_by_centre
+from by_centre import project_sample_by_centre
+from panelproj.operators.project import project_nation, project_sample
 
 FACT = "date string, province string, city string, district string, pchc string, market string, packid string, units double, sales double"
 UNIVERSE = "pchc string, province string, city string, district string, est double, flag_sample int"
