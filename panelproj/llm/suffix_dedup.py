@@ -48,12 +48,16 @@ def suffix_dedup(docs: DataFrame, length: int = 200, with_text: bool = False) ->
     on_cover[COVER] = True
     schema = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string())] + ([("kept", pa.binary())] if with_text else []))
 
-    def parts(table: pa.Table):
-        roller = textbytes.Roller()
+    def pieces(table: pa.Table):
         data, offsets = textbytes.buffer_of(table.column("text"))
         for lo, hi in textbytes.slices(offsets):
-            part, edges = data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]
-            yield part, edges, roller.prefix(textbytes.BYTE_VALUES[part]), roller
+            yield data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]
+
+    def summed(table: pa.Table):
+        """Row edges and prefix sums, piece by piece; never kept for a whole chunk."""
+        roller = textbytes.Roller()
+        for part, edges in pieces(table):
+            yield edges, roller.prefix(textbytes.BYTE_VALUES[part]), roller
 
     def samples(edges: np.ndarray, prefix: np.ndarray, roller: textbytes.Roller) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Positions on the cover, the begin of their row, and their keys."""
@@ -63,23 +67,23 @@ def suffix_dedup(docs: DataFrame, length: int = 200, with_text: bool = False) ->
         at, begin = at[chosen], begin[chosen]
         return at, begin, _narrow(roller.keys(prefix, at, at + depth))
 
-    def sample_keys(pieces) -> np.ndarray:
+    def sample_keys(table: pa.Table) -> np.ndarray:
         """A chunk's distinct cover samples, flagged where they occur again."""
-        return _folded(np.sort(np.concatenate([samples(edges, prefix, roller)[2] for _, edges, prefix, roller in pieces])))
+        return _folded(np.sort(np.concatenate([samples(*piece)[2] for piece in summed(table)])))
 
     def sample_requests(key: tuple, table: pa.Table) -> pa.Table:
-        return pa.Table.from_batches([repeats.dealt(key[0].as_py(), sample_keys(parts(table)), buckets, PLANES)])
+        return pa.Table.from_batches([repeats.dealt(key[0].as_py(), sample_keys(table), buckets, PLANES)])
 
     def ties(keys: np.ndarray, chunks: np.ndarray) -> np.ndarray:
         plain = _narrow(keys)
         same = repeats.same_before(plain)
         return (keys & REPEATED != 0) | same | np.append(same[1:], False) if len(keys) else same
 
-    def tied_suffixes(pieces, answers: pa.Table) -> list[tuple[np.ndarray, np.ndarray]]:
+    def tied_suffixes(table: pa.Table, answers: pa.Table) -> list[tuple[np.ndarray, np.ndarray]]:
         """Starts of full length whose cover sample has a tie, and their keys, piece by piece."""
-        sent = sample_keys(pieces)
+        sent = sample_keys(table)
         tied, out = repeats.Among(_narrow(sent[repeats.told(answers, sent, buckets)])), []
-        for _, edges, prefix, roller in pieces:
+        for edges, prefix, roller in summed(table):
             at, begin, keys = samples(edges, prefix, roller)
             hit = tied(keys)
             n = int(edges[-1]) + 1
@@ -92,7 +96,7 @@ def suffix_dedup(docs: DataFrame, length: int = 200, with_text: bool = False) ->
     def long_ties(key: tuple, table: pa.Table, answers: pa.Table) -> pa.Table:
         if not table.num_rows:
             return pa.Table.from_batches([], schema=repeats.REQUEST_SCHEMA)
-        keys = np.concatenate([k for _, k in tied_suffixes(list(parts(table)), answers)])
+        keys = np.concatenate([k for _, k in tied_suffixes(table, answers)])
         return pa.Table.from_batches([repeats.dealt(key[0].as_py(), _marked(np.sort(keys)), buckets)])
 
     def repeated(keys: np.ndarray, chunks: np.ndarray) -> np.ndarray:
@@ -103,15 +107,15 @@ def suffix_dedup(docs: DataFrame, length: int = 200, with_text: bool = False) ->
     def removed(key: tuple, table: pa.Table, answers: pa.Table) -> pa.Table:
         if not table.num_rows:
             return pa.Table.from_batches([], schema=schema)
-        kind, pieces = answers.column("kind").to_numpy(), list(parts(table))
-        tied = tied_suffixes(pieces, answers.filter(pa.array(kind == 0)))
+        kind = answers.column("kind").to_numpy()
+        tied = tied_suffixes(table, answers.filter(pa.array(kind == 0)))
         keys = np.concatenate([k for _, k in tied])
         order = np.argsort(keys)
         keys = keys[order]
         several = np.zeros(len(keys), dtype=bool)
         several[order] = repeats.told(answers.filter(pa.array(kind == 1)), _marked(keys), buckets)[np.cumsum(~repeats.same_before(keys)) - 1]
         at, sizes, gone, spans, digests, kept = 0, [], [], [], [], []
-        for (part, edges, _, _), (starts, _) in zip(pieces, tied, strict=True):
+        for (part, edges), (starts, _) in zip(pieces(table), tied, strict=True):
             mask = textbytes.covered(starts[several[at : at + len(starts)]], length, len(part))
             at += len(starts)
             rows = textbytes.row_sums(mask, edges)

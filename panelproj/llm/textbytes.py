@@ -15,7 +15,7 @@ U64 = np.uint64
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
 BASE = 0x9E3779B97F4A7C15
-SLICE_BYTES = 2_000_000
+SLICE_BYTES = 1_000_000
 
 
 def mix(x: np.ndarray) -> np.ndarray:
