@@ -8,7 +8,7 @@ final model minimises the non-negative unbiased risk
     prior * E_P[loss(g)] + max(0, E_U[loss(-g)] - prior * E_P[loss(-g)])
 
 with the logistic loss, by gradient steps on the driver over bounded samples (``most`` rows of
-each kind, the smallest hashes of the id). Scores of all documents come from one pass.
+each kind, chosen by hash of the id). Scores of all documents come from one pass.
 
 Features describe the text alone: lengths, shares of character classes, repetition of words,
 windows and lines. They are computed once and written to the checkpoint folder; a document's
@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from panelproj.llm import textbytes
 from panelproj.llm.quality_rules import duplicate_lines, repeated_words
-from panelproj.llm.shared import checkpointed
+from panelproj.llm.shared import bounded_sample, checkpointed
 
 CLASSES = {
     "upper": b"ABCDEFGHIJKLMNOPQRSTUVWXYZ",
@@ -154,8 +154,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, most: int = 20_000, thres
     good = good.select(F.col("doc_id").cast("long").alias("doc_id"), F.lit(True).alias("trusted"))
     marked = rows.join(good, "doc_id", "left").withColumn("trusted", F.coalesce("trusted", F.lit(False)))
     training = marked.where("not held_out")
-    order = [F.xxhash64("doc_id"), "doc_id", "x"]
-    sample = lambda part: np.array([r["x"] for r in part.select("doc_id", "x").orderBy(*order).limit(most).collect()], np.float64)
+    sample = lambda part: np.array([r["x"] for r in bounded_sample(part.select("doc_id", "x"), most, "x").collect()], np.float64)
     positive, unlabelled = sample(training.where("trusted")), sample(training)
     model = None
     if len(positive):

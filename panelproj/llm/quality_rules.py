@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelproj.llm import textbytes
+from panelproj.llm.shared import bounded_sample
 
 BUCKET_BITS = 14
 ORDER = 3
@@ -30,9 +31,9 @@ SYMBOL[list(b"#*$%&|<>")] = True
 
 
 def trusted_ids(labels: DataFrame, most: int = 10_000) -> DataFrame:
-    """At most so many documents that every label calls good, by smallest hash of the id. The bound makes the table small enough to broadcast."""
+    """At most so many documents that every label calls good, by hash of the id. The bound makes the table small enough to broadcast."""
     good = labels.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min("quality").alias("q")).where("q = 1")
-    return good.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
+    return bounded_sample(good.select("doc_id"), most)
 
 
 def _grams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
