@@ -4,11 +4,12 @@ A line is the set of its five-word shingles (a shorter line: its words as one),
 match from a Jaccard similarity of ``similarity`` on. The join:
 
 * tokens are ordered by rarity: shingles are counted over all lines, in a table of fixed size by
-  hash (a count is then an upper bound; any common order keeps the join exact, a good one keeps
-  it small), so a passage that many lines share comes last in all of them;
+  hash (any common order keeps the join exact, a good one keeps it small), so a passage that many lines share comes last in all of them;
 * prefix filter: two matching lines share one of their n - ceil(t n) + 1 first tokens;
 * length filter (t n <= m) and positional filter (from the shared positions on, enough tokens
   must be left to reach the overlap that t asks for);
+* parity filter: sets that may match differ in few tokens, hence in few of 64 parities of
+  token classes;
 * verification of the Jaccard similarity on the lines' full sets.
 
 Equal lines are one line of the join, standing where it occurs first; later occurrences go. For
@@ -17,7 +18,7 @@ pairs: first each line is compared with the earliest line of each token it share
 lines that are left with all earlier lines left. So every removed line has an earlier match, and
 no two lines that stay match each other.
 
-Order is by doc_id (null last), a hash of id and text, and the line's number. Lines without a word stay.
+Order is by doc_id (null last) and the line's number, ties by hashes of the document and the line. Lines without a word stay.
 Native functions only. Texts are moved once, for the result; until then lines are hashes, and
 only lines with a candidate are read again.
 
@@ -26,7 +27,7 @@ both keep the same lines; extra columns are kept by ``without_repeated_lines``;
 gives an empty result.
 """
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelproj.llm.shared import written
@@ -46,64 +47,79 @@ def lines_of(docs: DataFrame) -> DataFrame:
 
 
 def shingles(line: Column, step: int = 1) -> Column:
-    """Hashes of the line's five-word shingles, every step-th of them; null without a word."""
-    words = F.filter(F.split(F.translate(line, "\t\r\x0b\x0c", "    "), " "), lambda w: w != "")
-    hashed = F.transform(words, lambda w: F.xxhash64(w))
-    starts = lambda h: F.sequence(F.lit(0), F.size(h) - SHINGLE, F.lit(step))
-    many = lambda h: F.transform(starts(h), lambda i: F.xxhash64(*[F.get(h, i + k) for k in range(SHINGLE)]))
-    # a one-element array lets the word hashes be computed once
-    return F.get(F.transform(F.array(hashed), lambda h: F.when(F.size(h) >= SHINGLE, many(h)).when(F.size(h) > 0, F.array(F.xxhash64(h)))), F.lit(0))
+    """Hashes of the five-word shingles, every step-th of them, of a line that has a word."""
+    blank = lambda c: F.contains(line, F.lit(c))
+    odd = blank("\t") | blank("\r") | blank("\x0b") | blank("\x0c") | blank("  ") | F.startswith(line, F.lit(" ")) | F.endswith(line, F.lit(" "))
+    words = F.split(F.when(odd, F.trim(F.regexp_replace(line, r"[\x20\x09-\x0D]+", " "))).otherwise(line), " ")
+    starts = lambda w: F.sequence(F.lit(0), F.size(w) - SHINGLE, F.lit(step))
+    many = lambda w: F.transform(starts(w), lambda i: F.xxhash64(*[F.get(w, i + k) for k in range(SHINGLE)]))
+    # a one-element array lets the words be split once
+    return F.get(F.transform(F.array(words), lambda w: F.when(F.size(w) >= SHINGLE, many(w)).otherwise(F.array(F.xxhash64(w)))), F.lit(0))
 
 
 def frequencies(lines: DataFrame) -> Column:
-    """The magnitude of shingles' counts by hash bucket, as a constant array of fixed size. Every line counts with each fourth shingle, which is enough to tell frequent ones."""
-    bucket = F.pmod(F.col("s"), F.lit(1 << COUNT_BITS)).cast("int").alias("bucket")
-    counted = lines.select(F.explode(shingles(F.col("line"), step=4)).alias("s")).groupBy(bucket).agg(F.count(F.lit(1)).alias("n"))
+    """The magnitude of shingles' counts by hash bucket, as a constant array of fixed size whose values go to the highest byte.
+
+    Every line counts with each eighth shingle, which is enough to tell frequent ones.
+    """
+    bucket = F.col("s").bitwiseAND((1 << COUNT_BITS) - 1).alias("bucket")
+    counted = lines.select(F.explode(shingles(F.col("line"), step=8)).alias("s")).groupBy(bucket).agg(F.count(F.lit(1)).alias("n"))
     magnitude = [0] * (1 << COUNT_BITS)
     for row in counted.select("bucket", F.floor(F.log2(F.col("n") + 1) * 2).alias("m")).collect():
-        magnitude[row["bucket"]] = min(row["m"], 100)
-    return F.from_json(F.lit(str(magnitude)), "array<tinyint>")
+        magnitude[row["bucket"]] = min(row["m"], 100) << 56
+    return F.from_json(F.lit(str(magnitude)), "array<bigint>")
 
 
 def by_rarity(tokens: Column, magnitude: Column) -> Column:
     """Distinct tokens as longs that sort by the magnitude of their count, then by hash."""
-    rank = lambda t: F.coalesce(F.get(magnitude, F.pmod(t, F.lit(1 << COUNT_BITS)).cast("int")), F.lit(0)).cast("long")
-    ranked = F.transform(tokens, lambda t: F.shiftleft(rank(t), 56).bitwiseOR(F.shiftrightunsigned(t, 8)))
-    return F.sort_array(F.array_distinct(ranked))
+    rank = lambda t: F.coalesce(F.get(magnitude, t.bitwiseAND((1 << COUNT_BITS) - 1).cast("int")), F.lit(0).cast("long"))
+    return F.sort_array(F.array_distinct(F.transform(tokens, lambda t: rank(t).bitwiseOR(F.shiftrightunsigned(t, 8)))))
+
+
+def parities(tokens: Column) -> Column:
+    """64 bits: whether a set has an odd number of tokens in each of 64 classes. Two sets differ in as many tokens as bits at least."""
+    return F.aggregate(tokens, F.lit(0).cast("long"), lambda a, t: a.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), t.bitwiseAND(63).cast("int"))))
 
 
 def _least_overlap(n: Column, m: Column, similarity: float) -> Column:
     return F.ceil((n + m) * (similarity / (1 + similarity)) - 1e-9)
 
 
-def line_verdicts(docs: DataFrame, similarity: float = 0.8) -> tuple[DataFrame, DataFrame]:
-    """Two tables: the first place of each distinct line (line_hash, place, line_no), and the hashes of lines that nearly repeat an earlier one."""
-    lines = lines_of(docs)
+def line_verdicts(docs: DataFrame, keyed: DataFrame, similarity: float = 0.8) -> tuple[DataFrame, DataFrame]:
+    """Two tables: the first place of each distinct line (line_hash, place, line_no), and the hashes of lines that nearly repeat an earlier one.
+
+    keyed: the documents with their row key, as they are joined with the result.
+    """
+    # The filter looks at the line and not at its tokens, which would then be made twice.
+    lines = lines_of(docs).where(F.col("line").rlike(r"[^\x20\x09-\x0D]"))
     magnitude = frequencies(lines)
-    hashed = lines.select("place", "line_no", F.xxhash64("line").alias("line_hash"), by_rarity(shingles(F.col("line")), magnitude).alias("tokens")).where(F.size("tokens") > 0)
+    hashed = lines.select("place", "line_no", F.xxhash64("line").alias("line_hash"), by_rarity(shingles(F.col("line")), magnitude).alias("tokens"))
     n = F.size("tokens")
     prefix = F.slice("tokens", 1, n - F.ceil(n * similarity - 1e-9).cast("int") + 1)
-    # the line's place goes with its first token only
-    rows = hashed.select("line_hash", n.alias("n"), F.struct("place", "line_no").alias("at"), F.posexplode(prefix).alias("pos", "token"))
+    # the line's place and parities go with its first token only
+    hashed = hashed.withColumn("parities", parities(F.col("tokens")))
+    rows = hashed.select("line_hash", n.alias("n"), F.struct("place", "line_no", "parities").alias("at"), F.posexplode(prefix).alias("pos", "token"))
     rows = rows.select("token", "line_hash", "n", "pos", F.when(F.col("pos") == 0, F.col("at")).alias("at"))
     n_parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     met = rows.repartition(n_parts, "token").groupBy("token", "line_hash").agg(F.min("n").alias("n"), F.min("pos").alias("pos"), F.min("at").alias("at"))
-    shared = met.groupBy("token").agg(F.count(F.lit(1)).alias("lines"))
-    met = written(met.join(shared, "token").where("lines > 1 or pos = 0"))
+    met = met.withColumn("lines", F.count(F.lit(1)).over(Window.partitionBy("token")))
+    met = written(met.where("lines > 1 or pos = 0"))
 
-    first = met.where("pos = 0").select("line_hash", F.col("at.place").alias("place"), F.col("at.line_no").alias("line_no"), "n")
-    tokens = met.where("lines > 1").select("token", "line_hash", "n", "pos")
-    tokens = written(tokens.join(first.select("line_hash", F.struct("place", "line_no").alias("at")), "line_hash"))
-    return first, _near(docs, tokens, similarity)
+    first = met.where("pos = 0").select("line_hash", F.col("at.place").alias("place"), F.col("at.line_no").alias("line_no"), F.col("at.parities").alias("parities"))
+    tokens = met.where("lines > 1").select("token", "line_hash", "n", "pos").join(first, "line_hash")
+    return first, _near(keyed, written(tokens), similarity)
 
 
-def _near(docs: DataFrame, tokens: DataFrame, similarity: float) -> DataFrame:
-    """line_hash of the lines to remove; tokens: token, line_hash, n, pos and at (the line's place) of tokens that several lines share."""
-    texts = docs.select(row_key().alias("row_key"), F.col("text").cast("string").alias("text"))
-    wanted = tokens.select("line_hash", F.col("at.place.row_key").alias("row_key"), F.col("at.line_no").alias("line_no")).distinct()
+def _near(keyed: DataFrame, tokens: DataFrame, similarity: float) -> DataFrame:
+    """line_hash of the lines to remove; tokens: token, line_hash, n, pos, place and line_no of tokens that several lines share."""
+    wanted = tokens.select("line_hash", F.col("place.row_key").alias("row_key"), "line_no").distinct()
     wanted = wanted.groupBy("row_key").agg(F.collect_list(F.struct("line_hash", "line_no")).alias("some"))
-    sets = texts.join(wanted, "row_key").select(F.split("text", "\n", -1).alias("all"), F.explode("some").alias("one"))
-    sets = sets.select("one.line_hash", F.array_distinct(shingles(F.get("all", F.col("one.line_no")))).alias("set")).dropDuplicates(["line_hash"])
+    # All columns are asked for (by a condition that always holds), so this join and the final one read the same exchange of texts.
+    same = F.xxhash64(*[F.col(f"k.`{c}`") for c in keyed.columns if c != "text"], F.size("some")) >= F.lit(-(2**63))
+    found = keyed.alias("k").join(wanted.withColumnRenamed("row_key", "wanted_key"), (F.col("k.key_of_doc") == F.col("wanted_key")) & same)
+    sets = found.select(F.split(F.col("k.text").cast("string"), "\n", -1).alias("all"), F.explode("some").alias("one"))
+    sets = sets.select("one.line_hash", F.array_distinct(shingles(F.get("all", F.col("one.line_no")))).alias("set"))
+    tokens = tokens.select("token", "line_hash", "n", "pos", "parities", F.coalesce("place.doc_id", F.lit(2**63 - 1)).alias("id"), "line_no")
 
     def matched(pairs: DataFrame) -> DataFrame:
         """The later lines x of verified pairs (x, y)."""
@@ -114,26 +130,28 @@ def _near(docs: DataFrame, tokens: DataFrame, similarity: float) -> DataFrame:
         return both.where(overlap >= (F.size("x_set") + F.size("y_set") - overlap) * similarity - 1e-9).select("x").distinct()
 
     def candidates(later: DataFrame, earlier: DataFrame) -> DataFrame:
-        x = later.select("token", F.col("line_hash").alias("x"), F.col("n").alias("n_x"), F.col("pos").alias("pos_x"), F.col("at").alias("at_x"))
-        y = earlier.select("token", F.col("line_hash").alias("y"), F.col("n").alias("n_y"), F.col("pos").alias("pos_y"), F.col("at").alias("at_y"))
+        named = lambda df, of: df.select("token", F.col("line_hash").alias(of), F.col("n").alias(f"n_{of}"), F.col("pos").alias(f"pos_{of}"), F.col("parities").alias(f"parities_{of}"), F.col("id").alias(f"id_{of}"), F.col("line_no").alias(f"no_{of}"))
+        x, y = named(later, "x"), named(earlier, "y")
+        before = F.struct("id_y", "no_y", "y") < F.struct("id_x", "no_x", "x")
         lengths = (F.col("n_x") >= F.col("n_y") * similarity) & (F.col("n_y") >= F.col("n_x") * similarity)
         reach = F.least("pos_x", "pos_y") + 1 + F.least(F.col("n_x") - F.col("pos_x"), F.col("n_y") - F.col("pos_y")) - 1
-        positions = reach >= _least_overlap(F.col("n_x"), F.col("n_y"), similarity)
-        return x.join(y, "token").where((F.col("at_y") < F.col("at_x")) & lengths & positions).select("x", "y").distinct()
+        least = _least_overlap(F.col("n_x"), F.col("n_y"), similarity)
+        differing = F.bit_count(F.col("parities_x").bitwiseXOR(F.col("parities_y"))) <= F.col("n_x") + F.col("n_y") - 2 * least
+        return x.join(y, "token").where(before & lengths & (reach >= least) & differing).select("x", "y").distinct()
 
-    head = tokens.groupBy("token").agg(F.min(F.struct("at", "line_hash", "n", "pos")).alias("h")).select("token", "h.*")
+    head = tokens.groupBy("token").agg(F.min(F.struct("id", "line_no", "line_hash", "n", "pos", "parities")).alias("h")).select("token", "h.*")
     gone = matched(candidates(tokens, head))
     left = tokens.join(gone.select(F.col("x").alias("line_hash")), "line_hash", "left_anti")
     return gone.unionByName(matched(candidates(left, left))).select(F.col("x").alias("line_hash"))
 
 
-def removed_lines(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
-    """row_key and gone (line numbers) of the documents that lose lines."""
-    first, near = line_verdicts(docs, similarity)
+def removed_lines(docs: DataFrame, keyed: DataFrame, similarity: float = 0.8) -> DataFrame:
+    """key_of_gone (a row key) and gone_lines (line numbers) of the documents that lose lines."""
+    first, near = line_verdicts(docs, keyed, similarity)
     verdict = first.select("line_hash", F.struct("place", "line_no").alias("first_at")).join(near.withColumn("near", F.lit(True)), "line_hash", "left")
     lines = lines_of(docs).select(F.struct("place", "line_no").alias("at"), F.xxhash64("line").alias("line_hash"))
     gone = lines.join(verdict, "line_hash").where("near or at <> first_at")
-    return gone.groupBy(F.col("at.place.row_key").alias("row_key")).agg(F.collect_set("at.line_no").alias("gone"))
+    return gone.groupBy(F.col("at.place.row_key").alias("key_of_gone")).agg(F.collect_set("at.line_no").alias("gone_lines"))
 
 
 def _kept(text: Column, gone: Column) -> Column:
@@ -145,19 +163,19 @@ def _kept(text: Column, gone: Column) -> Column:
 
 def without_repeated_lines(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
     """The documents with all their columns and the repeated lines taken out of the text. A document may lose all its lines; it stays, with an empty text."""
-    gone = removed_lines(docs, similarity).select(F.col("row_key").alias("key_of_gone"), F.col("gone").alias("gone_lines"))
-    joined = docs.withColumn("key_of_doc", row_key()).join(gone, F.col("key_of_doc") == F.col("key_of_gone"), "left")
+    keyed = docs.withColumn("key_of_doc", row_key())
+    joined = keyed.join(removed_lines(docs, keyed, similarity), F.col("key_of_doc") == F.col("key_of_gone"), "left")
     return joined.withColumn("text", _kept(F.col("text").cast("string"), F.col("gone_lines"))).select(*docs.columns)
 
 
 def line_dedup(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
     """doc_id, n_lines, n_removed and kept_sha256 (of the remaining text) of every document."""
-    gone = removed_lines(docs, similarity)
-    keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_key().alias("row_key"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    joined = keyed.join(gone, "row_key", "left")
+    keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_key().alias("key_of_doc"), F.col("text").cast("string").alias("text"))
+    joined = keyed.join(removed_lines(docs, keyed, similarity), F.col("key_of_doc") == F.col("key_of_gone"), "left")
+    text = F.coalesce("text", F.lit(""))
     return joined.select(
         "doc_id",
-        F.size(F.split("text", "\n", -1)).cast("long").alias("n_lines"),
-        F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_removed"),
-        F.sha2(_kept(F.col("text"), F.col("gone")), 256).alias("kept_sha256"),
+        F.size(F.split(text, "\n", -1)).cast("long").alias("n_lines"),
+        F.coalesce(F.size("gone_lines"), F.lit(0)).cast("long").alias("n_removed"),
+        F.sha2(_kept(text, F.col("gone_lines")), 256).alias("kept_sha256"),
     )
