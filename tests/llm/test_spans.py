@@ -97,6 +97,14 @@ def test_terms_that_give_an_entity_away(make_docs, disclosing):
     assert all(got[10 + i] == "" for i in range(20)) and got[41] == ""
 
 
+def test_terms_of_an_entity_in_one_document(make_docs):
+    """In 400 documents one meeting is enough, and two-letter words are terms."""
+    rows = [(i, f"common text about nothing number {i}", "a") for i in range(399)]
+    rows.append((500, "quagga Bo common bob@example.org text", "a"))
+    got = {r["doc_id"]: r["spans"] for r in personal_data(make_docs(rows)).collect()}
+    assert got[500] == "email:17:32,term:0:6,term:7:9" and not any(got[i] for i in range(399))
+
+
 def test_generalised_between_the_thresholds(make_docs, disclosing):
     rows = [*disclosing, (50, "zanzibar elsewhere", "a")]
     got = {r["doc_id"]: r["spans"] for r in personal_data(make_docs(rows), generalise=0.8).collect()}
