@@ -6,11 +6,15 @@ capitalised word straight after a lower-case one, a number or a comma on the sam
 
 1. Template windows of ``window`` tokens are hashed. Benchmark windows with at least half of
    their tokens literal, and four, are the index (shorter items: the whole item is one window).
+   Beside each of them its literal window, in lower case and without placeholders, is in the
+   index too, and documents probe with both: an item in another case, or one whose first word
+   follows a lower-case word, matches whatever its template has become.
 2. Documents' windows meet the index in a hash join. The index side is broadcast if its counted
    rows are within ``most_broadcast``; beyond that both sides are shuffled.
 3. On each alignment (document position minus item position) the slots of matched windows must
    be filled consistently: one item value always by the same document value, and two item
-   values never by the same one. Alignments that fail are coincidences and do not count.
+   values never by the same one. Alignments that fail are coincidences and do not count. A
+   literal window is the item's own words, so it counts in any case.
 4. A document is contaminated by an item if the matched windows on consistent alignments are at
    least ``coverage`` of the item's windows.
 
@@ -46,6 +50,11 @@ def template(token: Column) -> Column:
     return F.when(F.substring(token, 1, 1) == MARK, "<name>").when(token.rlike("^[0-9]") | low.isin(NUMBERS), "<num>").when(low.isin(UNITS), "<unit>").otherwise(low)
 
 
+def literal(token: Column) -> Column:
+    """A token in lower case, without the mark of a name."""
+    return F.lower(F.translate(token, MARK, ""))
+
+
 def is_slot(word: Column) -> Column:
     return F.substring(word, 1, 1) == "<"
 
@@ -57,18 +66,23 @@ def _windows(hashes: Column, window: int) -> Column:
 
 
 def benchmark_windows(benchmark: DataFrame, window: int) -> DataFrame:
-    """window_hash, item_id, item_pos, length (tokens in the window) and n_windows of the item, of windows with enough literal tokens."""
-    words = benchmark.select("item_id", F.transform(tokens(F.col("text")), template).alias("words")).where(F.size("words") > 0)
+    """window_hash, verbatim, item_id, item_pos, length (tokens in the window) and n_windows of the item, of windows with enough literal tokens: the literal window, and the typed one if it has slots."""
+    words = benchmark.select("item_id", tokens(F.col("text")).alias("t")).where(F.size("t") > 0)
+    words = words.select("item_id", F.transform("t", template).alias("words"), F.transform("t", literal).alias("plain"))
     size = F.least(F.size("words"), F.lit(window))
-    rows = words.select("item_id", "words", size.alias("length"), F.explode(F.sequence(F.lit(0), F.size("words") - size)).alias("item_pos"))
-    part = F.slice("words", F.col("item_pos") + 1, F.col("length"))
-    literal = F.size(F.filter(part, lambda w: ~is_slot(w)))
-    rows = rows.where((literal * 2 >= F.col("length")) & (literal >= LEAST_LITERAL))
-    hashed = F.transform(part, lambda w: F.xxhash64(w))
-    long_ = F.xxhash64(*[F.get(hashed, F.lit(k)) for k in range(window)])
-    rows = rows.select("item_id", "item_pos", "length", F.when(F.col("length") == window, long_).otherwise(F.xxhash64(hashed)).alias("window_hash"))
+    rows = words.select("item_id", "words", "plain", size.alias("length"), F.explode(F.sequence(F.lit(0), F.size("words") - size)).alias("item_pos"))
+    part = lambda c: F.slice(c, F.col("item_pos") + 1, F.col("length"))
+    n_literal = F.size(F.filter(part("words"), lambda w: ~is_slot(w)))
+    rows = rows.where((n_literal * 2 >= F.col("length")) & (n_literal >= LEAST_LITERAL))
+
+    def window_hash(c: str) -> Column:
+        hashed = F.transform(part(c), lambda w: F.xxhash64(w))
+        return F.when(F.col("length") == window, F.xxhash64(*[F.get(hashed, F.lit(k)) for k in range(window)])).otherwise(F.xxhash64(hashed))
+
     n = rows.groupBy("item_id").agg(F.count(F.lit(1)).alias("n_windows"))
-    return rows.join(n, "item_id")
+    plain = rows.select("item_id", "item_pos", "length", window_hash("plain").alias("window_hash"), F.lit(True).alias("verbatim"))
+    typed = rows.where(n_literal < F.col("length")).select("item_id", "item_pos", "length", window_hash("words").alias("window_hash"), F.lit(False).alias("verbatim"))
+    return plain.unionByName(typed).join(n, "item_id")
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, window: int = 8, coverage: float = 0.5, most_broadcast: int = 200_000) -> DataFrame:
@@ -78,38 +92,45 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = 8, coverage: fl
     held = index.agg(F.count(F.lit(1)).alias("n"), F.min("length").alias("short")).first()
     side = F.broadcast(index) if held["n"] <= most_broadcast else index
     texts = docs.select(row_key().alias("row_key"), "text")
-    hashed = texts.select("row_key", F.transform(tokens(F.col("text")), lambda t: F.xxhash64(template(t))).alias("h"))
-    found = hashed.select("row_key", F.posexplode(_windows(F.col("h"), window)).alias("pos", "window_hash"))
+    hashed = texts.select("row_key", tokens(F.col("text")).alias("t")).select("row_key", F.transform("t", lambda t: F.xxhash64(template(t))).alias("h"), F.transform("t", lambda t: F.xxhash64(literal(t))).alias("p"))
+    found = _probes(hashed, lambda h: _windows(h, window))
     hits = found.join(side.where(F.col("length") == window), "window_hash")
     lengths = [r["length"] for r in index.where(F.col("length") < window).select("length").distinct().collect()] if held["n"] and held["short"] < window else []
     for length in sorted(lengths):  # at most window - 1 of them
-        short = hashed.select("row_key", F.posexplode(_short(length)).alias("pos", "window_hash"))
+        short = _probes(hashed, lambda h, n=length: _short(h, n))
         hits = hits.unionByName(short.join(side.where(F.col("length") == length), "window_hash"))
-    hits = checkpointed(hits.select("row_key", "pos", "item_id", "item_pos", "length", "n_windows").distinct())
+    hits = checkpointed(hits.select("row_key", "pos", "item_id", "item_pos", "length", "n_windows", "verbatim").distinct())
 
     enough = hits.groupBy("row_key", "item_id", "n_windows").agg(F.countDistinct("item_pos").alias("n")).where(F.col("n") >= F.col("n_windows") * coverage)
     likely = hits.join(enough.select("row_key", "item_id"), ["row_key", "item_id"], "left_semi").withColumn("shift", F.col("pos") - F.col("item_pos"))
+    typed = likely.where(~F.col("verbatim"))
+    same = likely.where("verbatim")
     failed = _inconsistent(likely, texts, items)
-    sound = likely.join(failed, ["row_key", "item_id", "shift"], "left_anti")
+    sound = typed.join(failed, ["row_key", "item_id", "shift"], "left_anti").unionByName(same)
     share = sound.groupBy("row_key", "item_id", "n_windows").agg((F.countDistinct("item_pos") / F.col("n_windows")).alias("coverage"))
     return checkpointed(share.where(F.col("coverage") >= coverage).select("row_key", "item_id", "coverage"))
 
 
-def _short(length: int) -> Column:
-    h = F.col("h")
+def _probes(hashed: DataFrame, windows) -> DataFrame:
+    """row_key, pos and window_hash of every typed window, and of every literal one that differs from it."""
+    both = F.transform(F.arrays_zip(windows(F.col("h")).alias("typed"), windows(F.col("p")).alias("plain")), lambda z: F.array_distinct(F.array(z["typed"], z["plain"])))
+    at = hashed.select("row_key", F.posexplode(both).alias("pos", "some"))
+    return at.select("row_key", "pos", F.explode("some").alias("window_hash"))
+
+
+def _short(h: Column, length: int) -> Column:
     return F.when(F.size(h) >= length, F.transform(F.sequence(F.lit(1), F.size(h) - length + 1), lambda i: F.xxhash64(F.slice(h, i, length))))
 
 
 def _inconsistent(likely: DataFrame, texts: DataFrame, items: DataFrame) -> DataFrame:
     """row_key, item_id and shift of the alignments whose slots are not filled one to one."""
-    slots_of = lambda df, key, at, value: (
-        df.select(key, F.posexplode(tokens(F.col("text"))).alias(at, "token")).where(is_slot(template(F.col("token")))).select(key, at, F.lower("token").alias(value))
-    )
-    item_slots = slots_of(items, "item_id", "item_at", "item_value")
+    tokens_of = lambda df, key, at: df.select(key, F.posexplode(tokens(F.col("text"))).alias(at, "token"))
+    item_slots = tokens_of(items, "item_id", "item_at").where(is_slot(template(F.col("token")))).select("item_id", "item_at", literal(F.col("token")).alias("item_value"))
     aligned = likely.select("row_key", "item_id", "shift", F.explode(F.sequence("item_pos", F.col("item_pos") + F.col("length") - 1)).alias("item_at")).distinct()
     aligned = aligned.join(item_slots, ["item_id", "item_at"]).withColumn("doc_at", F.col("item_at") + F.col("shift"))
     keys = aligned.select("row_key").distinct()
-    doc_slots = slots_of(texts.join(keys, "row_key", "left_semi").dropDuplicates(["row_key"]), "row_key", "doc_at", "doc_value")
+    doc_tokens = tokens_of(texts.join(keys, "row_key", "left_semi").dropDuplicates(["row_key"]), "row_key", "doc_at")
+    doc_slots = doc_tokens.select("row_key", "doc_at", literal(F.col("token")).alias("doc_value"))  # a literal window's slots need not look like slots in the document
     filled = aligned.join(doc_slots, ["row_key", "doc_at"]).select("row_key", "item_id", "shift", "item_value", "doc_value").distinct()
     one = filled.groupBy("row_key", "item_id", "shift", "item_value").agg(F.count(F.lit(1)).alias("n"))
     two = filled.groupBy("row_key", "item_id", "shift", "doc_value").agg(F.count(F.lit(1)).alias("n"))

@@ -105,6 +105,15 @@ def test_contamination(make_docs, items, odd_rows):
     assert sorted({(str(r["doc_id"]), r["item_id"]) for r in by_shuffle.where("contaminated").collect()}) == got
 
 
+def test_copies_in_another_case_and_in_mid_sentence(make_docs, spark):
+    """Verbatim words match whatever their context or case makes of the template."""
+    river = "Which river runs through the city of Rome"
+    benchmark = spark.createDataFrame([(1, ITEM), (2, river)], "item_id long, text string")
+    rows = [(1, f"so {ITEM.lower()} indeed", "a"), (2, ITEM.upper(), "a"), (3, f"now we ask {river} today", "a"), (4, "Now we ask which lake lies near the town of Rome", "a")]
+    got = sorted((r["doc_id"], r["item_id"]) for r in contamination(make_docs(rows), benchmark).where("contaminated").collect())
+    assert got == [(1, 1), (2, 1), (3, 2)]
+
+
 def test_contamination_of_empty_tables(make_docs, items):
     docs = make_docs([(1, ITEM, "a")])
     assert contamination(docs, items.where("false")).where("contaminated").count() == 0
