@@ -16,13 +16,15 @@ capitalised word straight after a lower-case one, a number or a comma on the sam
    values never by the same one. Alignments that fail are coincidences and do not count. A
    literal window is the item's own words, so it counts in any case.
 4. A document is contaminated by an item if the matched windows on consistent alignments are at
-   least ``coverage`` of the item's windows.
+   least ``coverage`` of the item's windows, or if one such alignment holds ``passage`` tokens in
+   a row (consecutive matched windows), however long the item is.
+5. An item none of whose windows has enough literal tokens is searched by its whole exact token
+   sequence: all its literal windows on one alignment. Below four tokens the case must agree too.
 
 Native functions only. Texts are read to hash their windows; only documents with hits are read
 again for slot values. Rows are window hashes and positions, never texts.
 
-Defined cases: null or empty texts and items match nothing; items without enough literal tokens
-in any window match nothing; equal items each count; rows with equal id and text are judged
+Defined cases: null or empty texts and items match nothing; equal items each count; rows with equal id and text are judged
 alike; extra columns are ignored; empty tables give no contamination.
 """
 
@@ -50,9 +52,14 @@ def template(token: Column) -> Column:
     return F.when(F.substring(token, 1, 1) == MARK, "<name>").when(token.rlike("^[0-9]") | low.isin(NUMBERS), "<num>").when(low.isin(UNITS), "<unit>").otherwise(low)
 
 
+def unmarked(token: Column) -> Column:
+    """A token without the mark of a name."""
+    return F.translate(token, MARK, "")
+
+
 def literal(token: Column) -> Column:
     """A token in lower case, without the mark of a name."""
-    return F.lower(F.translate(token, MARK, ""))
+    return F.lower(unmarked(token))
 
 
 def is_slot(word: Column) -> Column:
@@ -66,49 +73,63 @@ def _windows(hashes: Column, window: int) -> Column:
 
 
 def benchmark_windows(benchmark: DataFrame, window: int) -> DataFrame:
-    """window_hash, verbatim, item_id, item_pos, length (tokens in the window) and n_windows of the item, of windows with enough literal tokens: the literal window, and the typed one if it has slots."""
+    """window_hash, verbatim, item_id, item_pos, length (tokens in the window) of each literal window, and of the typed one if it has slots and enough literal tokens.
+
+    counted: a window with enough literal tokens, or any of an item without such windows (whole); n_windows: how many the item has.
+    """
     words = benchmark.select("item_id", tokens(F.col("text")).alias("t")).where(F.size("t") > 0)
-    words = words.select("item_id", F.transform("t", template).alias("words"), F.transform("t", literal).alias("plain"))
+    plain = F.when(F.size("t") < LEAST_LITERAL, F.transform("t", unmarked)).otherwise(F.transform("t", literal))
+    words = words.select("item_id", F.transform("t", template).alias("words"), plain.alias("plain"))
     size = F.least(F.size("words"), F.lit(window))
     rows = words.select("item_id", "words", "plain", size.alias("length"), F.explode(F.sequence(F.lit(0), F.size("words") - size)).alias("item_pos"))
     part = lambda c: F.slice(c, F.col("item_pos") + 1, F.col("length"))
     n_literal = F.size(F.filter(part("words"), lambda w: ~is_slot(w)))
-    rows = rows.where((n_literal * 2 >= F.col("length")) & (n_literal >= LEAST_LITERAL))
+    rows = rows.withColumn("rich", (n_literal * 2 >= F.col("length")) & (n_literal >= LEAST_LITERAL))
 
     def window_hash(c: str) -> Column:
         hashed = F.transform(part(c), lambda w: F.xxhash64(w))
         return F.when(F.col("length") == window, F.xxhash64(*[F.get(hashed, F.lit(k)) for k in range(window)])).otherwise(F.xxhash64(hashed))
 
-    n = rows.groupBy("item_id").agg(F.count(F.lit(1)).alias("n_windows"))
-    plain = rows.select("item_id", "item_pos", "length", window_hash("plain").alias("window_hash"), F.lit(True).alias("verbatim"))
-    typed = rows.where(n_literal < F.col("length")).select("item_id", "item_pos", "length", window_hash("words").alias("window_hash"), F.lit(False).alias("verbatim"))
-    return plain.unionByName(typed).join(n, "item_id")
+    n = rows.groupBy("item_id").agg(F.count_if("rich").alias("n_rich"), F.count(F.lit(1)).alias("n_all"))
+    n = n.select("item_id", (F.col("n_rich") == 0).alias("whole"), F.when(F.col("n_rich") == 0, F.col("n_all")).otherwise(F.col("n_rich")).alias("n_windows"))
+    plain = rows.select("item_id", "item_pos", "length", "rich", window_hash("plain").alias("window_hash"), F.lit(True).alias("verbatim"))
+    typed = rows.where(F.col("rich") & (n_literal < F.col("length"))).select("item_id", "item_pos", "length", "rich", window_hash("words").alias("window_hash"), F.lit(False).alias("verbatim"))
+    return plain.unionByName(typed).join(n, "item_id").withColumn("counted", F.col("rich") | F.col("whole")).drop("rich")
 
 
-def matches(docs: DataFrame, benchmark: DataFrame, window: int = 8, coverage: float = 0.5, most_broadcast: int = 200_000) -> DataFrame:
+def matches(docs: DataFrame, benchmark: DataFrame, window: int = 8, coverage: float = 0.5, passage: int = 13, most_broadcast: int = 200_000) -> DataFrame:
     """row_key, item_id and coverage of every document and item that contaminates it. row_key is a hash of the document's id and text."""
     items = benchmark.select("item_id", F.col("text").cast("string").alias("text"))
     index = checkpointed(benchmark_windows(items, window))
     held = index.agg(F.count(F.lit(1)).alias("n"), F.min("length").alias("short")).first()
     side = F.broadcast(index) if held["n"] <= most_broadcast else index
     texts = docs.select(row_key().alias("row_key"), "text")
-    hashed = texts.select("row_key", tokens(F.col("text")).alias("t")).select("row_key", F.transform("t", lambda t: F.xxhash64(template(t))).alias("h"), F.transform("t", lambda t: F.xxhash64(literal(t))).alias("p"))
+    hashed = texts.select("row_key", tokens(F.col("text")).alias("t"))
+    hashed = hashed.select("row_key", "t", F.transform("t", lambda t: F.xxhash64(template(t))).alias("h"), F.transform("t", lambda t: F.xxhash64(literal(t))).alias("p"))
     found = _probes(hashed, lambda h: _windows(h, window))
     hits = found.join(side.where(F.col("length") == window), "window_hash")
     lengths = [r["length"] for r in index.where(F.col("length") < window).select("length").distinct().collect()] if held["n"] and held["short"] < window else []
     for length in sorted(lengths):  # at most window - 1 of them
-        short = _probes(hashed, lambda h, n=length: _short(h, n))
+        cased = hashed.select("row_key", F.transform("t", lambda t: F.xxhash64(unmarked(t))).alias("h")).withColumn("p", F.col("h"))
+        short = _probes(cased if length < LEAST_LITERAL else hashed, lambda h, n=length: _short(h, n))
         hits = hits.unionByName(short.join(side.where(F.col("length") == length), "window_hash"))
-    hits = checkpointed(hits.select("row_key", "pos", "item_id", "item_pos", "length", "n_windows", "verbatim").distinct())
+    hits = checkpointed(hits.select("row_key", "pos", "item_id", "item_pos", "length", "n_windows", "verbatim", "counted", "whole").distinct())
 
-    enough = hits.groupBy("row_key", "item_id", "n_windows").agg(F.countDistinct("item_pos").alias("n")).where(F.col("n") >= F.col("n_windows") * coverage)
+    run = F.when(F.col("whole"), F.col("n_windows")).otherwise(max(1, passage - window + 1)).cast("int")
+    counted = F.countDistinct(F.when(F.col("counted"), F.col("item_pos")))
+    enough = hits.groupBy("row_key", "item_id", "n_windows", "whole").agg(counted.alias("n"), F.countDistinct("item_pos").alias("n_any"))
+    enough = enough.where((~F.col("whole") & (F.col("n") >= F.col("n_windows") * coverage)) | (F.col("n_any") >= run))
     likely = hits.join(enough.select("row_key", "item_id"), ["row_key", "item_id"], "left_semi").withColumn("shift", F.col("pos") - F.col("item_pos"))
     typed = likely.where(~F.col("verbatim"))
     same = likely.where("verbatim")
     failed = _inconsistent(likely, texts, items)
     sound = typed.join(failed, ["row_key", "item_id", "shift"], "left_anti").unionByName(same)
-    share = sound.groupBy("row_key", "item_id", "n_windows").agg((F.countDistinct("item_pos") / F.col("n_windows")).alias("coverage"))
-    return checkpointed(share.where(F.col("coverage") >= coverage).select("row_key", "item_id", "coverage"))
+    share = sound.groupBy("row_key", "item_id", "n_windows", "whole").agg((counted / F.col("n_windows")).alias("coverage"))
+    aligned = sound.groupBy("row_key", "item_id", "shift", "n_windows", "whole").agg(F.array_sort(F.collect_set("item_pos")).alias("at"))
+    in_a_row = F.exists(F.sequence(F.lit(0), F.size("at") - run), lambda i: F.get("at", i + run - 1) - F.get("at", i) == run - 1)
+    held = aligned.where(F.when(F.size("at") >= run, in_a_row)).select("row_key", "item_id").distinct().withColumn("held", F.lit(True))
+    share = share.join(held, ["row_key", "item_id"], "left").where((~F.col("whole") & (F.col("coverage") >= coverage)) | F.col("held"))
+    return checkpointed(share.select("row_key", "item_id", "coverage"))
 
 
 def _probes(hashed: DataFrame, windows) -> DataFrame:

@@ -114,6 +114,15 @@ def test_copies_in_another_case_and_in_mid_sentence(make_docs, spark):
     assert got == [(1, 1), (2, 1), (3, 2)]
 
 
+def test_passages_of_long_items_and_items_without_literal_words(make_docs, spark, words):
+    """A passage counts however long its item is; numbers are searched as they stand."""
+    long_, numbers = words(300, 900), "3 14 15 92 65 35 89 79 32 38"
+    benchmark = spark.createDataFrame([(1, " ".join(long_)), (2, numbers), (3, "Short one"), (4, "7 11 13")], "item_id long, text string")
+    rows = [(1, " ".join(words(30, 901) + long_[100:200]), "a"), (2, " ".join(long_[40:50]), "a"), (3, f"digits {numbers} end", "a"), (4, numbers[:-3], "a"), (5, "a Short one", "a"), (6, "a short one", "a"), (7, "7 11 13", "a")]
+    got = sorted((r["doc_id"], r["item_id"]) for r in contamination(make_docs(rows), benchmark).where("contaminated").collect())
+    assert got == [(1, 1), (3, 2), (5, 3), (7, 4)]
+
+
 def test_contamination_of_empty_tables(make_docs, items):
     docs = make_docs([(1, ITEM, "a")])
     assert contamination(docs, items.where("false")).where("contaminated").count() == 0
