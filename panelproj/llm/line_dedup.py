@@ -15,8 +15,8 @@ match from a Jaccard similarity of ``similarity`` on. The join:
 Equal lines are one line of the join, standing where it occurs first; later occurrences go. For
 the rest there are two passes, so that a large group of near copies does not become all its
 pairs: first each line is compared with the earliest line of each token it shares, then the
-lines that are left with all earlier lines left. So every removed line has an earlier match, and
-no two lines that stay match each other.
+lines that are left with all earlier lines, removed ones too. So exactly the lines with an
+earlier match go, whatever the order of the tokens.
 
 Order is by doc_id (null last) and the line's number, ties by hashes of the document and the line. Lines without a word stay.
 Native functions only. Texts are moved once, for the result; until then lines are hashes, and
@@ -142,7 +142,7 @@ def _near(keyed: DataFrame, tokens: DataFrame, similarity: float) -> DataFrame:
     head = tokens.groupBy("token").agg(F.min(F.struct("id", "line_no", "line_hash", "n", "pos", "parities")).alias("h")).select("token", "h.*")
     gone = matched(candidates(tokens, head))
     left = tokens.join(gone.select(F.col("x").alias("line_hash")), "line_hash", "left_anti")
-    return gone.unionByName(matched(candidates(left, left))).select(F.col("x").alias("line_hash"))
+    return gone.unionByName(matched(candidates(left, tokens))).select(F.col("x").alias("line_hash"))
 
 
 def removed_lines(docs: DataFrame, keyed: DataFrame, similarity: float = 0.8) -> DataFrame:

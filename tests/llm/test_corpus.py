@@ -62,6 +62,15 @@ def test_lines(make_docs, line_rows):
         assert hashlib.sha256(texts[r["doc_id"]].encode()).hexdigest() == r["kept_sha256"]
 
 
+def test_lines_whose_earlier_match_goes(make_docs, words):
+    """b matches a and goes, c matches only b; what c shares with b alone is common, so c's rare tokens lead to a."""
+    w, common = words(60, 950), words(9, 951)
+    rows = [(1, " ".join(w), "a"), (2, " ".join(w + common), "a"), (3, " ".join(w[6:] + common), "a")]
+    rows += [(10 + i, " ".join(words(20 + i % 8, 1000 + i) + w[-4:] + common + words(40, 2000 + i)), "a") for i in range(80)]
+    got = {r["doc_id"]: r["text"] for r in without_repeated_lines(make_docs(rows)).collect()}
+    assert got == {i: "" if i in (2, 3) else t for i, t, _ in rows}
+
+
 def test_lines_of_the_example_table(spark):
     docs = spark.read.parquet(f"{DATA}/documents.parquet")
     rows = [(r["doc_id"], r["text"], None) for r in docs.collect()]
