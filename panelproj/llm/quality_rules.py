@@ -1,13 +1,14 @@
 """Document quality: heuristic base rules and a hashed n-gram log-likelihood ratio.
 
-The ratio compares two multinomials over hashed byte n-grams: the trusted target (a bounded
-sample of documents marked good) and the raw corpus (every document). A document's score is the
+The ratio compares two multinomials over hashed byte n-grams: the trusted target (every
+document marked good) and the raw corpus (every document). A document's score is the
 mean of log(p_target / p_raw) over its n-grams, so it does not depend on length; documents below
 one fixed threshold are rejected. The log ratios are rounded to multiples of 2^-20 and summed as
 whole numbers: a score is the same however rows are batched.
 
 Counting is one pass (a task folds its documents into one vector of counts, the vectors are
-summed by n-gram), scoring a second one with a table of fixed size.
+summed by n-gram), scoring a second one. The table of counts grows with the square root of the
+corpus's bytes, as vocabularies do, up to one place for each possible n-gram.
 
 Defined cases: a null text is empty; a text without n-grams scores 0 (base rules reject it
 anyway); without any trusted document nothing is known about the target and only base rules
@@ -30,20 +31,25 @@ SYMBOL = np.zeros(256, dtype=bool)
 SYMBOL[list(b"#*$%&|<>")] = True
 
 
-def trusted_ids(labels: DataFrame, most: int = 10_000) -> DataFrame:
-    """At most so many documents that every label calls good, by hash of the id. The bound makes the table small enough to broadcast."""
+def trusted_ids(labels: DataFrame, most: int | None = None) -> DataFrame:
+    """The documents that every label calls good; with a bound, so many of them at most, by hash of the id."""
     good = labels.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min("quality").alias("q")).where("q = 1")
-    return bounded_sample(good.select("doc_id"), most)
+    return good.select("doc_id") if most is None else bounded_sample(good.select("doc_id"), most)
 
 
-def _grams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def table_bits(size: int) -> int:
+    """Bits of the hash table for so many bytes of text: the square root of their number."""
+    return min(max(BUCKET_BITS, (size.bit_length() + 1) // 2), 8 * ORDER)
+
+
+def _grams(data: np.ndarray, offsets: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashed n-grams that lie within a row, and the row offsets among them."""
     starts = textbytes.window_starts(offsets, ORDER)
     code = np.zeros(len(starts), np.uint64)
     for i in range(ORDER):
         code = (code << np.uint64(8)) | data[starts + i].astype(np.uint64)
     sizes = np.maximum(np.diff(offsets) - ORDER + 1, 0)
-    return ((code * np.uint64(textbytes.BASE)) >> np.uint64(64 - BUCKET_BITS)).astype(np.int64), np.concatenate(([0], np.cumsum(sizes)))
+    return ((code * np.uint64(textbytes.BASE)) >> np.uint64(64 - bits)).astype(np.int64), np.concatenate(([0], np.cumsum(sizes)))
 
 
 def _parts(column: pa.Array):
@@ -53,23 +59,24 @@ def _parts(column: pa.Array):
 
 
 def log_ratios(docs: DataFrame, trusted: DataFrame) -> np.ndarray | None:
-    """log(p_target / p_raw) by hashed n-gram, in units of 1 / SCALE; None without trusted text. The table's size is fixed by BUCKET_BITS."""
-    marked = docs.join(F.broadcast(trusted.select(F.col("doc_id").alias("trusted_id"))), F.col("doc_id") == F.col("trusted_id"), "left")
+    """log(p_target / p_raw) by hashed n-gram, in units of 1 / SCALE; None without trusted text."""
+    bits = table_bits(docs.agg(F.sum(F.octet_length("text")).alias("b")).first()["b"] or 0)
+    marked = docs.join(trusted.select(F.col("doc_id").alias("trusted_id")), F.col("doc_id") == F.col("trusted_id"), "left")
     marked = marked.select("text", F.col("trusted_id").isNotNull().alias("good"))
 
     def count(batches):
-        raw, target = np.zeros(1 << BUCKET_BITS, np.int64), np.zeros(1 << BUCKET_BITS, np.int64)
+        raw, target = np.zeros(1 << bits, np.int64), np.zeros(1 << bits, np.int64)
         for batch in batches:
             good = batch.column(1).to_numpy(zero_copy_only=False)
             for lo, hi, data, offsets in _parts(batch.column(0)):
-                grams, edges = _grams(data, offsets)
+                grams, edges = _grams(data, offsets, bits)
                 raw += np.bincount(grams, minlength=len(raw))
                 target += np.bincount(grams[np.repeat(good[lo:hi], np.diff(edges))], minlength=len(raw))
         full = np.flatnonzero(raw)
         yield pa.RecordBatch.from_pydict({"gram": full, "raw": raw[full], "target": target[full]})
 
     rows = marked.mapInArrow(count, "gram long, raw long, target long").groupBy("gram").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).toPandas()
-    raw, target = np.zeros(1 << BUCKET_BITS), np.zeros(1 << BUCKET_BITS)
+    raw, target = np.zeros(1 << bits), np.zeros(1 << bits)
     raw[rows["gram"]], target[rows["gram"]] = rows["raw"], rows["target"]
     if not target.sum():
         return None
@@ -93,7 +100,7 @@ def _judge(texts: DataFrame, trusted: DataFrame, least_score: float, least_words
             failed = (n < least_words) | (100 * repeated > most_repeated * n)
             score = np.zeros(hi - lo)
             if ratios is not None:
-                grams, edges = _grams(data, offsets)
+                grams, edges = _grams(data, offsets, len(ratios).bit_length() - 1)
                 score = textbytes.row_sums(ratios[grams], edges) / np.maximum(np.diff(edges), 1) / SCALE
             yield (
                 lo,

@@ -71,6 +71,12 @@ def test_trusted_ids_are_bounded_and_agreed(spark):
     assert len(got) == 20 and 3 not in got and None not in got
 
 
+def test_all_trusted_ids_count_and_the_table_grows(spark):
+    labels = spark.range(20_100).selectExpr("id AS doc_id", "1 AS quality")
+    assert quality_rules.trusted_ids(labels).count() == 20_100
+    assert [quality_rules.table_bits(b) for b in (0, 1 << 20, 1 << 34, 1 << 60)] == [14, 14, 18, 24]
+
+
 def test_empty_tables(make_docs, spark):
     empty, labels = make_docs([(1, "x", "a")]).where("false"), spark.createDataFrame([], "doc_id long, quality int")
     assert quality_rules.quality_rules(empty, quality_rules.trusted_ids(labels)).count() == 0
