@@ -46,24 +46,21 @@ def lines_of(docs: DataFrame) -> DataFrame:
     return docs.select(place.alias("place"), F.posexplode(F.split(F.col("text").cast("string"), "\n", -1)).alias("line_no", "line"))
 
 
-def shingles(line: Column, step: int = 1) -> Column:
-    """Hashes of the five-word shingles, every step-th of them, of a line that has a word."""
+def shingles(line: Column) -> Column:
+    """Hashes of the five-word shingles of a line that has a word."""
     blank = lambda c: F.contains(line, F.lit(c))
     odd = blank("\t") | blank("\r") | blank("\x0b") | blank("\x0c") | blank("  ") | F.startswith(line, F.lit(" ")) | F.endswith(line, F.lit(" "))
     words = F.split(F.when(odd, F.trim(F.regexp_replace(line, r"[\x20\x09-\x0D]+", " "))).otherwise(line), " ")
-    starts = lambda w: F.sequence(F.lit(0), F.size(w) - SHINGLE, F.lit(step))
+    starts = lambda w: F.sequence(F.lit(0), F.size(w) - SHINGLE)
     many = lambda w: F.transform(starts(w), lambda i: F.xxhash64(*[F.get(w, i + k) for k in range(SHINGLE)]))
     # a one-element array lets the words be split once
     return F.get(F.transform(F.array(words), lambda w: F.when(F.size(w) >= SHINGLE, many(w)).otherwise(F.array(F.xxhash64(w)))), F.lit(0))
 
 
 def frequencies(lines: DataFrame) -> Column:
-    """The magnitude of shingles' counts by hash bucket, as a constant array of fixed size whose values go to the highest byte.
-
-    Every line counts with each eighth shingle, which is enough to tell frequent ones.
-    """
+    """The magnitude of shingles' counts by hash bucket, as a constant array of fixed size whose values go to the highest byte. Every shingle of every line counts."""
     bucket = F.col("s").bitwiseAND((1 << COUNT_BITS) - 1).alias("bucket")
-    counted = lines.select(F.explode(shingles(F.col("line"), step=8)).alias("s")).groupBy(bucket).agg(F.count(F.lit(1)).alias("n"))
+    counted = lines.select(F.explode(shingles(F.col("line"))).alias("s")).groupBy(bucket).agg(F.count(F.lit(1)).alias("n"))
     magnitude = [0] * (1 << COUNT_BITS)
     for row in counted.select("bucket", F.floor(F.log2(F.col("n") + 1) * 2).alias("m")).collect():
         magnitude[row["bucket"]] = min(row["m"], 100) << 56

@@ -5,11 +5,12 @@ from collections import defaultdict
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from panelproj.llm import mixing
 from panelproj.llm.decontaminate import clean_documents, contamination
-from panelproj.llm.line_dedup import line_dedup, without_repeated_lines
+from panelproj.llm.line_dedup import frequencies, line_dedup, shingles, without_repeated_lines
 
 DATA = "/root/testdata/sf0.001"
 
@@ -71,6 +72,14 @@ def test_lines_whose_earlier_match_goes(make_docs, words):
     assert got == {i: "" if i in (2, 3) else t for i, t, _ in rows}
 
 
+def test_rarity_counts_every_shingle(spark, words):
+    """A passage at the same place in many lines is frequent in all its shingles."""
+    passage = " ".join(words(14, 960))
+    lines = spark.createDataFrame([(f"only{i} {passage}",) for i in range(20)], "line string")
+    places = F.transform(shingles(F.col("line")), lambda t: F.get(frequencies(lines), t.bitwiseAND(65535).cast("int")).bitwiseAND(127 << 56))
+    assert all(r[0][1:] == [8 << 56] * 10 for r in lines.select(places).collect())
+
+
 def test_lines_of_the_example_table(spark):
     docs = spark.read.parquet(f"{DATA}/documents.parquet")
     rows = [(r["doc_id"], r["text"], None) for r in docs.collect()]
