@@ -64,12 +64,13 @@ def test_lines(make_docs, line_rows):
 
 
 def test_lines_whose_earlier_match_goes(make_docs, words):
-    """b matches a and goes, c matches only b; what c shares with b alone is common, so c's rare tokens lead to a."""
-    w, common = words(60, 950), words(9, 951)
-    rows = [(1, " ".join(w), "a"), (2, " ".join(w + common), "a"), (3, " ".join(w[6:] + common), "a")]
-    rows += [(10 + i, " ".join(words(20 + i % 8, 1000 + i) + w[-4:] + common + words(40, 2000 + i)), "a") for i in range(80)]
+    """b matches a and goes, c matches only b; their edges are common passages, so the rare tokens of all three are headed by a."""
+    core, (h, t, p, g) = words(48, 950), (words(6, 951 + k) for k in range(4))
+    rows = [(1, " ".join(h + core + t), "a"), (2, " ".join(h + core + p), "a"), (3, " ".join(g + core + p), "a")]
+    edges = [core[-4:] + p, core[-4:] + t, h + core[:4], g + core[:4]]
+    rows += [(10 + i, " ".join(words(10 + i % 8, 1000 + i) + [w for k, e in enumerate(edges) for w in e + words(10, 2000 + 10 * i + k)]), "a") for i in range(64)]
     got = {r["doc_id"]: r["text"] for r in without_repeated_lines(make_docs(rows)).collect()}
-    assert got == {i: "" if i in (2, 3) else t for i, t, _ in rows}
+    assert got == {i: "" if i in (2, 3) else text for i, text, _ in rows}
 
 
 def test_rarity_counts_every_shingle(spark, words):
