@@ -7,11 +7,14 @@ from pyspark.sql import DataFrame, SparkSession
 from panelproj.llm import mixing
 from panelproj.llm.decontaminate import contamination
 from panelproj.llm.line_dedup import line_dedup
+from panelproj.llm.lsh_forest import near_duplicates
 from panelproj.llm.pii import personal_data
 from panelproj.llm.quality_classifier import quality_scores
 from panelproj.llm.quality_rules import quality_rules, trusted_ids
+from panelproj.llm.ranked_search import ranked_search
 from panelproj.llm.secret_scan import secret_scan
 from panelproj.llm.simhash import simhash_components
+from panelproj.llm.spelling import spelling_variants, word_counts
 from panelproj.llm.substring_dedup import substring_dedup
 from panelproj.llm.suffix_dedup import suffix_dedup
 
@@ -60,6 +63,18 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(_table(spark, sf_dir, "documents"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(word_counts(_table(spark, sf_dir, "documents"), least_length=7, least_count=2, noise_every=31), ratio=10)
+
+
+def op12_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(_table(spark, sf_dir, "documents"), percent=80)
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), top=10)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -73,6 +88,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_source_mixing,
         op9_pii,
         op10_substring_dedup,
+        op11_spelling_variants,
+        op12_minhash_near_dedup,
+        op13_ranked_search,
     )
 }
 
