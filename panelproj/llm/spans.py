@@ -6,33 +6,68 @@ Patterns must not match the empty string. Patterns use possessive repeats where
 cannot usefully give back, so very long texts need neither deep stacks nor quadratic time.
 """
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 _BLOCK = 64
 
 
+def bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value) with the value computed once. Inside a lambda, a column that is no lambda variable is computed again for each element."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _sum(numbers: Column) -> Column:
+    return F.aggregate(numbers, F.lit(0), lambda a, x: a + x)
+
+
 def running_sums(steps: Column) -> Column:
-    """Inclusive running sums of an array; sums of whole blocks keep the work far below its square."""
-    zero = F.lit(0)
-    blocks = F.transform(F.sequence(zero, F.floor(F.size(steps) / _BLOCK).cast("int")), lambda b: F.aggregate(F.slice(steps, b * _BLOCK + 1, _BLOCK), zero, lambda a, x: a + x))
+    """Inclusive running sums of an array: up to the blocks of 4096 and of 64 numbers before, and inside the block."""
+
+    def blocks(numbers: Column, size: int) -> Column:
+        """Sums of the whole blocks of so many numbers, and of the rest."""
+        return F.transform(F.sequence(F.lit(0), F.floor(F.size(numbers) / size).cast("int")), lambda b: _sum(F.slice(numbers, b * size + 1, size)))
+
+    def before(sums: Column) -> Column:
+        """Exclusive running sums, in the square of a short array's length."""
+        return F.transform(sums, lambda _, i: _sum(F.slice(sums, F.lit(1), i)))
+
+    def within(numbers: Column, starts: Column, size: int, inclusive: int) -> Column:
+        """Running sums of numbers, given those up to each block of so many."""
+
+        def upto(_: Column, i: Column) -> Column:
+            b = F.floor(i / size).cast("int")
+            return F.get(starts, b) + _sum(F.slice(numbers, b * size + 1, i - b * size + inclusive))
+
+        return F.transform(numbers, upto)
 
-    def upto(_: Column, i: Column) -> Column:
-        b = F.floor(i / _BLOCK).cast("int")
-        return F.aggregate(F.slice(blocks, 1, b), zero, lambda a, x: a + x) + F.aggregate(F.slice(steps, b * _BLOCK + 1, i - b * _BLOCK + 1), zero, lambda a, x: a + x)
+    def nested(numbers: Column) -> Column:
+        return bound(
+            blocks(numbers, _BLOCK),
+            lambda fine: bound(bound(blocks(fine, _BLOCK), before), lambda wide: bound(within(fine, wide, _BLOCK, 0), lambda starts: within(numbers, starts, _BLOCK, 1))),
+        )
 
-    return F.transform(steps, upto)
+    return bound(steps, nested)
 
 
 def matches(text: Column, pattern: str) -> Column:
-    """Array of struct(start, end, value) of the matches, in order; ends are exclusive."""
-    wanted = F.lit(pattern)
-    values = F.regexp_extract_all(text, wanted, F.lit(0))
-    gaps = F.transform(F.split(text, pattern, -1), lambda g: F.char_length(g))
-    lengths = F.transform(values, lambda v: F.char_length(v))
+    """Array of struct(start, end, value) of the matches, in order; ends are exclusive. The text is searched a fixed number of times."""
     # to the start of match i: its gap, and the match before it
-    steps = F.transform(values, lambda _, i: F.get(gaps, i) + F.when(i > 0, F.get(lengths, i - 1)).otherwise(F.lit(0)))
-    found = F.transform(F.arrays_zip(values.alias("value"), running_sums(steps).alias("start")), lambda z: F.struct(z["start"].alias("start"), (z["start"] + F.char_length(z["value"])).alias("end"), z["value"].alias("value")))
+    lengths = lambda values: F.transform(values, lambda v: F.char_length(v))
+    steps = lambda gaps, sizes: F.transform(F.slice(gaps, F.lit(1), F.size(sizes)), lambda g, i: g + F.when(i > 0, F.get(sizes, i - 1)).otherwise(F.lit(0)))
+    placed = lambda values, sizes, starts: F.transform(values, lambda v, i: F.struct(F.get(starts, i).alias("start"), (F.get(starts, i) + F.get(sizes, i)).alias("end"), v.alias("value")))
+    found = bound(
+        F.regexp_extract_all(text, F.lit(pattern), F.lit(0)),
+        lambda values: bound(
+            lengths(values),
+            lambda sizes: bound(
+                lengths(F.split(text, pattern, -1)),
+                lambda gaps: bound(running_sums(steps(gaps, sizes)), lambda starts: placed(values, sizes, starts)),
+            ),
+        ),
+    )
     return F.when(text.rlike(pattern), found).otherwise(F.array().cast("array<struct<start:int,end:int,value:string>>"))
 
 

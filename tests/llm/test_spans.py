@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import time
 
 import pytest
 
@@ -123,3 +124,18 @@ def test_odd_rows_and_empty_tables(make_docs, odd_rows):
     docs = make_docs(odd_rows)
     assert secret_scan(docs).count() == personal_data(docs).count() == len(odd_rows)
     assert secret_scan(docs.where("false")).count() == personal_data(docs.where("false")).count() == 0
+
+
+def test_texts_with_many_matches(make_docs):
+    """Thousands of matches in one text, and a text of 1 MB, within seconds."""
+    many = " ".join(f"user{i}@example.org" for i in range(5000))
+    keys = " ".join(f"token={i:012d}" for i in range(5000))
+    long = "plain words here " * 60_000 + "a@b.cd"
+    rows = [(1, many, "a"), (2, keys, "a"), (3, long, "a")]
+    started = time.monotonic()
+    private = {r["doc_id"]: r for r in personal_data(make_docs(rows)).collect()}
+    secret = {r["doc_id"]: r for r in secret_scan(make_docs(rows)).collect()}
+    for i, text, _ in rows:
+        assert private[i]["base_sha256"] == hashlib.sha256(listed(personal(text)).encode()).hexdigest()
+        assert secret[i]["base_sha256"] == hashlib.sha256(listed(secrets(text)).encode()).hexdigest()
+    assert time.monotonic() - started < 60
