@@ -31,7 +31,7 @@ alike; extra columns are ignored; empty tables give no contamination.
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelproj.llm.shared import checkpointed
+from panelproj.llm.shared import checkpointed, free_name
 
 # Spelled numbers and units that count as slots.
 NUMBERS = "zero one two three four five six seven eight nine ten eleven twelve twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million billion".split()
@@ -172,5 +172,6 @@ def contamination(docs: DataFrame, benchmark: DataFrame, **parameters) -> DataFr
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, **parameters) -> DataFrame:
     """The documents that hold no benchmark item, with all their columns."""
-    found = matches(docs, benchmark, **parameters).select(F.col("row_key").alias("row_key_found")).distinct()
-    return docs.withColumn("row_key_of_doc", row_key()).join(found, F.col("row_key_of_doc") == F.col("row_key_found"), "left_anti").drop("row_key_of_doc")
+    own, other = free_name("own_key", docs), free_name("other_key", docs)
+    found = matches(docs, benchmark, **parameters).select(F.col("row_key").alias(other)).distinct()
+    return docs.withColumn(own, row_key()).join(found, F.col(own) == F.col(other), "left_anti").drop(own)

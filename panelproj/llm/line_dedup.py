@@ -30,7 +30,7 @@ gives an empty result.
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelproj.llm.shared import written
+from panelproj.llm.shared import free_name, written
 
 SHINGLE = 5
 COUNT_BITS = 16
@@ -82,7 +82,7 @@ def _least_overlap(n: Column, m: Column, similarity: float) -> Column:
     return F.ceil((n + m) * (similarity / (1 + similarity)) - 1e-9)
 
 
-def line_verdicts(docs: DataFrame, keyed: DataFrame, similarity: float = 0.8) -> tuple[DataFrame, DataFrame]:
+def line_verdicts(docs: DataFrame, keyed: DataFrame, similarity: float = 0.8, key: str = "key_of_doc") -> tuple[DataFrame, DataFrame]:
     """Two tables: the first place of each distinct line (line_hash, place, line_no), and the hashes of lines that nearly repeat an earlier one.
 
     keyed: the documents with their row key, as they are joined with the result.
@@ -104,17 +104,17 @@ def line_verdicts(docs: DataFrame, keyed: DataFrame, similarity: float = 0.8) ->
 
     first = met.where("pos = 0").select("line_hash", F.col("at.place").alias("place"), F.col("at.line_no").alias("line_no"), F.col("at.parities").alias("parities"))
     tokens = met.where("lines > 1").select("token", "line_hash", "n", "pos").join(first, "line_hash")
-    return first, _near(keyed, written(tokens), similarity)
+    return first, _near(keyed, written(tokens), similarity, key)
 
 
-def _near(keyed: DataFrame, tokens: DataFrame, similarity: float) -> DataFrame:
+def _near(keyed: DataFrame, tokens: DataFrame, similarity: float, key: str) -> DataFrame:
     """line_hash of the lines to remove; tokens: token, line_hash, n, pos, place and line_no of tokens that several lines share."""
     wanted = tokens.select("line_hash", F.col("place.row_key").alias("row_key"), "line_no").distinct()
     wanted = wanted.groupBy("row_key").agg(F.collect_list(F.struct("line_hash", "line_no")).alias("some"))
     # All columns are asked for (by a condition that always holds), so this join and the final one read the same exchange of texts.
-    same = F.xxhash64(*[F.col(f"k.`{c}`") for c in keyed.columns if c != "text"], F.size("some")) >= F.lit(-(2**63))
-    found = keyed.alias("k").join(wanted.withColumnRenamed("row_key", "wanted_key"), (F.col("k.key_of_doc") == F.col("wanted_key")) & same)
-    sets = found.select(F.split(F.col("k.text").cast("string"), "\n", -1).alias("all"), F.explode("some").alias("one"))
+    same = F.xxhash64(*[F.col(f"k.`{c}`") for c in keyed.columns if c != "text"], F.size("w.some")) >= F.lit(-(2**63))
+    found = keyed.alias("k").join(wanted.alias("w"), (F.col(f"k.{key}") == F.col("w.row_key")) & same)
+    sets = found.select(F.split(F.col("k.text").cast("string"), "\n", -1).alias("all"), F.explode("w.some").alias("one"))
     sets = sets.select("one.line_hash", F.array_distinct(shingles(F.get("all", F.col("one.line_no")))).alias("set"))
     tokens = tokens.select("token", "line_hash", "n", "pos", "parities", F.coalesce("place.doc_id", F.lit(2**63 - 1)).alias("id"), "line_no")
 
@@ -142,9 +142,9 @@ def _near(keyed: DataFrame, tokens: DataFrame, similarity: float) -> DataFrame:
     return gone.unionByName(matched(candidates(left, tokens))).select(F.col("x").alias("line_hash"))
 
 
-def removed_lines(docs: DataFrame, keyed: DataFrame, similarity: float = 0.8) -> DataFrame:
+def removed_lines(docs: DataFrame, keyed: DataFrame, similarity: float = 0.8, key: str = "key_of_doc") -> DataFrame:
     """key_of_gone (a row key) and gone_lines (line numbers) of the documents that lose lines."""
-    first, near = line_verdicts(docs, keyed, similarity)
+    first, near = line_verdicts(docs, keyed, similarity, key)
     verdict = first.select("line_hash", F.struct("place", "line_no").alias("first_at")).join(near.withColumn("near", F.lit(True)), "line_hash", "left")
     lines = lines_of(docs).select(F.struct("place", "line_no").alias("at"), F.xxhash64("line").alias("line_hash"))
     gone = lines.join(verdict, "line_hash").where("near or at <> first_at")
@@ -160,9 +160,11 @@ def _kept(text: Column, gone: Column) -> Column:
 
 def without_repeated_lines(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
     """The documents with all their columns and the repeated lines taken out of the text. A document may lose all its lines; it stays, with an empty text."""
-    keyed = docs.withColumn("key_of_doc", row_key())
-    joined = keyed.join(removed_lines(docs, keyed, similarity), F.col("key_of_doc") == F.col("key_of_gone"), "left")
-    return joined.withColumn("text", _kept(F.col("text").cast("string"), F.col("gone_lines"))).select(*docs.columns)
+    own, other, numbers = (free_name(stem, docs) for stem in ("own_key", "other_key", "line_numbers"))
+    keyed = docs.withColumn(own, row_key())
+    gone = removed_lines(docs, keyed, similarity, own).select(F.col("key_of_gone").alias(other), F.col("gone_lines").alias(numbers))
+    joined = keyed.join(gone, F.col(own) == F.col(other), "left")
+    return joined.withColumn("text", _kept(F.col("text").cast("string"), F.col(numbers))).select(*docs.columns)
 
 
 def line_dedup(docs: DataFrame, similarity: float = 0.8) -> DataFrame:

@@ -37,3 +37,11 @@ def bounded_sample(rows: DataFrame, most: int, *ties: str) -> DataFrame:
     n, wide = rows.count(), 1 << 30
     some = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(wide)) < max(1, 2 * most * wide // n)) if n > 2 * most else rows
     return some.orderBy(F.xxhash64("doc_id"), "doc_id", *ties).limit(most)
+
+
+def free_name(stem: str, *frames: DataFrame) -> str:
+    """A column name that none of the frames has, in any case of letters."""
+    taken = {c.lower() for df in frames for c in df.columns}
+    while stem.lower() in taken:
+        stem += "_"
+    return stem

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelproj.llm.components import components
-from panelproj.llm.shared import checkpointed
+from panelproj.llm.shared import checkpointed, free_name
 
 BLOCKS = [(0, 13), (13, 13), (26, 13), (39, 13), (52, 12)]  # first bit, bits
 
@@ -202,7 +202,7 @@ def one_of_each(docs: DataFrame, shingle: int = 3, radius: int = 3, capacity: in
     """One document of each component, with all its columns: the one with the smallest id, null ids last, then by a hash of the row; of equal rows one stays."""
     signed, rooted = _rooted(docs, shingle, radius, capacity)
     chosen = signed.join(rooted, "fingerprint").groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "row_key")).alias("best"))
-    chosen = chosen.select(F.col("best.row_key").alias("row_key_of_best"))
-    keyed = docs.withColumn("row_key_of_doc", _row_key())
-    kept = keyed.join(chosen, F.col("row_key_of_doc") == F.col("row_key_of_best"), "left_semi")
-    return kept.dropDuplicates(["row_key_of_doc", "doc_id"]).drop("row_key_of_doc")
+    own, best = free_name("own_key", docs), free_name("best_key", docs)
+    keyed = docs.withColumn(own, _row_key())
+    kept = keyed.join(chosen.select(F.col("best.row_key").alias(best)), F.col(own) == F.col(best), "left_semi")
+    return kept.dropDuplicates([own, "doc_id"]).drop(own)

@@ -4,13 +4,16 @@ import pytest
 
 SCHEMA = (
     "doc_id long, text string, lang string, source string, n_chars long, row_key string, token string, size string, score string, chunk string, "
-    "bucket string, keys string, kind string, fingerprint string, component_id string, line_hash string, place string, shard string, gone string, base string"
+    "bucket string, keys string, kind string, fingerprint string, component_id string, line_hash string, place string, shard string, gone string, base string, "
+    "row_key_of_doc string, row_key_found string, row_key_of_best string, key_of_doc string, key_of_gone string, gone_lines string, some string, wanted_key string, "
+    "own_key string, other_key string, line_numbers string, all_spans string, word string, n string, form string, root string, label string, tree string, region string, "
+    "signature string, n_shingles string, terms string, tfs string, m string, block string, copies string, doc_key string, item string"
 )
 
 
 def row(doc_id, text, source="a"):
     """A document with extra columns whose names the operators use inside."""
-    return (doc_id, text, "en", source, len(text or ""), *["extra"] * 15)
+    return (doc_id, text, "en", source, len(text or ""), *["extra"] * (SCHEMA.count(",") - 4))
 
 
 @pytest.fixture(scope="session")
