@@ -209,7 +209,8 @@ def _best(index: DataFrame, visits: DataFrame, weights: np.ndarray, top: int) ->
     return rows.mapInArrow(best, "item int, doc_id long, doc_key long, copies long, score long")
 
 
-ORDER = (F.desc("score"), F.asc_nulls_last("doc_id"), F.asc("doc_key"))
+def _order() -> list[Column]:
+    return [F.desc("score"), F.asc_nulls_last("doc_id"), F.asc("doc_key")]
 
 
 def _search(docs: DataFrame, items: _Items, top: int, block_docs: int, first_docs: int) -> DataFrame | None:
@@ -228,15 +229,15 @@ def _search(docs: DataFrame, items: _Items, top: int, block_docs: int, first_doc
     first = strata.withColumn("before", F.coalesce(before, F.lit(0))).where(F.col("before") < first_docs).select("m", "item", "bound")
     listed = lambda some: some.groupBy("m").agg(F.collect_list("item").alias("items"))
     found = written(_best(index, listed(first), weights, top))
-    ranked = F.sum("copies").over(Window.partitionBy("item").orderBy(*ORDER).rowsBetween(Window.unboundedPreceding, 0))
+    ranked = F.sum("copies").over(Window.partitionBy("item").orderBy(*_order()).rowsBetween(Window.unboundedPreceding, 0))
     reached = found.withColumn("up_to", ranked).where(F.col("up_to") >= top).groupBy("item").agg(F.max("score").alias("reached"))
     rest = strata.join(first.select("m", "item"), ["m", "item"], "left_anti").join(reached, "item", "left")
     rest = rest.where(F.col("reached").isNull() | (F.col("bound") >= F.col("reached"))).select("m", "item")
     every = found.unionByName(_best(index, listed(rest), weights, top))
-    window = Window.partitionBy("item").orderBy(*ORDER)
+    window = Window.partitionBy("item").orderBy(*_order())
     each = every.withColumn("place", F.row_number().over(window)).where(F.col("place") <= top)
     each = each.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.least("copies", F.lit(top).cast("long")))))
-    ranks = each.withColumn("rank", F.row_number().over(window.orderBy(*ORDER, "copy"))).where(F.col("rank") <= top)
+    ranks = each.withColumn("rank", F.row_number().over(window.orderBy(*_order(), "copy"))).where(F.col("rank") <= top)
     return written(ranks.select("item", "rank", "doc_id", "score"))
 
 
