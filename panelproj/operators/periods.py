@@ -5,7 +5,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelproj.functions import is_in, pad_code, quarter_shift, ratio
+from panelproj.functions import is_in, pad_code, quarter_shift, ratio, sum_known
 from panelproj.operators.delivery import DELIVERY_COLUMNS, MEASURES
 from panelproj.operators.dims import newest_attributes
 from panelproj.operators.relational import na_join, replace_slice, sort_rows, sum_by, tag_rows, union_strict
@@ -154,6 +154,33 @@ def moving_annual_total(history: DataFrame, current: DataFrame, *, quarter: str)
     return sum_by(rows, keys, [m for m in MEASURES if m in rows.columns])
 
 
+def quarter_index(date: str = "date") -> Column:
+    """Quarters of "2020Q4" as consecutive numbers; anything else is missing."""
+    text = F.col(date)
+    number = F.substring(text, 1, 4).try_cast("int") * 4 + F.substring(text, 6, 1).try_cast("int") - 1
+    return F.when(text.rlike("^[0-9]{4}Q[1-4]$"), number)
+
+
+def moving_annual_series(history: DataFrame, keys: Sequence[str], measures: Sequence[str]) -> DataFrame:
+    """Moving annual totals of every quarter from the first to the last one of the data, in one pass.
+
+    A quarter's rows count for the total of that quarter and of the three after it, so a key
+    has a total wherever it had rows in the last four quarters, and a missing quarter adds
+    nothing. `n_quarters` tells how many of the four have rows of the key. Growth compares
+    with the total four quarters earlier by the period's value, not by its row: NULL where
+    the key has no total then.
+    """
+    quarters = history.filter(F.col("period_type") == "QTR").withColumn("__q", quarter_index()).filter(F.col("__q").isNotNull())
+    sums = quarters.groupBy(*keys, "__q").agg(*[sum_known(m).alias(m) for m in measures])
+    ends = quarters.agg(F.max("__q").alias("__end"))  # one row
+    spread = sums.crossJoin(F.broadcast(ends)).withColumn("__to", F.explode(F.sequence("__q", F.least(F.col("__q") + 3, "__end"))))
+    totals = spread.groupBy(*keys, "__to").agg(F.count(F.lit(1)).alias("n_quarters"), *[sum_known(m).alias(m) for m in measures])
+    year_before = Window.partitionBy(*keys).orderBy("__to").rangeBetween(-4, -4)
+    growth = [ratio(m, F.first(m).over(year_before)).alias(f"{m}_growth") for m in measures]
+    label = F.concat(F.floor(F.col("__to") / 4).cast("string"), F.lit("Q"), (F.col("__to") % 4 + 1).cast("string"))
+    return totals.select(*keys, label.alias("date"), "n_quarters", *measures, *growth)
+
+
 def assemble_delivery(history: DataFrame, current: DataFrame, mat: DataFrame, *, sort: bool = True) -> DataFrame:
     """History, new quarter and moving totals with the newest attributes per pack, in delivery order.
 

@@ -16,8 +16,9 @@ from panelproj.functions import (
     row_order,
     strip_pattern,
     substring_between,
+    sum_known,
 )
-from panelproj.operators.relational import fill_from_group, lookup_matched, sum_by, tag_rows
+from panelproj.operators.relational import fill_from_group, lookup_matched, na_join, sum_by, tag_rows
 from panelproj.sources import materialize
 
 # Administrative suffixes, the label for a municipality's own
@@ -58,7 +59,8 @@ def raw_transactions(
 
     Identical transactions collapse (the duplicates are removed by all output
     columns at once). `place` gives constant province/city for single-city files
-    that carry no place columns.
+    that carry no place columns. A position in the files (`_pos`) is kept: the first one
+    of identical transactions.
     """
     if place is None:
         where = [
@@ -82,7 +84,10 @@ def raw_transactions(
         (derived_units() if units is None else units).alias("units"),
         F.col("value").alias("sales"),
     ]
-    return raw.select(*columns).distinct()
+    if "_pos" not in raw.columns:
+        return raw.select(*columns).distinct()
+    placed = raw.select(*columns, "_pos")
+    return placed.groupBy(*[c for c in placed.columns if c != "_pos"]).agg(F.min("_pos").alias("_pos"))
 
 
 def standardize_panel(
@@ -118,7 +123,7 @@ def standardize_panel(
     return (
         rows.withColumn("packid", remap_prefix("packid", succession))
         .filter((F.col("units") > 0) & (F.col("sales") > 0))
-        .select(*FACT_COLUMNS)
+        .select(*FACT_COLUMNS, *[c for c in ("_pos",) if c in rows.columns])
     )
 
 
@@ -146,13 +151,23 @@ def market_definition(listing: DataFrame, exclude_atc3: Sequence[str] = ("A10C",
 def combine_panels(*facts: DataFrame) -> DataFrame:
     """Stack the sources, give every centre its first known place, sum to the fact key.
 
-    The row order behind "first" is: source position, then the fact's business key.
-    A transaction present in two sources counts twice. The sources are summed per
-    source first and written once to the shared folder.
+    The row order behind "first" is: source position, then the row's position in its files
+    if all facts carry it (`_pos`), else the fact's business key. A transaction present in
+    two sources counts twice. The sources are summed per source first and written once to
+    the shared folder.
     """
-    stacked = materialize(sum_by(tag_rows(facts), ["_src", *FACT_KEYS], ["units", "sales"]), "stacked-panels")
-    order = ["_src", "date", "market", "packid", *PLACE]
-    unified = fill_from_group(stacked, ["pchc"], {c: first_known(c, order) for c in PLACE})
+    tagged = tag_rows(facts)
+    if all("_pos" in f.columns for f in facts):
+        sums = [sum_known(m).alias(m) for m in ("units", "sales")]
+        stacked = materialize(tagged.groupBy("_src", *FACT_KEYS).agg(*sums, F.min("_pos").alias("_pos")), "stacked-panels")
+        # few rows a centre before the first one is chosen
+        places = stacked.groupBy("pchc", *PLACE, "_src").agg(F.min("_pos").alias("_pos"))
+        first = places.groupBy("pchc").agg(*[first_known(c, ["_src", "_pos"]).alias(c) for c in PLACE])
+        unified = na_join(stacked.drop(*PLACE), first, ["pchc"], "inner")
+    else:
+        stacked = materialize(sum_by(tagged, ["_src", *FACT_KEYS], ["units", "sales"]), "stacked-panels")
+        order = ["_src", "date", "market", "packid", *PLACE]
+        unified = fill_from_group(stacked, ["pchc"], {c: first_known(c, order) for c in PLACE})
     return sum_by(unified, FACT_KEYS, ["units", "sales"]).withColumn("flag", F.lit(0))
 
 

@@ -7,9 +7,13 @@ from panelproj.sources.files import (
     write_history,
     write_report,
 )
+from panelproj.sources.ingest import POSITION, Ingest, ingest
 
 __all__ = [
+    "POSITION",
+    "Ingest",
     "checkpoint_dir",
+    "ingest",
     "materialize",
     "read_parts",
     "read_raw_csv",

@@ -29,10 +29,17 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
 
 def read_raw_csv(spark: SparkSession, path: str | Sequence[str], schema: StructType, charset: str = "GB18030") -> DataFrame:
-    """Raw panel export with a header line and an explicit charset and schema."""
-    if charset.upper() not in ("UTF-8", "US-ASCII", "ISO-8859-1", "UTF-16"):
-        spark.conf.set("spark.sql.legacy.javaCharsets", "true")
-    return spark.read.schema(schema).csv(path, header=True, encoding=charset, enforceSchema=False)
+    """Raw panel export with a header line and an explicit charset and schema.
+
+    A line that does not fit is an error; `ingest` reports such lines instead.
+    """
+    from panelproj.sources.ingest import POSITION, ingest
+
+    read = ingest(spark, [path] if isinstance(path, str) else path, schema, charset=charset)
+    first = read.problems.orderBy(*POSITION).select("file", "line", "column", "text", "reason").head()
+    if first is not None:
+        raise ValueError(f"{first['file']}, line {first['line']}, column {first['column']}: {first['text']!r} ({first['reason']})")
+    return read.rows.drop(*POSITION)
 
 
 def read_sheet(
