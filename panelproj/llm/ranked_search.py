@@ -113,7 +113,8 @@ def stratified_index(counted: DataFrame, n: int, total: int, block_docs: int) ->
     m = F.expr(f"25L + (75L * n * {n}L) div {total}L")
     docs = counted.withColumn("m", m).groupBy("m", "doc_id", "doc_key").agg(F.count(F.lit(1)).alias("copies"), F.first("terms").alias("terms"), F.first("tfs").alias("tfs"))
     docs = written(docs)
-    blocks = docs.groupBy("m").agg(F.ceil(F.count(F.lit(1)) / block_docs).alias("blocks"))
+    # one row a stratum; its size is known when the join is planned, so that a frequent length does not deal the documents
+    blocks = written(docs.groupBy("m").agg(F.ceil(F.count(F.lit(1)) / block_docs).alias("blocks")))
     dealt = docs.join(blocks, "m").withColumn("block", F.pmod(F.xxhash64("doc_id", "doc_key"), F.col("blocks")))
     return dealt.groupBy("m", "block").applyInArrow(lambda table: _inverted(table), BLOCK)
 
