@@ -1,17 +1,25 @@
 """Ingest by position, problem reports, audits, restatements and the whole run."""
 
+import re
 import uuid
+from dataclasses import replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelproj.catalog.fixtures import Fixtures
+from panelproj.catalog.panel_queries import _CLEANED, _FORMAT_VIEWS, _KNN_VIEWS, _NATION_VIEWS, _SPLIT, _STANDARD, NO_DONORS, RULES, SUCCESSION, TCM_PRODUCTS
 from panelproj.catalog.registry import query, rounded
-from panelproj.catalog.sql_views import with_views
+from panelproj.catalog.sql_views import FACT_KEYS, PLACE, VIEWS, with_views
+from panelproj.functions import quarter_shift
 from panelproj.operators.audit import LookupAudit, cross_source_duplicates, restatement_report
+from panelproj.operators.delivery import MEASURES
 from panelproj.operators.periods import moving_annual_series
 from panelproj.operators.position import by_position, with_position
+from panelproj.operators.relational import union_strict
+from panelproj.operators.standardize import market_definition
+from panelproj.plans import Lookups, Parameters, RawSource, StageStore, files_version, whole_run
 
 from panelproj.sources import checkpoint_dir, ingest, materialize
 from panelproj.sources.manifest import Manifest
@@ -192,8 +200,6 @@ def restatement_report_query(fx: Fixtures) -> DataFrame:
     columns = [*_VERSION_KEYS, "tender_round", "value_lc", "units"]
     versions.publish(fx.past.select(*columns), "history", "first")
     before = versions.newest("history")
-    from panelproj.functions import quarter_shift
-
     gone = (F.col("date") < quarter_shift(fx.quarter, -3)) & (F.col("city") == "NATION_3")
     restated = fx.written_history.filter(~gone).select(*columns)
     restated = restated.withColumn("value_lc", F.when(F.col("tender_round").isNotNull(), F.col("value_lc") + 1).otherwise(F.col("value_lc")))
@@ -224,3 +230,156 @@ def moving_annual_series_query(fx: Fixtures) -> DataFrame:
     rows = fx.history.filter((F.col("date") != "1997Q2") & ~((F.col("city") == "NATION_1") & (F.col("year") == "1998")))
     series = moving_annual_series(rows, ["city", "packid"], ["value_lc", "units"])
     return rounded(series, value_lc_growth=8, units_growth=8)
+
+
+# --- the whole run -----------------------------------------------------------------------------
+
+# Shares without ties at the rounding to whole units.
+_RUN_SPLIT = {("HTN", "C07"): 0.7513, ("IHD", "C07"): 0.2487, ("HTN", "C08"): 0.9017, ("IHD", "C08"): 0.0983}
+_RUN_CITIES = ["NATION_0", "NATION_2", "NATION_5", "NATION_9"]
+_MISSING, _PROXY = "NATION_20", "NATION_0"
+
+
+def _second_category(fx_or_sql: str = "spark"):
+    """The history's second category, as the classification names it."""
+    pairs = {"Diabetes|A10H": "SU", "HTN|C09A": "ACEI", "HTN|C07A": "BB", "HTN|C08A": "CCB", "Venous Disease|C05A": "HD Topical"}
+    if fx_or_sql == "sql":
+        return "CASE market || '|' || atc3 " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in pairs.items()) + " END"
+    return F.try_element_at(F.create_map(*[F.lit(x) for p in pairs.items() for x in p]), F.concat_ws("|", "market", "atc3"))
+
+
+def _run_views() -> dict[str, str]:
+    """The run's stages as SQL: the views of the single operators, each over the stage before it."""
+    over = lambda views, **tables: {
+        name: _renamed(sql, tables) for name, sql in views.items()
+    }
+    cleaned = _CLEANED.replace("FROM raw_panel", "FROM raw_reporting")
+    split = _SPLIT
+    for old, new in (("0.75", "0.7513"), ("0.25", "0.2487"), ("0.9 ", "0.9017 "), ("0.1 ", "0.0983 ")):
+        split = split.replace(old, new)
+    at = "(SELECT q0 FROM this_quarter)"
+    keys = "channel, city_en, city, period_type, year, atc3, atc4, market, category_1, category_2, molecule, product_name, product, product_cn, packid, pack, pack_form, pack_strength, pack_size, route, corp, corp_cn, manufacture_type, tender_round, tender_win, originator"
+
+    def newest(src: str, partition: str, columns: dict[str, str]) -> str:
+        rows = "ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING"
+        how = {"last": "last_value({c}) OVER", "last_known": "last_value({c} IGNORE NULLS) OVER", "first_known": "first_value({c} IGNORE NULLS) OVER"}
+        return ", ".join(f"{how[h].format(c=c)} (PARTITION BY {partition} ORDER BY {src}, {c} {rows}) AS {c}" for c, h in columns.items())
+
+    four = "src, channel, CASE WHEN src = 0 THEN period_type END DESC, date, CASE src WHEN 0 THEN city_en ELSE city END, market, packid"
+    stacked = (
+        "src, channel, CASE WHEN src <> 1 THEN CASE src WHEN 0 THEN CASE period_type WHEN 'QTR' THEN '0' ELSE '1' END ELSE city_en END ELSE date END, "
+        "CASE src WHEN 0 THEN date WHEN 1 THEN city ELSE city END, CASE src WHEN 0 THEN city_en WHEN 1 THEN market ELSE period_type END, "
+        "CASE src WHEN 0 THEN market WHEN 1 THEN packid ELSE year END, CASE src WHEN 0 THEN packid WHEN 2 THEN quarter END"
+    )
+    for c in ("date", "atc3", "atc4", "market", "category_1", "category_2", "molecule", "product_name", "product", "product_cn", "packid", "pack", "pack_form", "pack_strength", "CAST(pack_size AS VARCHAR)", "route", "corp", "corp_cn", "manufacture_type", "tender_round", "tender_win", "originator"):
+        stacked += f", CASE src WHEN 2 THEN {c} END"
+    grown = lambda value, units: ", ".join(f"h.{m} * {value if m.startswith('value') else units} AS {m}" for m in MEASURES)
+    dims = "h.channel, h.city_en, h.city, h.period_type, h.year, h.atc3, h.market, h.category_2, h.molecule, h.product_name, h.product, h.product_cn, h.route, h.corp, h.tender_round"
+    return {
+        "raw_reporting": VIEWS["raw_panel"].replace("FROM sales", f"FROM panel_sales WHERE NOT (province = 'ASIA' AND p_type = 'LARGE') AND quarter = {at}"),
+        "facts_1": (_STANDARD % "province, city, district, hospital").replace("FROM cleaned", "FROM cleaned_1"),
+        "cleaned_1": cleaned % ("", "WHERE project = 'P1'"),
+        "facts_2": (_STANDARD % "province, city, district, hospital").replace("FROM cleaned", "FROM cleaned_2"),
+        "cleaned_2": cleaned % ("", "WHERE project = 'P2' AND packcode IS NOT NULL"),
+        "panel_0": f"SELECT {FACT_KEYS}, sum(units) AS units, sum(sales) AS sales, 0 AS flag FROM (SELECT * FROM facts_1 UNION ALL SELECT * FROM facts_2) GROUP BY {FACT_KEYS}",
+        **over(_KNN_VIEWS, panel="panel_0"),
+        "imputed": """
+            SELECT year, date, quarter, w.province, w.city, w.district, w.pchc, market, packid, sum(units * knn_weight) AS units, sum(sales * knn_weight) AS sales, 1 AS flag
+            FROM weights w JOIN panel_0 f ON f.pchc = w.knn_pchc AND f.province <> 'ASIA' AND market = 'Diabetes' GROUP BY ALL""",
+        "run_sample": "SELECT * FROM panel_0 UNION ALL BY NAME SELECT * FROM imputed",
+        "run_universe": """
+            SELECT r.pchc, coalesce(s.province, r.province) AS province, coalesce(s.city, r.city) AS city, coalesce(s.district, r.district) AS district, r.est,
+                   CASE WHEN s.pchc IS NULL THEN 0 ELSE 1 END AS flag_sample
+            FROM (SELECT pchc, province, city, district, sum(est) AS est FROM (
+                      SELECT DISTINCT replace(province, '省', '') AS province, replace(city, '市', '') AS city, district, pchc, est FROM registry)
+                  WHERE est > 0 GROUP BY ALL) r
+            LEFT JOIN (SELECT DISTINCT pchc, province, city, district FROM run_sample) s USING (pchc)""",
+        **over(_NATION_VIEWS, panel="run_sample", universe="run_universe"),
+        "dated": """
+            SELECT *, substr(date, 1, 4) AS year, substr(date, 1, 4) || 'Q' || quarter(CAST(strptime(date, '%Y%m') AS DATE)) AS quarter FROM proj_nation""",
+        "priced": f"""
+            SELECT year, quarter, {PLACE}, market, packid, sales / price AS units, sales FROM (
+                SELECT d.*, coalesce(a.price, b.price, c.price, e.price, g.price, h.price) AS price FROM dated d
+                LEFT JOIN (SELECT packid, province, city, quarter, sum(sales) / sum(units) AS price FROM run_sample GROUP BY ALL) a USING (packid, province, city, quarter)
+                LEFT JOIN (SELECT packid, province, city, year, sum(sales) / sum(units) AS price FROM run_sample GROUP BY ALL) b USING (packid, province, city, year)
+                LEFT JOIN (SELECT packid, province, quarter, sum(sales) / sum(units) AS price FROM run_sample GROUP BY ALL) c USING (packid, province, quarter)
+                LEFT JOIN (SELECT packid, province, year, sum(sales) / sum(units) AS price FROM run_sample GROUP BY ALL) e USING (packid, province, year)
+                LEFT JOIN (SELECT packid, quarter, sum(sales) / sum(units) AS price FROM run_sample GROUP BY ALL) g USING (packid, quarter)
+                LEFT JOIN (SELECT packid, year, sum(sales) / sum(units) AS price FROM run_sample GROUP BY ALL) h USING (packid, year))
+            WHERE price > 0 AND sales > 0""",
+        **{name: _renamed(sql, {"panel": "priced"}).replace(_SPLIT, split).replace("'NATION_2', 'NATION_5', 'NATION_9'", "'NATION_0', 'NATION_2', 'NATION_5', 'NATION_9'") for name, sql in _FORMAT_VIEWS.items()},
+        "quarter_rows": "SELECT * EXCLUDE (src, rn) REPLACE (arg_min(product_cn, rn) OVER (PARTITION BY product) AS product_cn) FROM ranked",
+        "run_history": f"""
+            SELECT * REPLACE ({_second_category('sql')} AS category_2, lpad(packid, 7, '0') AS packid) FROM past
+            UNION ALL BY NAME SELECT * REPLACE (lpad(packid, 7, '0') AS packid) FROM residual WHERE date < {at}""",
+        "proxy_growth": f"""
+            SELECT market, category_2, packid, lead(value_lc) OVER w / value_lc AS gs, lead(units) OVER w / units AS gu FROM (
+                SELECT market, category_2, packid, date, value_lc, units FROM run_history
+                WHERE city = '{_PROXY}' AND date = (SELECT q1 FROM this_quarter)
+                UNION ALL SELECT market, category_2, packid, date, value_lc, units FROM quarter_rows WHERE city = '{_PROXY}')
+            WINDOW w AS (PARTITION BY market, category_2, packid ORDER BY date, value_lc, units) QUALIFY gs IS NOT NULL""",
+        "city_rolled": f"""
+            SELECT {dims}, h.packid, substr({at}, 5) AS quarter, {at} AS date, {grown('coalesce(g.gs, x.gs)', 'coalesce(g.gu, x.gu)')}
+            FROM run_history h
+            LEFT JOIN proxy_growth g ON g.market IS NOT DISTINCT FROM h.market AND g.category_2 IS NOT DISTINCT FROM h.category_2 AND g.packid IS NOT DISTINCT FROM h.packid
+            LEFT JOIN (SELECT * FROM pack_growth WHERE isfinite(gs) AND isfinite(gu)) x ON x.pack_id = h.packid
+            WHERE h.city = '{_MISSING}' AND h.date = (SELECT q1 FROM this_quarter) AND coalesce(g.gs, x.gs) > 0 AND coalesce(g.gu, x.gu) > 0""",
+        "residual_rolled": f"""
+            SELECT h.channel, h.city_en, h.city, h.period_type, h.year, h.molecule, h.category_2, h.market, lpad(h.packid, 7, '0') AS packid,
+                   substr({at}, 5) AS quarter, {at} AS date, {grown('(h.value_lc / b.value_lc)', '(h.units / b.units)')}
+            FROM residual h JOIN residual b ON h.city = b.city AND h.date = (SELECT q1 FROM this_quarter) AND b.date = (SELECT q2 FROM this_quarter)""",
+        "run_current": f"SELECT * FROM quarter_rows WHERE city <> '{_MISSING}' UNION ALL BY NAME SELECT * FROM city_rolled UNION ALL BY NAME SELECT * FROM residual_rolled",
+        "run_four": "SELECT 0 AS src, * FROM run_history WHERE date >= (SELECT q3 FROM this_quarter) UNION ALL BY NAME SELECT 1 AS src, * FROM run_current",
+        "run_named": "SELECT * EXCLUDE (product_name, product, corp, route, tender_round), "
+        + newest(four, "city, packid", {"product_name": "last", "product": "last", "corp": "last", "route": "first_known", "tender_round": "last_known"})
+        + " FROM run_four",
+        "run_mat": f"""
+            SELECT {keys}, quarter, date, {', '.join(f'sum({m}) AS {m}' for m in MEASURES)}
+            FROM (SELECT * REPLACE ('MAT' AS period_type, substr({at}, 1, 4) AS year, substr({at}, 5) AS quarter, {at} AS date) FROM run_named)
+            GROUP BY {keys}, quarter, date""",
+        "run_stacked": "SELECT 0 AS src, * FROM run_history UNION ALL BY NAME SELECT 1 AS src, * FROM run_current UNION ALL BY NAME SELECT 2 AS src, * FROM run_mat",
+        "run_delivery": "SELECT * EXCLUDE (src, product_name, product, corp, corp_cn, product_cn, route), "
+        + newest(stacked, "packid", {"product_name": "last", "product": "last", "corp": "last", "corp_cn": "last", "product_cn": "last_known", "route": "first_known"})
+        + " FROM run_stacked",
+    }
+
+
+def _renamed(sql: str, tables: dict[str, str]) -> str:
+    for old, new in tables.items():
+        sql = re.sub(rf"\b(FROM|JOIN)\s+{old}\b", rf"\1 {new}", sql)
+    return sql
+
+
+@query(
+    "delivery_run",
+    with_views(
+        "SELECT * REPLACE (" + ", ".join(f"floor({m} * 100 + 0.5) / 100 AS {m}" for m in MEASURES) + ") FROM run_delivery",
+        **_run_views(),
+    ),
+)
+def delivery_run(fx: Fixtures) -> DataFrame:
+    """Raw exports of two providers to the delivery: every stage of the batch, published one by one."""
+    root = _scratch(fx, "run")
+    reporting = Fixtures(fx.spark, fx.dir)
+    known = fx.panel_sales.filter(~((F.col("province") == "ASIA") & (F.col("p_type") == "LARGE")) & (F.col("quarter") == fx.quarter))
+    reporting.__dict__["sales"] = known  # the raw view over these sales
+    raw = reporting.raw_panel
+    paths = {}
+    for project in ("P1", "P2"):
+        paths[project] = f"{root}/{project}"
+        raw.filter(F.col("project") == project).write.csv(paths[project], header=True)
+    sources = [
+        RawSource("first", [paths["P1"]], "UTF-8", rules={"projects": ["P1"], "succession": SUCCESSION}),
+        RawSource("second", [paths["P2"]], "UTF-8", rules={"require_code": True, "succession": SUCCESSION}),
+    ]
+    history = fx.past.withColumn("category_2", _second_category())
+    lookups = Lookups(
+        files_version(fx.spark, fx.dir), fx.place_lookup, market_definition(fx.market_listing, exclude_atc3=[]), fx.registry, fx.tier_listing, fx.master, fx.tenders, fx.rounds,
+        fx.city_names, union_strict(history, fx.residual.filter(F.col("date") < fx.quarter)), fx.external,
+    )
+    params = Parameters(
+        quarter=fx.quarter, target_cities=_RUN_CITIES, impute_region="ASIA", impute_market="Diabetes", missing_city=_MISSING, proxy_city=_PROXY,
+        residual_molecule="Others", exclude_donor_provinces=NO_DONORS, tcm_products=TCM_PRODUCTS, rules=replace(RULES, market_split=_RUN_SPLIT),
+    )
+    delivery = whole_run(StageStore(fx.spark, f"{root}/stages"), sources, lookups, params).delivery
+    return rounded(delivery, **dict.fromkeys(MEASURES, 2))
