@@ -2,6 +2,7 @@
 
 from collections.abc import Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,11 +42,19 @@ class LookupAudit:
         """lookup, rows_in, rows_out (unmatched rows stay in it), unmatched, multiplied (rows with several matches)."""
         rows = []
         for name, before, after in self._seen:
-            got = after.get
-            rows.append((name, before.get["rows_in"], got["rows_out"], got["unmatched"], got["multiplied"]))
+            got = _counts(before) | _counts(after)
+            rows.append((name, *(got.get(c, 0) for c in ("rows_in", "rows_out", "unmatched", "multiplied"))))
         return spark.createDataFrame(rows, AUDIT)
 
 
+def _counts(seen: Observation) -> dict:
+    """The metrics of a plan; adaptive execution drops a part that turned out to have no rows, and its metrics with it."""
+    try:
+        return seen.get
+    except Py4JJavaError:
+        return {}
+
+
 def cross_source_duplicates(sources: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
     """Keys that occur in several sources, with their count in each (`n_0`, `n_1`, ...) and `surplus`.
 
