@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelproj.llm import textbytes
-from panelproj.llm.shared import bounded_sample
+from panelproj.llm.shared import bounded_sample, with_membership
 
 BUCKET_BITS = 14
 ORDER = 3
@@ -61,8 +61,7 @@ def _parts(column: pa.Array):
 def log_ratios(docs: DataFrame, trusted: DataFrame) -> np.ndarray | None:
     """log(p_target / p_raw) by hashed n-gram, in units of 1 / SCALE; None without trusted text."""
     bits = table_bits(docs.agg(F.sum(F.octet_length("text")).alias("b")).first()["b"] or 0)
-    marked = docs.join(trusted.select(F.col("doc_id").alias("trusted_id")), F.col("doc_id") == F.col("trusted_id"), "left")
-    marked = marked.select("text", F.col("trusted_id").isNotNull().alias("good"))
+    marked = with_membership(docs.select("doc_id", "text"), trusted, "good").select("text", "good")
 
     def count(batches):
         raw, target = np.zeros(1 << bits, np.int64), np.zeros(1 << bits, np.int64)

@@ -122,3 +122,17 @@ def test_risk_stays_non_negative_and_finds_the_prior():
     unlabelled = np.c_[np.r_[rng.normal(2, 1, (700, 1)), rng.normal(-2, 1, (300, 1))], np.ones(1000)]
     w = quality_classifier.fit(positive, unlabelled, 0.7)
     assert ((unlabelled @ w > 0) == (np.arange(1000) < 700)).mean() > 0.95
+
+
+@pytest.mark.parametrize("most_bytes", [64_000_000, 0])
+def test_membership_without_moving_rows(spark, most_bytes):
+    """Both ways give the same answer, for negative, large, repeated and missing ids."""
+    from panelproj.llm.shared import with_membership
+
+    ids = [0, 1, 2, 7, 8, 32767, 32768, 32769, -1, -2, -32768, -40000, 2**40, 2**62, 5, 5, None]
+    asked = [*range(-12, 20), *range(32760, 32775), -32767, -32768, -32769, -40000, -39999, 2**40, 2**40 + 1, 2**62, 2**62 - 1, None]
+    rows = spark.createDataFrame([(i, "a", "b") for i in asked], "doc_id long, id_bucket string, id_bits string").repartition(3)
+    got = with_membership(rows, spark.createDataFrame([(i,) for i in ids], "doc_id long"), "found", most_bytes)
+    assert got.columns == [*rows.columns, "found"]
+    assert sorted((r["doc_id"], r["found"]) for r in got.collect() if r["doc_id"] is not None) == sorted((i, i in ids) for i in asked if i is not None)
+    assert [r["found"] for r in got.collect() if r["doc_id"] is None] == [False]
