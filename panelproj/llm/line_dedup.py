@@ -58,18 +58,18 @@ def shingles(line: Column) -> Column:
 
 
 def frequencies(lines: DataFrame) -> Column:
-    """The magnitude of shingles' counts by hash bucket, as a constant array of fixed size whose values go to the highest byte. Every shingle of every line counts."""
+    """The magnitude of shingles' counts by hash bucket, as a constant array of 64 KB. Every shingle of every line counts."""
     bucket = F.col("s").bitwiseAND((1 << COUNT_BITS) - 1).alias("bucket")
     counted = lines.select(F.explode(shingles(F.col("line"))).alias("s")).groupBy(bucket).agg(F.count(F.lit(1)).alias("n"))
     magnitude = [0] * (1 << COUNT_BITS)
     for row in counted.select("bucket", F.floor(F.log2(F.col("n") + 1) * 2).alias("m")).collect():
-        magnitude[row["bucket"]] = min(row["m"], 100) << 56
-    return F.from_json(F.lit(str(magnitude)), "array<bigint>")
+        magnitude[row["bucket"]] = min(row["m"], 100)
+    return F.from_json(F.lit(str(magnitude).replace(" ", "")), "array<tinyint>")
 
 
 def by_rarity(tokens: Column, magnitude: Column) -> Column:
-    """Distinct tokens as longs that sort by the magnitude of their count, then by hash."""
-    rank = lambda t: F.coalesce(F.get(magnitude, t.bitwiseAND((1 << COUNT_BITS) - 1).cast("int")), F.lit(0).cast("long"))
+    """Distinct tokens as longs that sort by the magnitude of their count (in the highest byte), then by hash."""
+    rank = lambda t: F.shiftleft(F.coalesce(F.get(magnitude, t.bitwiseAND((1 << COUNT_BITS) - 1).cast("int")), F.lit(0).cast("tinyint")).cast("long"), 56)
     return F.sort_array(F.array_distinct(F.transform(tokens, lambda t: rank(t).bitwiseOR(F.shiftrightunsigned(t, 8)))))
 
 
