@@ -54,7 +54,7 @@ def template(token: Column) -> Column:
 
 def unmarked(token: Column) -> Column:
     """A token without the mark of a name."""
-    return F.translate(token, MARK, "")
+    return F.when(F.startswith(token, F.lit(MARK)), F.substring(token, 2, 2**31 - 1)).otherwise(token)
 
 
 def literal(token: Column) -> Column:
