@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelproj.catalog.fixtures import Fixtures
-from panelproj.catalog.panel_queries import _CLEANED, _FORMAT_VIEWS, _KNN_VIEWS, _NATION_VIEWS, _SPLIT, _STANDARD, NO_DONORS, RULES, SUCCESSION, TCM_PRODUCTS
+from panelproj.catalog.panel_queries import _CATEGORY_1, _CATEGORY_2, _CLEANED, _FORMAT_VIEWS, _KNN_VIEWS, _NATION_VIEWS, _SPLIT, _STANDARD, NO_DONORS, RULES, SUCCESSION, TCM_PRODUCTS
 from panelproj.catalog.registry import query, rounded
 from panelproj.catalog.sql_views import FACT_KEYS, PLACE, VIEWS, with_views
 from panelproj.functions import quarter_shift
@@ -17,7 +17,9 @@ from panelproj.operators.audit import LookupAudit, cross_source_duplicates, rest
 from panelproj.operators.delivery import MEASURES
 from panelproj.operators.periods import moving_annual_series
 from panelproj.operators.position import by_position, with_position
-from panelproj.operators.relational import union_strict
+from panelproj.operators.relational import union_strict, weighted_quantile
+from panelproj.operators.rules import apply_rules, classification_rules
+from panelproj.operators.sketch import merged_quantile, period_sketches, rank_error
 from panelproj.operators.standardize import market_definition
 from panelproj.plans import Lookups, Parameters, RawSource, StageStore, files_version, whole_run
 
@@ -207,6 +209,32 @@ def restatement_report_query(fx: Fixtures) -> DataFrame:
     return restatement_report(versions.open(before), versions.open(versions.newest("history")), _VERSION_KEYS, ["value_lc", "units"])
 
 
+@query(
+    "classify_by_table",
+    with_views(f"""
+    SELECT market, packid, atc3, atc4, molecule, route, {_CATEGORY_1} AS category_1, {_CATEGORY_2} AS category_2
+    FROM (SELECT DISTINCT market, packid FROM sales) JOIN master USING (packid)"""),
+)
+def classify_by_table(fx: Fixtures) -> DataFrame:
+    """The two categories of every pack by the rule table."""
+    master = fx.master.select("packid", "atc3", "atc4", "molecule", "route")
+    return apply_rules(fx.sales.select("market", "packid").distinct().join(master, "packid"), classification_rules(fx.spark))
+
+
+@query(
+    "quantile_sketched",
+    with_views("SELECT quantile_cont(sales, 0.9) AS exact, count(*) AS n, TRUE AS within FROM sales"),
+)
+def quantile_sketched(fx: Fixtures) -> DataFrame:
+    """The cap of all amounts from one sketch a quarter: its rank is within one hundredth of the exact one's."""
+    counted = fx.sales.groupBy("sales").agg(F.count("*").alias("n"))
+    exact = weighted_quantile(counted, "sales", "n", 0.9).select(F.col("quantile").alias("exact"))
+    sketches = materialize(period_sketches(fx.sales, "sales", "quarter"), "sketches")
+    merged = materialize(merged_quantile(sketches, 0.9), "merged")
+    error = rank_error(fx.sales, "sales", merged, 0.9).select((F.col("rank_error") <= 0.01).alias("within"))
+    return exact.join(merged.select("n"), F.lit(True)).join(error, F.lit(True))  # one row each
+
+
 # --- periods -----------------------------------------------------------------------------------
 
 
