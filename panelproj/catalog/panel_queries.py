@@ -44,6 +44,7 @@ from panelproj.operators.standardize import (
     place_map,
     standardize_panel,
 )
+from panelproj.sources import materialize
 
 SUCCESSION = {"00007": "00008", "00012": "00099"}
 PLACE_COLUMNS = ["province", "city", "district"]
@@ -468,7 +469,7 @@ def nearest_district_donor_query(fx: Fixtures) -> DataFrame:
     ),
 )
 def nearest_tier_donor_query(fx: Fixtures) -> DataFrame:
-    districts = tier_districts(fx.universe, fx.tiers)
+    districts = materialize(tier_districts(fx.universe, fx.tiers), "districts")
     pairs = nearest_tier_donor(districts, donor_facts(fx.panel, fx.tiers, NO_DONORS))
     return rounded(pairs.drop("est", "donor_est"), slope=8)
 

@@ -15,6 +15,7 @@ from panelproj.catalog.sql_views import FACT_KEYS, PLACE, VIEWS, with_views
 from panelproj.functions import quarter_shift
 from panelproj.operators.audit import LookupAudit, cross_source_duplicates, restatement_report
 from panelproj.operators.delivery import MEASURES
+from panelproj.operators.dims import attribute_source, product_master
 from panelproj.operators.periods import moving_annual_series
 from panelproj.operators.position import by_position, with_position
 from panelproj.operators.relational import union_strict, weighted_quantile
@@ -125,6 +126,25 @@ def ingest_problems(fx: Fixtures) -> DataFrame:
     return problems.unionByName(total(read.rejected, "lines rejected")).unionByName(total(read.rows, "rows kept"))
 
 
+_BACKWARDS = ", ".join(f"{c} DESC NULLS LAST" for c in "packid corp type atc3 atc4 atc3_cn molecule molecule_cn product product_cn pack route".split())
+
+
+@query(
+    "master_by_position",
+    with_views("SELECT * FROM master", product_rows=re.sub(r"ORDER BY src, packid.*?route\)", f"ORDER BY src, {_BACKWARDS})", VIEWS["product_rows"], flags=re.DOTALL)),
+)
+def master_by_position(fx: Fixtures) -> DataFrame:
+    """The product master from three exports that list their rows backwards: the first line wins, not the first text."""
+    sources = []
+    for source in fx.product_sources:
+        path = _scratch(fx, "products")
+        order = [c for c in ("packid", "corp", "type", "atc3", "atc4", "atc3_cn", "molecule", "molecule_cn", "product", "product_cn", "pack", "route") if c in source.columns]
+        source.orderBy(*[F.desc_nulls_last(c) for c in order]).write.csv(path, header=True)
+        read = with_position(ingest(fx.spark, [path], T.StructType([T.StructField(c, T.StringType()) for c in source.columns])).rows)
+        sources.append(attribute_source(read, {c: c for c in source.columns}))
+    return product_master(sources, fx.corporations, fx.fallback_names)
+
+
 # --- audits --------------------------------------------------------------------------------
 
 

@@ -17,7 +17,7 @@ from panelproj.functions import (
     substring_between,
     sum_known,
 )
-from panelproj.operators.relational import fill_from_group, flag_membership, lookup_matched, na_join, tag_rows, union_strict
+from panelproj.operators.relational import fill_from_group, first_of_equal, flag_membership, lookup_matched, na_join, tag_rows, union_strict
 from panelproj.operators.standardize import CITY_SUFFIX, PLACE, PROVINCE_SUFFIX
 from panelproj.sources import materialize
 
@@ -41,23 +41,26 @@ DISABLED_MARK = "禁用"
 
 
 def attribute_source(df: DataFrame, columns: Mapping[str, str], strip: Mapping[str, str] | None = None) -> DataFrame:
-    """Distinct renamed attributes of one source; `strip` removes a pattern from a column first."""
+    """Distinct renamed attributes of one source; `strip` removes a pattern from a column first.
+
+    A position in the files (`_pos`) is kept: the first one of equal rows.
+    """
     strip = strip or {}
-    return df.select(
-        *[(strip_pattern(F.col(f"`{c}`"), strip[c]) if c in strip else F.col(f"`{c}`")).alias(n) for c, n in columns.items()]
-    ).distinct()
+    renamed = [(strip_pattern(F.col(f"`{c}`"), strip[c]) if c in strip else F.col(f"`{c}`")).alias(n) for c, n in columns.items()]
+    return first_of_equal(df, renamed)
 
 
 def registered_centres(registry: DataFrame) -> DataFrame:
-    """One row per centre with positive size: first known place, summed size."""
-    rows = registry.select(
+    """One row per centre with positive size: first known place (by `_pos` if the registry has it), summed size."""
+    columns = [
         strip_pattern("province", PROVINCE_SUFFIX).alias("province"),
         strip_pattern("city", CITY_SUFFIX).alias("city"),
-        "district",
-        "pchc",
-        "est",
-    ).distinct()
-    order = [*PLACE, "est"]
+        F.col("district"),
+        F.col("pchc"),
+        F.col("est"),
+    ]
+    rows = first_of_equal(registry, columns)
+    order = ["_pos"] if "_pos" in registry.columns else [*PLACE, "est"]
     return (
         rows.filter(F.col("est") > 0)
         .groupBy("pchc")
@@ -94,15 +97,17 @@ def city_tier(raw: DataFrame, order_by: Sequence[str], default: float = 5.0) ->
 
 
 def product_master(sources: Sequence[DataFrame], corporations: DataFrame, fallback_names: DataFrame) -> DataFrame:
-    """One row per pack from several partial sources, earlier sources first.
+    """One row per pack from several partial sources, earlier sources first, and in a source
+    earlier rows (`_pos`, if all sources have it; else in the order of their contents).
 
     Local-language names spread within their class, molecule and product before the
     first known value of each attribute is taken; `fallback_names` fills what is left
     and keeps its multiplicity.
     """
+    placed = all("_pos" in s.columns for s in sources)
     stacked = tag_rows(sources)
     given = [c for c in MASTER_COLUMNS if c != "corp_cn"]
-    content = ["packid", *[c for c in given if c in stacked.columns]]
+    content = ["_pos"] if placed else ["packid", *[c for c in given if c in stacked.columns]]
     stacked = stacked.withColumns({c: F.lit(None).cast("string") for c in given if c not in stacked.columns})
     rows = na_join(stacked, corporations.select("name", F.col("namec").alias("corp_cn")), [("corp", "name")], "left")
     rows = materialize(rows, "product-rows")

@@ -82,9 +82,9 @@ def nearest_in_block(targets: DataFrame, donors: DataFrame, by: str, value: str,
     """Join every target to all donors of its block at the smallest absolute distance.
 
     `donors` names its block `by` too and its value `donor_value`; its other columns
-    must differ from the targets'. Both sides are written once to the shared folder.
+    must differ from the targets'. Both sides are read several times, so give written frames
+    or cheap selections of them.
     """
-    targets, donors = materialize(targets, "asking"), materialize(donors, "offered")
     near = nearest_values(targets, donors.select(by, F.col(donor_value).alias(value)), by, value)
     paired = na_join(targets, near, [by, value], "inner")
     return na_join(

@@ -149,7 +149,7 @@ def nearest_tier_donor(districts: DataFrame, donors: DataFrame) -> DataFrame:
     `donors` holds (place, tier) keys of districts with facts.
     """
     offered = na_join(districts, donors.select(*PLACE, "tier").distinct(), [*PLACE, "tier"], "left_semi")
-    offered = offered.withColumnsRenamed(_DONOR | {"est": "donor_est"})
+    offered = materialize(offered.withColumnsRenamed(_DONOR | {"est": "donor_est"}), "offered")
     slope = ratio("est", "donor_est")
     finite = ~(slope.isNull() | (F.abs(slope) == float("inf")))
     return nearest_in_block(districts, offered, "tier", "est", "donor_est").withColumn(

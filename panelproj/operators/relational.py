@@ -86,6 +86,14 @@ def fill_from_group(df: DataFrame, keys: Sequence[str], values: Mapping[str, Col
     return na_join(df.drop(*values), per_group, keys, "inner").select(*order)
 
 
+def first_of_equal(df: DataFrame, columns: Sequence[str | Column], at: str = "_pos") -> DataFrame:
+    """Distinct rows of some columns, with the first position of equal ones if the frame has positions."""
+    if at not in df.columns:
+        return df.select(*columns).distinct()
+    placed = df.select(*columns, at)
+    return placed.groupBy(*[f"`{c}`" for c in placed.columns if c != at]).agg(F.min(at).alias(at))
+
+
 def keep_repeated(df: DataFrame, keys: Sequence[str], count: str = "n") -> DataFrame:
     """Rows whose key occurs more than once, with the number of occurrences."""
     repeated = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(count)).filter(F.col(count) > 1)

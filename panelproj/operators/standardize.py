@@ -18,7 +18,7 @@ from panelproj.functions import (
     substring_between,
     sum_known,
 )
-from panelproj.operators.relational import fill_from_group, lookup_matched, na_join, sum_by, tag_rows
+from panelproj.operators.relational import fill_from_group, first_of_equal, lookup_matched, na_join, sum_by, tag_rows
 from panelproj.sources import materialize
 
 # Administrative suffixes, the label for a municipality's own
@@ -84,10 +84,7 @@ def raw_transactions(
         (derived_units() if units is None else units).alias("units"),
         F.col("value").alias("sales"),
     ]
-    if "_pos" not in raw.columns:
-        return raw.select(*columns).distinct()
-    placed = raw.select(*columns, "_pos")
-    return placed.groupBy(*[c for c in placed.columns if c != "_pos"]).agg(F.min("_pos").alias("_pos"))
+    return first_of_equal(raw, columns)
 
 
 def standardize_panel(
@@ -140,8 +137,9 @@ def place_map(registry: DataFrame, name_columns: Sequence[str], order_by: Sequen
 
 
 def centre_places(places: DataFrame) -> DataFrame:
-    """First known place per centre, names in code order."""
-    return places.groupBy("pchc").agg(*[first_known(c, [*PLACE, "hospital"]).alias(c) for c in PLACE])
+    """First known place per centre, by position (`_pos`) or else with names in code order."""
+    order = ["_pos"] if "_pos" in places.columns else [*PLACE, "hospital"]
+    return places.groupBy("pchc").agg(*[first_known(c, order).alias(c) for c in PLACE])
 
 
 def market_definition(listing: DataFrame, exclude_atc3: Sequence[str] = ("A10C", "A10D")) -> DataFrame:

@@ -5,6 +5,7 @@ import random
 import pytest
 from pyspark.sql.types import StructType
 
+from panelproj.operators.dims import product_master, registered_centres
 from panelproj.operators.position import by_position, fill_by_position, with_position
 from panelproj.operators.standardize import combine_panels, raw_transactions
 from panelproj.sources import ingest, read_raw_csv
@@ -129,3 +130,19 @@ def test_facts_keep_their_position(spark, rows):
     assert got == [("202001", "P", "early", "d", 1.0), ("202002", "P", "early", "d", 1.0), ("202003", "P", "early", "d", 1.0)]
     got = rows(combine_panels(second, first), "date", "province", "city", "district")
     assert {r[1:] for r in got} == {("Q", "other", "d")}
+
+
+def test_lookups_choose_by_line(spark, rows):
+    """Centres and packs take their first line's values, and equal rows count at their first line."""
+    registry = spark.createDataFrame(
+        [("甲省", "乙市", "z", "c1", 2.0, 1), ("甲省", "乙市", "a", "c1", 3.0, 2), ("甲省", "乙市", "z", "c1", 2.0, 9), ("甲省", "乙市", None, "c2", 1.0, 4), ("甲省", "丙市", "d", "c2", 1.0, 5)],
+        "province string, city string, district string, pchc string, est double, _pos long",
+    )
+    assert rows(registered_centres(registry)) == [("c1", "甲", "乙", "z", 5.0), ("c2", "甲", "乙", "d", 2.0)]
+    assert rows(registered_centres(registry.drop("_pos")), "pchc", "district") == [("c1", "a"), ("c2", "d")]
+    first = spark.createDataFrame([("p1", "zeta", None, 1), ("p1", "alpha", "x", 2)], "packid string, corp string, atc3 string, _pos long")
+    second = spark.createDataFrame([("p1", "early", "y", 0)], "packid string, corp string, atc3 string, _pos long")
+    corporations = spark.createDataFrame([("zeta", "泽")], "name string, namec string")
+    names = spark.createDataFrame([], "packid string, product_cn string, route string")
+    assert rows(product_master([first, second], corporations, names), "corp", "corp_cn", "atc3") == [("zeta", "泽", "x")]
+    assert rows(product_master([first.drop("_pos"), second], corporations, names), "corp", "atc3") == [("alpha", "x")]
