@@ -4,14 +4,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from panelproj.llm import mixing
+from panelproj.llm import lsh_forest, mixing, ranked_search
 from panelproj.llm.decontaminate import contamination
 from panelproj.llm.line_dedup import line_dedup
-from panelproj.llm.lsh_forest import near_duplicates
 from panelproj.llm.pii import personal_data
 from panelproj.llm.quality_classifier import quality_scores
 from panelproj.llm.quality_rules import quality_rules, trusted_ids
-from panelproj.llm.ranked_search import ranked_search
 from panelproj.llm.secret_scan import secret_scan
 from panelproj.llm.simhash import simhash_components
 from panelproj.llm.spelling import spelling_variants, word_counts
@@ -68,11 +66,11 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op12_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(_table(spark, sf_dir, "documents"), percent=80)
+    return lsh_forest.near_duplicates(_table(spark, sf_dir, "documents"), percent=80)
 
 
 def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ranked_search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), top=10)
+    return ranked_search.ranked_search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), top=10)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -94,4 +92,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
-ORACLE_SQL: dict[str, str] = {"op8_source_mixing": mixing.ORACLE}
+ORACLE_SQL: dict[str, str] = {
+    "op8_source_mixing": mixing.ORACLE,
+    "op12_minhash_near_dedup": lsh_forest.ORACLE,
+    "op13_ranked_search": ranked_search.ORACLE,
+}
