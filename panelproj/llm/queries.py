@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from panelproj.llm import lsh_forest, mixing, ranked_search
+from panelproj.llm import lsh_forest, mixing, ranked_search, substring_dedup
 from panelproj.llm.decontaminate import contamination
 from panelproj.llm.line_dedup import line_dedup
 from panelproj.llm.pii import personal_data
@@ -13,7 +13,6 @@ from panelproj.llm.quality_rules import quality_rules, trusted_ids
 from panelproj.llm.secret_scan import secret_scan
 from panelproj.llm.simhash import simhash_components
 from panelproj.llm.spelling import spelling_variants, word_counts
-from panelproj.llm.substring_dedup import substring_dedup
 from panelproj.llm.suffix_dedup import suffix_dedup
 
 
@@ -58,7 +57,7 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return substring_dedup(_table(spark, sf_dir, "documents"))
+    return substring_dedup.substring_dedup(_table(spark, sf_dir, "documents"))
 
 
 def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -94,6 +93,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLE_SQL: dict[str, str] = {
     "op8_source_mixing": mixing.ORACLE,
+    "op10_substring_dedup": substring_dedup.ORACLE,
     "op12_minhash_near_dedup": lsh_forest.ORACLE,
     "op13_ranked_search": ranked_search.ORACLE,
 }

@@ -164,3 +164,15 @@ def _around(roller, words, prefix, starts: np.ndarray, hit: repeats.Among, block
     n = len(words.starts) + 1
     steps = np.bincount(np.maximum(small - (window - block), words.first[words.row[small]]) if len(small) else small, minlength=n) - np.bincount(small + 1, minlength=n)
     return np.flatnonzero((np.cumsum(steps[:-1]) > 0)[starts])
+
+
+ORACLE = r"""
+WITH words AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+windows AS (
+    SELECT doc_id, i, array_to_string(w[i:i + 19], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM words WHERE len(w) >= 20)),
+later AS (
+    SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY s ORDER BY doc_id, i) AS place FROM windows) WHERE place > 1),
+gone AS (SELECT doc_id, list(DISTINCT i + k) AS places FROM later, (SELECT unnest(range(0, 20)) AS k) GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, coalesce(len(places), 0) AS n_removed,
+       sha256(array_to_string([w[p] for p in range(1, len(w) + 1) if places IS NULL OR NOT list_contains(places, p)], ' ')) AS kept_sha256
+FROM words LEFT JOIN gone USING (doc_id)"""
