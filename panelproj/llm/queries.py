@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from panelproj.llm import lsh_forest, mixing, ranked_search, substring_dedup
+from panelproj.llm import lsh_forest, mixing, ranked_search, spelling, substring_dedup
 from panelproj.llm.decontaminate import contamination
 from panelproj.llm.line_dedup import line_dedup
 from panelproj.llm.pii import personal_data
@@ -12,7 +12,6 @@ from panelproj.llm.quality_classifier import quality_scores
 from panelproj.llm.quality_rules import quality_rules, trusted_ids
 from panelproj.llm.secret_scan import secret_scan
 from panelproj.llm.simhash import simhash_components
-from panelproj.llm.spelling import spelling_variants, word_counts
 from panelproj.llm.suffix_dedup import suffix_dedup
 
 
@@ -61,7 +60,8 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spelling_variants(word_counts(_table(spark, sf_dir, "documents"), least_length=7, least_count=2, noise_every=31), ratio=10)
+    counts = spelling.word_counts(_table(spark, sf_dir, "documents"), least_length=7, least_count=2, noise_every=31)
+    return spelling.spelling_variants(counts, ratio=10)
 
 
 def op12_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -94,6 +94,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE_SQL: dict[str, str] = {
     "op8_source_mixing": mixing.ORACLE,
     "op10_substring_dedup": substring_dedup.ORACLE,
+    "op11_spelling_variants": spelling.ORACLE,
     "op12_minhash_near_dedup": lsh_forest.ORACLE,
     "op13_ranked_search": ranked_search.ORACLE,
 }

@@ -240,3 +240,42 @@ def spelling_variants(words: DataFrame, ratio: int = 10, parts: int = 4, fewer:
     known = written(known.select("word", F.when(worthy, F.col("best.near")).alias("form"), "n", F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"), F.when(worthy, F.col("form_n")).alias("form_n")))
     rooted = known.join(_roots(known.where("form is not null")), "word", "left")
     return rooted.select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
+
+
+# The checksum's table comes from its polynomial (3988292384); letters of the runs have one or two bytes.
+ORACLE = r"""
+WITH RECURSIVE steps AS (
+    SELECT i, i AS c, 0 AS step FROM (SELECT unnest(range(0, 256)) AS i)
+    UNION ALL SELECT i, CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END, step + 1 FROM steps WHERE step < 8),
+remainders AS (SELECT list(c ORDER BY i) AS t FROM steps WHERE step = 8),
+runs AS (
+    SELECT doc_id, run, count(*) AS k FROM (
+        SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-zÀ-ÿ]{7,}')) AS run FROM documents)
+    GROUP BY doc_id, run),
+bytes AS (
+    SELECT run, k, flatten([CASE WHEN unicode(c) < 128 THEN [unicode(c)] ELSE [192 + (unicode(c) >> 6), 128 + (unicode(c) & 63)] END
+                            for c in string_split(doc_id || ':' || run, '')]) AS b FROM runs),
+hashed AS (
+    SELECT run, k, xor(list_reduce(list_concat([4294967295::BIGINT], b), lambda c, x: xor(t[(xor(c, x) & 255) + 1], c >> 8)), 4294967295::BIGINT) AS h
+    FROM bytes, remainders),
+words AS (
+    SELECT word, CAST(sum(k) AS BIGINT) AS n FROM (
+        SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, k FROM hashed)
+    WHERE length(word) >= 7 GROUP BY word HAVING sum(k) >= 2),
+shorter AS (
+    SELECT word, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM words)),
+one_less AS (SELECT s.word AS long, w.word AS short FROM shorter s JOIN words w ON w.word = s.rest),
+links AS (
+    SELECT a.word, b.word AS near FROM shorter a JOIN shorter b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+    UNION SELECT long, short FROM one_less UNION SELECT short, long FROM one_less),
+most AS (
+    SELECT l.word, count(*) OVER (PARTITION BY l.word) AS n_near, l.near, w.n AS near_n FROM links l JOIN words w ON w.word = l.near
+    QUALIFY row_number() OVER (PARTITION BY l.word ORDER BY w.n DESC, l.near) = 1),
+formed AS (
+    SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN near_n >= 10 * n THEN near END AS form, CASE WHEN near_n >= 10 * n THEN near_n END AS form_n
+    FROM words LEFT JOIN most USING (word)),
+paths AS (
+    SELECT word, form AS place, 1 AS step FROM formed WHERE form IS NOT NULL
+    UNION ALL SELECT p.word, f.form, step + 1 FROM paths p JOIN formed f ON f.word = p.place WHERE f.form IS NOT NULL)
+SELECT word, form, coalesce(root, word) AS root, n, n_near, form_n
+FROM formed LEFT JOIN (SELECT word, arg_max(place, step) AS root FROM paths GROUP BY word) USING (word)"""
