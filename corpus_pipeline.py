@@ -4,6 +4,12 @@ Each stage takes (spark, docs, sf_dir) and returns the documents that it leaves,
 of documents; the last one returns the mix. run() writes every stage as Parquet in the shared
 checkpoint folder and reads it again for the next one, so a lost executor costs one stage's
 tasks at most and no lineage grows.
+
+Defined cases: an empty table passes through all stages and gives an empty mix. A null text is
+rejected by the quality rules (no words). Repeated rows are judged alike: both lose the same
+lines, and one of them is left after near duplicates; rows without doc_id are ordered after all
+others, by their text. A document that line dedup empties stays with an empty text, as one group
+of near duplicates with all other empty ones. Extra columns are kept, whatever their names.
 """
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,7 +24,7 @@ from panelproj.llm.simhash import one_of_each
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules reject go."""
+    """Documents that the quality rules reject go: too few words, too many repeated ones, or far from the trusted text. Without labels only the first two."""
     return good_documents(docs, trusted_ids(spark.read.parquet(f"{sf_dir}/labels.parquet")))
 
 
@@ -29,12 +35,12 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays."""
+    """One document of each group of near duplicates stays: the one with the smallest id."""
     return one_of_each(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark item go."""
+    """Documents that hold a benchmark item go. An empty benchmark removes nothing."""
     return clean_documents(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
@@ -60,5 +66,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return STAGES[-1][1](spark, docs, sf_dir)
 
 
-# SimHash needs XXH64 and linking to a fixed point, which the SQL engine lacks; tests compare run() with a brute-force version.
+# SimHash needs XXH64 and linking to a fixed point, which the SQL engine lacks; tests compare the line and near-duplicate stages with plain versions.
 ORACLE_SQL = None
