@@ -20,6 +20,8 @@ DATA = "/root/testdata/sf0.001"
 CORE = [
     "ingest_csv_roundtrip", "standardize_no_district", "place_map", "combine_panels", "build_universe", "product_master", "tender_packs",
     "knn_impute", "project_nation", "price_levels", "format_delivery", "growth_rollforward", "assemble_delivery", "benchmark_extract",
+    "first_by_file_position", "master_by_position", "ingest_problems", "lookup_audit", "cross_source_duplicates", "restatement_report",
+    "moving_annual_series", "classify_by_table", "quantile_sketched",
 ]
 NAMES = sorted(registry.queries()) if os.environ.get("PANELPROJ_ALL") else CORE
 
