@@ -14,7 +14,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelproj.functions import month_to_quarter
+from panelproj.functions import month_to_quarter, quarter_shift
 from panelproj.operators.dims import product_master, tender_packs, tender_rounds
 from panelproj.operators.relational import flag_membership, sum_by
 from panelproj.operators.standardize import FACT_KEYS
@@ -268,6 +268,12 @@ class Fixtures:
         """The history as a stored table, as deliveries are."""
         return materialize(self.history, "history")
 
+    def recent(self, quarters: int) -> tuple[DataFrame, DataFrame]:
+        """The history before the last quarter and the last quarter, of so many quarters in all; only their sales are aggregated."""
+        dates = [quarter_shift(self.quarter, -i) for i in range(quarters)]
+        rows = self.history.filter(F.col("date").isin(dates))
+        return rows.filter(F.col("date") < self.quarter), rows.filter(F.col("date") == self.quarter).withColumn("packid", F.lpad("packid", 7, "0"))
+
     @cached_property
     def past(self) -> DataFrame:
         return self.written_history.filter(F.col("date") < self.quarter)

@@ -681,8 +681,9 @@ _ROLL_DIMS = (
     WHERE h.city = 'NATION_20' AND h.date = {_PREVIOUS} AND coalesce(g.gs, x.gs) > 0 AND coalesce(g.gu, x.gu) > 0"""),
 )
 def growth_rollforward_query(fx: Fixtures) -> DataFrame:
+    past, current = fx.recent(2)
     rows = growth_rollforward(
-        fx.current, fx.past, fx.external, missing_city="NATION_20", proxy_city="NATION_0", quarter=fx.quarter
+        current, past, fx.external, missing_city="NATION_20", proxy_city="NATION_0", quarter=fx.quarter
     )
     return rounded(rows, **dict.fromkeys(MEASURES, 4))
 
@@ -721,7 +722,8 @@ _MAT_VIEWS = {
 
 @query("moving_annual_total", with_views("SELECT * FROM mat", **_MAT_VIEWS))
 def moving_annual_total_query(fx: Fixtures) -> DataFrame:
-    return moving_annual_total(fx.past, fx.current, quarter=fx.quarter)
+    past, current = fx.recent(4)
+    return moving_annual_total(past, current, quarter=fx.quarter)
 
 
 _ASSEMBLE_VIEWS = {
