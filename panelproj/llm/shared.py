@@ -52,8 +52,8 @@ def with_membership(rows: DataFrame, ids: DataFrame, flag: str, most_bytes: int
     id_, bucket, bits = F.col("doc_id").cast("long"), free_name("id_bucket", rows), free_name("id_bits", rows)
     known = ids.select(id_.alias("doc_id")).where("doc_id IS NOT NULL")
     maps = known.groupBy(F.bitmap_bucket_number("doc_id").alias(bucket)).agg(F.bitmap_construct_agg(F.bitmap_bit_position("doc_id")).alias(bits))
-    sizes = known.select(F.bitmap_bucket_number("doc_id").alias("b")).distinct().count()
-    if sizes * BITMAP_BYTES > most_bytes:
+    about = known.agg(F.approx_count_distinct(F.bitmap_bucket_number("doc_id")).alias("n")).first()["n"]
+    if about * BITMAP_BYTES > most_bytes:
         other = free_name("id_known", rows)
         joined = rows.join(known.distinct().withColumnRenamed("doc_id", other), id_ == F.col(other), "left")
         return joined.withColumn(flag, F.col(other).isNotNull()).drop(other)
