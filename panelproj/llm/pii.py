@@ -1,14 +1,14 @@
 """Personal data in texts: four base detectors, and terms that give a protected entity away.
 
 Base spans (email, ip, card, phone) name protected entities. Sanitisation must also look at the
-words around them: a term that occurs in the corpus almost only next to one entity reveals it
+words with them: a term that occurs in the corpus almost only in one entity's documents reveals it
 even when the entity itself is masked. How strongly, is measured by corpus co-occurrence: with
-N documents, n(e) holding entity e, n(t) holding term t and n(t, e) holding t next to e,
+N documents, n(e) holding entity e, n(t) holding term t and n(t, e) holding both,
 
     PMI(t; e) = log(N n(t, e) / (n(t) n(e))),   IC(e) = log(N / n(e)),
 
 and the disclosure PMI / IC = 1 + log(n(t, e) / n(t)) / IC is 1 for a term that occurs nowhere
-else. Terms are reported where they stand next to the entity: from ``generalise`` on as kind
+else. Terms are reported wherever they stand in a document with the entity: from ``generalise`` on as kind
 ``general`` (to be replaced by a broader word), from ``remove`` on as ``term`` (to be removed).
 
 Every pair that occurs together is estimated, from one document on. Small counts are shrunk: the
@@ -17,10 +17,11 @@ w = c / (c + ``doubt``), where c = exp(-n(t) KL(q || p)) bounds (Chernoff) the c
 independent ones meet as often. One document in 26 leaves a doubt of 0.43, one in 10,000 of 0.002.
 
 Counts cover every document: all words of all texts are counted by term with map-side
-combination, so a frequent word is one row per task. Entities and terms are never collected; a
-very frequent entity's contexts are rows that aggregate and join like others.
+combination, so a frequent word is one row per task. Entities and terms are never collected. Since
+n(t, e) <= n(e), a term in more than n(e) / p^(1 - ``generalise``) documents cannot disclose e; such
+pairs are left out before they are counted, which changes no result.
 
-Native functions only. Context: ``reach`` code points to each side, whole words of any length but
+Native functions only. Context: the whole text, whole words of any length outside base spans but
 for the English function words of up to three letters in FUNCTION_WORDS, which name nobody.
 Defined cases: a null text is empty; equal rows are scanned alike, each with its own
 output row; extra columns are ignored; an empty table gives an empty result.
@@ -30,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelproj.llm import spans
-from panelproj.llm.shared import checkpointed, free_name
+from panelproj.llm.shared import free_name, written
 
 KINDS = ["email", "ip", "card", "phone", "general", "term"]
 EMAIL = r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(\.[A-Za-z0-9-]++)++"
@@ -40,6 +41,7 @@ LONG_CARD = r"[0-9]([\x20-]?+[0-9]){12}"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 WORD = r"[\p{L}][\p{L}\p{M}]*+"
 FUNCTION_WORDS = "a an the and or but nor so yet if as at by for in of off on out per to up via am are be is was do did has had may can not no i me my we us our you he him his she her it its who how why all any".split()
+COMMON_TERMS = 10_000  # sent to all tasks
 SPAN = "array<struct<kind:string,start:int,end:int>>"
 
 
@@ -75,15 +77,6 @@ def _of_kind(found: Column, kind: str) -> Column:
     return F.transform(found, lambda s: F.struct(F.lit(kind).alias("kind"), s["start"].alias("start"), s["end"].alias("end"), s["value"].alias("value")))
 
 
-def _sides(text: Column, s: Column, reach: int) -> Column:
-    """The text to both sides of a span, with the position of its first code point and one code point more where a word might be cut."""
-    left = F.greatest(s["start"] - reach - 1, F.lit(0))
-    return F.array(
-        F.struct(left.alias("at"), F.substring(text, left + 1, s["start"] - left).alias("text"), (left > 0).alias("cut_left"), F.lit(False).alias("cut_right")),
-        F.struct(s["end"].alias("at"), F.substring(text, s["end"] + 1, F.lit(reach + 1)).alias("text"), F.lit(False).alias("cut_left"), F.lit(True).alias("cut_right")),
-    )
-
-
 def _disclosure(n: Column, n_t: Column, n_e: Column, n_te: Column, doubt: float) -> Column:
     """PMI / IC with the share of the term's documents that hold the entity shrunk towards the entity's base rate."""
     base, share = n_e / n, n_te / n_t
@@ -93,40 +86,48 @@ def _disclosure(n: Column, n_t: Column, n_e: Column, n_te: Column, doubt: float)
     return 1 + F.log((1 - weight) * share + weight * base) / F.greatest(-F.log(base), F.lit(1e-9))
 
 
-def disclosing_terms(docs: DataFrame, reach: int = 60, doubt: float = 0.05, generalise: float = 0.9, remove: float = 0.97) -> DataFrame:
+def _most_documents(n: float, n_e: Column, generalise: float) -> Column:
+    """The most documents a term may be in to reach ``generalise`` with an entity: its share is n_e / n_t at most. The factor covers rounding."""
+    return n_e * F.exp((1 - generalise) * F.greatest(-F.log(n_e / n), F.lit(1e-9))) * (1 + 1e-9)
+
+
+def disclosing_terms(docs: DataFrame, doubt: float = 0.05, generalise: float = 0.9, remove: float = 0.97) -> DataFrame:
     """doc_id, row_key, base (arrays of struct(kind, start, end)) and found (with the terms) of every document."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     raw = texts.select("doc_id", F.xxhash64("doc_id", "text").alias("row_key"), "text", base_spans(F.col("text")).alias("base"))
-    around = F.transform("base", lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"), F.concat_ws(":", s["kind"], F.lower(F.when(s["kind"] == "email", s["value"]).otherwise(_digits(s["value"])))).alias("entity"), _sides(F.col("text"), s, reach).alias("sides")))
-    scanned = checkpointed(raw.select("doc_id", "row_key", around.alias("base")))
-
-    # a context goes with the base spans that reach into it, not with all of the text
-    near_base = lambda s: F.transform(F.filter("base", lambda b: (b["end"] > s["start"] - reach - 1) & (b["start"] <= s["end"] + reach)), lambda b: F.struct(b["start"].alias("start"), b["end"].alias("end")))
-    mentions = scanned.where(F.size("base") > 0).select("row_key", F.explode(F.transform("base", lambda s: F.struct(s["entity"].alias("entity"), s["sides"].alias("sides"), near_base(s).alias("base")))).alias("s"))
-    mentions = mentions.select("row_key", "s.entity", "s.base", F.explode("s.sides").alias("side"))
-    words = F.filter(
-        spans.matches(F.col("side.text"), WORD),
-        lambda w: ~((w["start"] == 0) & F.col("side.cut_left")) & ~((w["end"] == F.char_length("side.text")) & F.col("side.cut_right") & (F.char_length("side.text") > reach)),
-    )
-    near = mentions.select("row_key", "entity", "base", F.col("side.at").alias("at"), F.explode(words).alias("w"))
-    near = near.select("row_key", "entity", "base", (F.col("at") + F.col("w.start")).alias("start"), (F.col("at") + F.col("w.end")).alias("end"), F.lower("w.value").alias("term"))
-    near = near.where(~F.col("term").isin(FUNCTION_WORDS))
-    near = checkpointed(near.where(~F.exists("base", lambda b: (F.col("start") < b["end"]) & (F.col("end") > b["start"]))).drop("base").distinct())
-
-    pairs = near.select("row_key", "entity", "term").distinct().groupBy("term", "entity").agg(F.count(F.lit(1)).alias("n_te"))
-    in_docs = scanned.select("row_key", F.explode(F.array_distinct(F.transform("base", lambda b: b["entity"]))).alias("entity"))
-    n_entity = in_docs.distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"))
-    all_words = texts.select(F.xxhash64("doc_id", "text").alias("row_key"), F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(WORD), F.lit(0)))).alias("term"))
+    named = F.transform("base", lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"), F.concat_ws(":", s["kind"], F.lower(F.when(s["kind"] == "email", s["value"]).otherwise(_digits(s["value"])))).alias("entity")))
+    # the words of a text with an entity go along with it
+    words = F.transform(spans.matches(F.col("text"), WORD), lambda w: F.struct(w["start"].alias("start"), w["end"].alias("end"), F.lower(w["value"]).alias("term")))
+    words = F.when(F.size("base") > 0, F.filter(words, lambda w: ~w["term"].isin(FUNCTION_WORDS)))
+    scanned = written(raw.select("doc_id", "row_key", named.alias("base"), words.alias("words")))
+
+    n = float(max(texts.agg(F.count(F.lit(1)).alias("n")).first()["n"], 1))
+    in_docs = scanned.select("row_key", F.explode(F.array_distinct(F.transform("base", lambda b: b["entity"]))).alias("entity")).distinct()
+    n_entity = written(in_docs.groupBy("entity").agg(F.count(F.lit(1)).alias("n_e")))
+    all_words = texts.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(WORD), F.lit(0)))).alias("term"))
+    # a term in more documents than any entity allows discloses nothing
     n_term = all_words.groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
-    n = texts.agg(F.count(F.lit(1)).alias("n")).first()["n"]
-    told = pairs.join(n_term, "term").join(n_entity, "entity")
-    told = told.withColumn("disclosure", _disclosure(F.lit(float(max(n, 1))), F.col("n_t"), F.col("n_e"), F.col("n_te"), doubt))
+    most = n_entity.agg(F.max(_most_documents(n, F.col("n_e"), generalise)).alias("most")).first()["most"]
+    n_term = written(n_term.withColumn("rare", F.col("n_t") <= F.lit(float(most or 0.0))))
+    common = n_term.where(~F.col("rare")).orderBy(F.desc("n_t"), "term").limit(COMMON_TERMS).select("term")
+
+    seen = scanned.select("row_key", F.explode("words").alias("w"), "base").select("row_key", "w.*", "base")
+    seen = seen.join(F.broadcast(common), "term", "left_anti")
+    seen = seen.where(~F.exists("base", lambda b: (F.col("start") < b["end"]) & (F.col("end") > b["start"])))
+    near = seen.groupBy("row_key", "term").agg(F.collect_set(F.struct("start", "end")).alias("places"))
+    near = written(near.join(n_term.where("rare").drop("rare"), "term"))
+
+    known = in_docs.join(n_entity, "entity").withColumn("most", _most_documents(n, F.col("n_e"), generalise))
+    met = written(near.select("row_key", "term", "n_t").join(known, "row_key").where(F.col("n_t") <= F.col("most")).drop("most"))
+    told = met.groupBy("term", "entity").agg(F.count(F.lit(1)).alias("n_te"), F.first("n_t").alias("n_t"), F.first("n_e").alias("n_e"))
+    told = told.withColumn("disclosure", _disclosure(F.lit(n), F.col("n_t"), F.col("n_e"), F.col("n_te"), doubt))
     told = told.where(F.col("disclosure") >= generalise).select("term", "entity", F.when(F.col("disclosure") >= remove, "term").otherwise("general").alias("kind"))
 
-    added = near.join(told, ["term", "entity"]).groupBy("row_key", "start", "end").agg(F.max("kind").alias("kind"))  # of both kinds, removal
-    added = added.groupBy("row_key").agg(F.collect_list(F.struct("kind", "start", "end")).alias("added"))
+    added = met.join(told, ["term", "entity"]).groupBy("row_key", "term").agg(F.max("kind").alias("kind"))  # of both kinds, removal
+    added = near.join(added, ["row_key", "term"]).select("row_key", F.explode("places").alias("s"), "kind")
+    added = added.groupBy("row_key").agg(F.collect_list(F.struct("kind", "s.start", "s.end")).alias("added"))
     base = F.transform("base", lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
-    out = scanned.join(added, "row_key", "left").withColumn("base", spans.by_kind(base, KINDS))
+    out = scanned.select("doc_id", "row_key", "base").join(added, "row_key", "left").withColumn("base", spans.by_kind(base, KINDS))
     return out.select("doc_id", "row_key", "base", spans.by_kind(F.concat("base", F.coalesce("added", F.array().cast(SPAN))), KINDS).alias("found"))
 
 

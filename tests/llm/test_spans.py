@@ -106,6 +106,17 @@ def test_terms_of_an_entity_in_one_document(make_docs):
     assert got[500] == "email:17:32,term:0:6,term:7:9" and not any(got[i] for i in range(399))
 
 
+def test_terms_far_from_their_entity(make_docs):
+    """All of a text is looked at, before and after the entity and at each place of a term."""
+    rows = [(i, f"common text about nothing number {i}", "a") for i in range(399)]
+    far = "common text about nothing " * 40
+    rows.append((500, f"quagga {far}bob@example.org {far}quagga", "a"))
+    got = {r["doc_id"]: r["spans"] for r in personal_data(make_docs(rows)).collect()}
+    at = 7 + len(far)
+    last = at + 16 + len(far)
+    assert got[500] == f"email:{at}:{at + 15},term:0:6,term:{last}:{last + 6}" and not any(got[i] for i in range(399))
+
+
 def test_generalised_between_the_thresholds(make_docs, disclosing):
     rows = [*disclosing, (50, "zanzibar elsewhere", "a")]
     got = {r["doc_id"]: r["spans"] for r in personal_data(make_docs(rows), generalise=0.8).collect()}
