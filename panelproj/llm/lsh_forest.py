@@ -5,22 +5,21 @@ has a signature of 96 one-byte MinHash values. The forest holds several sorted o
 classes: tree t sorts by the signature rotated to its t-th group of eight values, so a longer
 common prefix of two labels means more agreeing values.
 
-* Regions: classes of a tree that share the first ``depth`` values, sorted by label in one task.
-  The depth adapts: where a class would meet more than ``capacity`` others, a region is cut at
-  the next value, and so on down the whole rotated signature; thin regions keep the least depth.
-  Prefixes that very many classes share are cut before the shuffle, after a count, so no task
-  gets them whole.
+* Regions: classes of a tree that share the first four values of their labels.
 * Candidates are the longest-common-prefix neighbours: the classes of one region whose
   signatures agree in at least ``least_agreement`` of all values and whose set sizes allow the
   similarity. At the very limit of 0.8 this misses one pair in eighty, at 0.85 one in three thousand.
 * Links are confirmed on the full sets, in two passes. First each class with the hub of its
   region, or with its most agreeing neighbour where the hub is less certain; classes that this
-  connects share a label. Then all candidates with different labels, where only classes with
-  another label count for the depth, up to ``crowd`` a class. So a large group of near copies
-  becomes a few pairs for each member, not all its pairs. Components are those of all links.
+  connects share a label. This pass only looks for short cuts: where a class would meet more
+  than ``capacity`` others, a region is cut at the next value, and so on down the whole label.
+  Then all candidates with different labels, in regions that are not cut. So a large group of
+  near copies becomes a few pairs for each member, not all its pairs. A region of more than
+  ``region_rows`` is dealt to blocks that meet two by two, so no task gets it whole. Components
+  are those of all links.
 
 The one lossy part is the forest itself: a pair is a candidate if its labels share a region in
-some tree. The tests and the README give the recall against brute force.
+some tree, however many others do. The tests and the README give the recall against brute force.
 
 Confirmation compares sets of 64-bit shingle hashes; classes are told apart by 128 bits.
 
@@ -46,7 +45,7 @@ U64 = np.uint64
 TREES, STEP = 10, 8
 VALUES = TREES * STEP
 LEAST_DEPTH = 4
-DEPTHS = (4, 16, VALUES)  # depths at which prefixes are cut before the shuffle
+DEPTHS = (16, VALUES)  # depths at which very common prefixes are cut before the shuffle
 REGION_ROWS = 20_000
 SURE = 0.85  # agreement with a hub
 MEETING_SETS, MEETING_BYTES = 4096, 32_000_000
@@ -114,14 +113,22 @@ def signatures(docs: DataFrame) -> DataFrame:
     return signed.select("doc_id", "row_key", F.struct("k1", "k2").alias("k"), "n_shingles", "signature")
 
 
-def _forest(classes: DataFrame) -> DataFrame:
-    """region, label and the columns of classes, for every class and tree; rows of a region share at least the least depth."""
+def _rotated(classes: DataFrame) -> DataFrame:
+    """region (of the least depth), label and the columns of classes, for every class and tree."""
     rotated = [F.struct(F.lit(t).alias("tree"), F.concat(F.substring("signature", STEP * t + 1, VALUES), F.substring("signature", 1, STEP * t)).alias("label")) for t in range(TREES)]
     rows = classes.withColumn("at", F.explode(F.array(*rotated))).select("*", "at.tree", "at.label").drop("at", "signature")
-    prefix = lambda depth: F.xxhash64("tree", F.substring("label", 1, depth))
-    rows = rows.withColumn("region", prefix(DEPTHS[0]))
+    return rows.withColumn("region", _prefix(LEAST_DEPTH))
+
+
+def _prefix(depth: int) -> Column:
+    return F.xxhash64("tree", F.substring("label", 1, depth))
+
+
+def _forest(classes: DataFrame) -> DataFrame:
+    """The rows of _rotated by region, where very large regions are cut at deeper prefixes."""
+    rows = _rotated(classes)
     # a region cut at the last depth has equal signatures of very many sets: parts that differ from tree to tree
-    cuts = [lambda depth=depth: prefix(depth) for depth in DEPTHS[1:]]
+    cuts = [lambda depth=depth: _prefix(depth) for depth in DEPTHS]
     cuts.append(lambda: F.xxhash64("region", F.pmod(F.xxhash64("k", "tree"), F.ceil(F.col("size") / REGION_ROWS))))
     for cut in cuts:
         hot = written(rows.groupBy("region").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > REGION_ROWS))
@@ -132,6 +139,36 @@ def _forest(classes: DataFrame) -> DataFrame:
     return rows.repartition(spread, "region").sortWithinPartitions("region", "label", "k")
 
 
+def _whole_regions(classes: DataFrame, region_rows: int) -> DataFrame:
+    """The rows of _rotated by region, none cut; classes have a column root.
+
+    In a region of more than region_rows, the classes outside its largest component (asks) and
+    all its classes are dealt to blocks, and each block of the one meets each of the other.
+    """
+    rows = _rotated(classes)
+    hot = written(rows.groupBy("region").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > region_rows))
+    if hot.isEmpty():
+        rows = rows.withColumn("asks", F.lit(None).cast("boolean"))
+    else:
+        by_root = rows.join(hot, "region").groupBy("region", "size", "root").agg(F.count(F.lit(1)).alias("n"))
+        largest = by_root.groupBy("region", "size").agg(F.max(F.struct("n", "root")).alias("most"))
+        blocks = lambda n: F.ceil(n / region_rows).cast("int")
+        largest = written(largest.select("region", F.col("most.root").alias("main"), blocks(F.col("size")).alias("blocks"), blocks(F.col("size") - F.col("most.n")).alias("asking")))
+        rows = rows.join(largest, "region", "left")
+        dealt = lambda n: F.pmod(F.xxhash64("k"), F.greatest(n, F.lit(1))).cast("int")
+        cell = lambda block, asking, asks: F.struct(block.alias("block"), asking.alias("part"), F.lit(asks).cast("boolean").alias("asks"))
+        own, part = dealt(F.col("blocks")), dealt(F.col("asking"))
+        # sequences only where there are classes that ask; else the region is one component
+        offered = F.transform(F.sequence(F.lit(0), F.col("asking") - 1), lambda i: cell(own, i, False))
+        asked = F.when(F.col("root") != F.col("main"), F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda i: cell(i, part, True)))
+        none = F.array().cast("array<struct<block:int,part:int,asks:boolean>>")
+        cells = F.when(F.col("main").isNull(), F.array(cell(F.lit(0), F.lit(0), None))).when(F.col("asking") > 0, F.concat(offered, F.coalesce(asked, none))).otherwise(none)
+        rows = rows.withColumn("c", F.explode(cells)).withColumn("asks", F.col("c.asks"))
+        rows = rows.withColumn("region", F.when(F.col("main").isNull(), F.col("region")).otherwise(F.xxhash64("region", "c.block", "c.part"))).drop("c", "main", "blocks", "asking")
+    spread = int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(spread, "region").sortWithinPartitions("region")
+
+
 def _runs(labels: np.ndarray, fits: Callable[[int, int], bool], block: int):
     """Ranges of sorted labels that share a prefix, cut one value deeper until they fit; equal labels are cut to blocks."""
     common = (labels[1:] == labels[:-1]).cumprod(axis=1, dtype=np.uint8).sum(axis=1) if len(labels) > 1 else np.zeros(0, np.int64)
@@ -163,7 +200,7 @@ def _agreeing(labels: np.ndarray, sizes: np.ndarray, rows: np.ndarray, percent:
 
 
 def _by_region(batches, look):
-    """Apply look to the whole regions of sorted batches."""
+    """Apply look to the whole regions of batches sorted by region."""
     waiting: list[pa.RecordBatch] = []
     rows = 0
 
@@ -237,37 +274,29 @@ def _nearest(forest: DataFrame, percent: int, capacity: int, least_agreement: fl
     return forest.select("region", "label", "k", "n_shingles").mapInArrow(lambda batches: _by_region(batches, look), PAIR + ", agreement int, hub boolean")
 
 
-def _across(forest: DataFrame, percent: int, capacity: int, least_agreement: float) -> DataFrame:
-    """a, b and agreement of candidates in different components; forest has a column root."""
+def _across(regions: DataFrame, percent: int, least_agreement: float) -> DataFrame:
+    """a, b and agreement of all candidates in different components; regions as of _whole_regions."""
 
     def look(table: pa.Table):
         roots = np.stack([x.to_numpy() for x in table.column("root").combine_chunks().flatten()], axis=1)
-        root = np.unique(roots, axis=0, return_inverse=True)[1].reshape(-1)
-        if root.max() == 0:
+        root, counts = np.unique(roots, axis=0, return_inverse=True, return_counts=True)[1:]
+        root = root.reshape(-1)
+        if len(counts) == 1:
             return None
         labels, sizes = _labels(table), table.column("n_shingles").to_numpy()
-
-        def few_pairs(x: int, y: int) -> bool:
-            """Whether a row meets at most ``capacity`` rows of other components on average."""
-            counts = np.unique(root[x:y], return_counts=True)[1]
-            return (y - x) ** 2 - (counts**2).sum() <= 2 * capacity * (y - x)
-
+        asks = table.column("asks")
+        # all that are not in the region's largest component are compared with all of the region
+        minor = np.flatnonzero(root != counts.argmax() if asks.null_count else asks.to_numpy())
         a, b, agree = [], [], []
-        for lo, hi in _runs(labels, few_pairs, capacity):
-            names, counts = np.unique(root[lo:hi], return_counts=True)
-            if len(names) == 1:
-                continue
-            # all that are not in the run's largest component are compared with all of the run
-            minor = np.flatnonzero(root[lo:hi] != names[counts.argmax()])
-            for some, equal in _agreeing(labels[lo:hi], sizes[lo:hi], minor, percent, least_agreement):
-                equal[root[lo + some][:, None] == root[lo:hi][None, :]] = 0
-                i, j = np.nonzero(equal)
-                a.append(lo + some[i])
-                b.append(lo + j)
-                agree.append(equal[i, j])
+        for some, equal in _agreeing(labels, sizes, minor, percent, least_agreement):
+            equal[root[some][:, None] == root[None, :]] = 0
+            i, j = np.nonzero(equal)
+            a.append(some[i])
+            b.append(j)
+            agree.append(equal[i, j])
         return _pairs_table(table, a, b, agree)
 
-    return forest.select("region", "label", "k", "n_shingles", "root").mapInArrow(lambda batches: _by_region(batches, look), PAIR + ", agreement int")
+    return regions.select("region", "label", "k", "n_shingles", "root", "asks").mapInArrow(lambda batches: _by_region(batches, look), PAIR + ", agreement int")
 
 
 def _first_pairs(found: DataFrame) -> DataFrame:
@@ -367,7 +396,7 @@ def _confirmed(docs: DataFrame, pairs: DataFrame, classes: DataFrame, percent: i
     return written(met.mapInArrow(meet, PAIR).distinct())
 
 
-def near_duplicates(docs: DataFrame, percent: int = 80, capacity: int = 512, crowd: int = 10, least_agreement: float = 0.7) -> DataFrame:
+def near_duplicates(docs: DataFrame, percent: int = 80, capacity: int = 512, least_agreement: float = 0.7, region_rows: int = REGION_ROWS) -> DataFrame:
     """doc_id, n_shingles, component_id (the smallest doc_id that links reach) and kept of every document."""
     signed = written(signatures(docs))
     one = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_key")
@@ -377,10 +406,8 @@ def near_duplicates(docs: DataFrame, percent: int = 80, capacity: int = 512, cro
     nearest = written(_nearest(_forest(classes.select("k", "n_shingles", "signature")), percent, capacity, least_agreement))
     links = _confirmed(docs, _first_pairs(nearest), classes, percent)
     labels = _labels_of(links)
-    # agreement goes both ways, so the classes with a candidate are those in column a
-    with_candidates = nearest.select(F.col("a").alias("k")).distinct().join(classes, "k").select("k", "n_shingles", "signature")
-    rooted = written(with_candidates.join(labels.withColumnRenamed("node", "k"), "k", "left").select("k", "n_shingles", "signature", F.coalesce("label", "k").alias("root")))
-    more = _confirmed(docs, _distinct(_across(_forest(rooted), percent, crowd, least_agreement)), classes, percent)
+    rooted = written(classes.join(labels.withColumnRenamed("node", "k"), "k", "left").select("k", "n_shingles", "signature", F.coalesce("label", "k").alias("root")))
+    more = _confirmed(docs, _distinct(_across(_whole_regions(rooted, region_rows), percent, least_agreement)), classes, percent)
 
     roots = components(_contracted(links.unionByName(more), labels))
     labelled = classes.select("k", "doc_id").join(labels.withColumnRenamed("node", "k"), "k", "left").select("k", "doc_id", F.coalesce("label", "k").alias("label"))

@@ -116,6 +116,27 @@ def test_recall_of_links(make_docs, copied, capacity):
     assert found >= 0.98 * len(pairs)
 
 
+@pytest.mark.parametrize("region_rows", [20_000, 7])
+def test_no_candidate_is_dropped(spark, region_rows):
+    """All agreeing classes of different components meet, however many share a region and however it is dealt."""
+    rng = np.random.default_rng(5)
+    signatures = np.repeat(rng.integers(0, 256, (1, lsh_forest.VALUES), np.uint8), 120, axis=0)
+    for i, row in enumerate(signatures):
+        some = rng.permutation(lsh_forest.VALUES)[: 12 if i < 100 else 60]
+        row[some] = rng.integers(0, 256, len(some), np.uint8)
+    roots = [0 if i < 40 else i for i in range(120)]  # one component of 40, the others single
+    rows = [((i, i), 100, bytearray(x.tobytes()), (r, r)) for i, (x, r) in enumerate(zip(signatures, roots, strict=True))]
+    pair = "struct<k1:long,k2:long>"
+    classes = spark.createDataFrame(rows, f"k {pair}, n_shingles long, signature binary, root {pair}")
+    found = lsh_forest._across(lsh_forest._whole_regions(classes, region_rows), 80, 0.7).collect()
+    equal = signatures[:, None, :] == signatures[None, :, :]
+    meet = np.zeros((120, 120), bool)
+    for t in range(lsh_forest.TREES):
+        meet |= equal[:, :, [(lsh_forest.STEP * t + i) % lsh_forest.VALUES for i in range(lsh_forest.LEAST_DEPTH)]].all(axis=2)
+    want = {(i, j) for i, j in np.argwhere(meet & (equal.sum(axis=2) >= 56)).tolist() if i < j and roots[i] != roots[j]}
+    assert len(want) > 1000 and {tuple(sorted((r["a"]["k1"], r["b"]["k1"]))) for r in found} == want
+
+
 def test_runs_hold_every_label(spark):
     """Runs cover all rows that share the least depth with a neighbour, none is larger than the capacity."""
     rng = np.random.default_rng(3)
