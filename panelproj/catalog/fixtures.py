@@ -168,6 +168,17 @@ class Fixtures:
         centres = self.places.filter(F.col("est") > 0).select("pchc", "province", "city", "district", "est")
         return flag_membership(centres, self.panel_sales, ["pchc"], "flag_sample")
 
+    @cached_property
+    def written_panel(self) -> DataFrame:
+        """The panel as a stored table, for queries that read it several times."""
+        return materialize(self.panel, "fact-panel")
+
+    @cached_property
+    def written_universe(self) -> DataFrame:
+        """The universe as a stored table; its sampled centres are those of the panel, whose keys hold the centre."""
+        centres = self.places.filter(F.col("est") > 0).select("pchc", "province", "city", "district", "est")
+        return materialize(flag_membership(centres, self.written_panel, ["pchc"], "flag_sample"), "centre-universe")
+
     @cached_property
     def registry(self) -> DataFrame:
         """Centre sizes from balances and from open orders, with place suffixes."""

@@ -479,11 +479,11 @@ def nearest_tier_donor_query(fx: Fixtures) -> DataFrame:
     with_views(f"SELECT date, {PLACE}, market, packid, flag_sample, floor(sales * 100 + 0.5) / 100 AS sales, floor(units * 10000 + 0.5) / 10000 AS units FROM proj_sample", **_PROJECT_VIEWS),
 )
 def project_sample_query(fx: Fixtures) -> DataFrame:
-    return rounded(project_sample(fx.panel, fx.universe), sales=2, units=4)
+    return rounded(project_sample(fx.written_panel, fx.written_universe), sales=2, units=4)
 
 
 def _projected(fx: Fixtures) -> DataFrame:
-    return project_nation(project_sample(fx.panel, fx.universe), fx.universe, fx.tiers, exclude_provinces=NO_DONORS)
+    return project_nation(project_sample(fx.written_panel, fx.written_universe), fx.written_universe, fx.tiers, exclude_provinces=NO_DONORS)
 
 
 @query(
@@ -519,7 +519,7 @@ def project_nation_query(fx: Fixtures) -> DataFrame:
     ),
 )
 def price_fallback(fx: Fixtures) -> DataFrame:
-    priced = update_price(_projected(fx).withColumn("channel", F.lit("CHC")), fx.panel)
+    priced = update_price(_projected(fx).withColumn("channel", F.lit("CHC")), fx.written_panel)
     return rounded(priced, price=4, units=4, sales=2)
 
 
