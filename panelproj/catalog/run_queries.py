@@ -60,6 +60,7 @@ def first_by_file_position(fx: Fixtures) -> DataFrame:
         F.when(from_p, F.col("city")).otherwise(F.concat(F.lit("Z "), "city")).alias("city"),
         F.when(~from_p | (F.col("p_type") != "LARGE"), F.col("district")).alias("district"),
     )
+    both = materialize(both, "both-exports")  # each export's sort reads it twice
     paths = []
     for part in (F.col("p"), ~F.col("p")):
         paths.append(_scratch(fx, "export"))
