@@ -48,6 +48,24 @@ def test_query(spark, name):
     assert canonical([tuple(r) for r in df.collect()], df.columns) == canonical(cursor.fetchall(), names)
 
 
+def test_stored_panel_and_universe(spark, rows):
+    """Queries that read the panel several times read a stored one with the same rows."""
+    fx = Fixtures(spark, DATA)
+    assert rows(fx.written_panel) == rows(fx.panel) and rows(fx.written_universe) == rows(fx.universe)
+    for stored in (fx.written_panel, fx.written_universe):
+        assert not any(DATA in f for f in stored.inputFiles())
+
+
+def test_sales_are_joined_once(spark):
+    """What a query reads several times comes from a written table, not from the joins again."""
+    assert not any(DATA in f for f in registry.queries()["quantile_sketched"](spark, DATA).inputFiles())
+    folder = spark.conf.get("spark.checkpoint.dir")
+    stored = lambda: sum(f.startswith("both-exports-") for f in os.listdir(folder))
+    before = stored()
+    registry.queries()["first_by_file_position"](spark, DATA)
+    assert stored() == before + 1
+
+
 def test_delivery_run(spark):
     fx = Fixtures(spark, DATA)
     inputs = Inputs(
