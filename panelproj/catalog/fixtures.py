@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from panelproj.functions import month_to_quarter, quarter_shift
 from panelproj.operators.dims import product_master, tender_packs, tender_rounds
-from panelproj.operators.relational import flag_membership, sum_by
+from panelproj.operators.relational import flag_membership, spread, sum_by
 from panelproj.operators.standardize import FACT_KEYS
 from panelproj.sources import materialize
 
@@ -31,6 +31,7 @@ TABLES = {
     "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
     "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
 }
+PART_ROWS = 500_000  # order lines in one part of a large table
 QUARTERS = [f"{y}Q{q}" for y in range(1995, 2002) for q in range(1, 5)][:27]
 MONTHS = [f"{y}{m:02d}" for y in range(1995, 2002) for m in range(1, 13)][:80]
 ATC4 = {"ECONOMY": "C09A1", "STANDARD": "C07A0", "SMALL": "C08A0", "LARGE": "A10H0", "MEDIUM": "C05A0", "PROMO": "V03B1"}
@@ -55,6 +56,12 @@ class Fixtures:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.schema(TABLES[name]).parquet(f"{self.dir}/{name}.parquet")
 
+    @cached_property
+    def parts(self) -> int | None:
+        """Parts for joins and groupings of all order lines; none where the session's cores hold them in smaller ones."""
+        parts = -(-self.table("lineitem").count() // PART_ROWS)
+        return parts if parts > self.spark.sparkContext.defaultParallelism else None
+
     @cached_property
     def places(self) -> DataFrame:
         """Centres with their place."""
@@ -99,12 +106,10 @@ class Fixtures:
         lines = self.table("lineitem").select(
             "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus"
         )
-        return (
-            lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-            .join(self.places, F.col("o_custkey") == F.col("c_custkey"))
-            .join(self.packs, F.col("l_partkey") == F.col("p_partkey"))
-            .withColumns({"units": F.col("l_quantity"), "sales": F.floor("l_extendedprice").cast("double")})
-        )
+        rows = spread(lines, self.parts, "l_orderkey").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        rows = spread(rows, self.parts, "o_custkey").join(self.places, F.col("o_custkey") == F.col("c_custkey"))
+        rows = spread(rows, self.parts, "l_partkey").join(self.packs, F.col("l_partkey") == F.col("p_partkey"))
+        return rows.withColumns({"units": F.col("l_quantity"), "sales": F.floor("l_extendedprice").cast("double")})
 
     @cached_property
     def raw_panel(self) -> DataFrame:
@@ -161,7 +166,8 @@ class Fixtures:
     @cached_property
     def panel(self) -> DataFrame:
         """Canonical facts of the reporting centres, all periods."""
-        return sum_by(self.panel_sales, FACT_KEYS, ["units", "sales"]).withColumn("flag", F.lit(0))
+        rows = spread(self.panel_sales, self.parts, *FACT_KEYS)
+        return sum_by(rows, FACT_KEYS, ["units", "sales"]).withColumn("flag", F.lit(0))
 
     @cached_property
     def universe(self) -> DataFrame:

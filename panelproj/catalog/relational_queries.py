@@ -23,6 +23,7 @@ from panelproj.operators.relational import (
     na_join,
     replace_slice,
     sort_rows,
+    spread,
     sum_by,
     tag_rows,
     union_strict,
@@ -258,7 +259,8 @@ def membership_flag(fx: Fixtures) -> DataFrame:
 
 @query("agg_sum_rollup", with_views(f"SELECT {FACT_KEYS}, sum(units) AS units, sum(sales) AS sales FROM sales GROUP BY ALL"))
 def agg_sum_rollup(fx: Fixtures) -> DataFrame:
-    return sum_by(fx.sales, FACT_KEYS.split(", "), ["units", "sales"])
+    keys = FACT_KEYS.split(", ")
+    return sum_by(spread(fx.sales, fx.parts, *keys), keys, ["units", "sales"])
 
 
 @query(
@@ -304,7 +306,7 @@ def price_levels_query(fx: Fixtures) -> DataFrame:
 )
 def agg_first_ordered(fx: Fixtures) -> DataFrame:
     order = F.struct("date", "market", "packid")
-    return fx.sales.groupBy("pchc").agg(F.min_by("packid", order).alias("packid"), F.min_by("quarter", order).alias("quarter"))
+    return spread(fx.sales, fx.parts, "pchc").groupBy("pchc").agg(F.min_by("packid", order).alias("packid"), F.min_by("quarter", order).alias("quarter"))
 
 
 @query("golden_record", with_views("SELECT * FROM master_rows"))

@@ -33,6 +33,15 @@ def na_join(left: DataFrame, right: DataFrame, on: Keys, how: str = "inner") ->
     return joined.drop(*[f"__key_{i}" for i in range(len(pairs))])
 
 
+def spread(df: DataFrame, parts: int | None, *keys: str) -> DataFrame:
+    """Hash-partitioned by the keys into so many parts; unchanged where no number is given.
+
+    A number that grows with the rows bounds what one task sorts or groups, whatever the
+    session's number of shuffle partitions.
+    """
+    return df.repartition(parts, *keys) if parts else df
+
+
 def lookup_matched(left: DataFrame, right: DataFrame, on: Keys, found: str) -> DataFrame:
     """Look a column up and keep the rows for which it is known."""
     return na_join(left, right.filter(F.col(found).isNotNull()), on, "inner")
