@@ -356,7 +356,7 @@ _KNN_VIEWS = {
     with_views("SELECT province, city, district, pchc, rank, knn_pchc, floor(distance * 1000000 + 0.5) / 1000000 AS distance FROM neighbours", **_KNN_VIEWS),
 )
 def knn_neighbours_query(fx: Fixtures) -> DataFrame:
-    return rounded(knn_neighbours(fx.panel, target="ASIA"), distance=6)
+    return rounded(knn_neighbours(fx.panel, target="ASIA", parts=fx.parts), distance=6)
 
 
 @query(
@@ -364,7 +364,7 @@ def knn_neighbours_query(fx: Fixtures) -> DataFrame:
     with_views("SELECT province, city, district, pchc, rank, knn_pchc, floor(knn_weight * 100000000 + 0.5) / 100000000 AS knn_weight FROM weights", **_KNN_VIEWS),
 )
 def knn_weights_query(fx: Fixtures) -> DataFrame:
-    return rounded(knn_weights(knn_neighbours(fx.panel, target="ASIA")), knn_weight=8)
+    return rounded(knn_weights(knn_neighbours(fx.panel, target="ASIA", parts=fx.parts)), knn_weight=8)
 
 
 @query(
@@ -378,7 +378,7 @@ def knn_weights_query(fx: Fixtures) -> DataFrame:
     ),
 )
 def knn_impute_query(fx: Fixtures) -> DataFrame:
-    return rounded(knn_impute(fx.panel, target="ASIA", market="Diabetes"), units=4, sales=2)
+    return rounded(knn_impute(fx.panel, target="ASIA", market="Diabetes", parts=fx.parts), units=4, sales=2)
 
 
 # --- projection ----------------------------------------------------------------------------------

@@ -7,19 +7,20 @@ from pyspark.sql import functions as F
 
 from panelproj.functions import sum_known
 from panelproj.operators.nearest import knn_join
-from panelproj.operators.relational import na_join, sum_by
+from panelproj.operators.relational import na_join, spread, sum_by
 from panelproj.operators.reshape import pivot_wider
 from panelproj.operators.standardize import PLACE
 from panelproj.sources import materialize
 
 
-def centre_months(facts: DataFrame, months: Sequence[str] | None = None) -> DataFrame:
+def centre_months(facts: DataFrame, months: Sequence[str] | None = None, parts: int | None = None) -> DataFrame:
     """Centre x month sales, 0 where nothing was sold.
 
     Rows are de-duplicated without market and units first, so a pack listed in two
-    markets counts once.
+    markets counts once. `parts` is the number of partitions for large facts; they are dealt by
+    centre, so that a task holds wide rows of its own centres only.
     """
-    once = facts.select("date", *PLACE, "pchc", "packid", "sales").distinct()
+    once = spread(facts.select("date", *PLACE, "pchc", "packid", "sales"), parts, *PLACE, "pchc").distinct()
     monthly = sum_by(once, [*PLACE, "pchc", "date"], ["sales"])
     return pivot_wider(monthly, [*PLACE, "pchc"], "date", ["sales"], members=months, fill=0.0)
 
@@ -35,10 +36,10 @@ def scaled_features(matrix: DataFrame, is_target: Column, months: Sequence[str])
 
 
 def knn_neighbours(
-    facts: DataFrame, *, target: str, target_column: str = "province", k: int = 3, months: Sequence[str] | None = None
+    facts: DataFrame, *, target: str, target_column: str = "province", k: int = 3, months: Sequence[str] | None = None, parts: int | None = None
 ) -> DataFrame:
     """(place, pchc, rank, knn_pchc, distance) for every centre of the target region."""
-    matrix = materialize(centre_months(facts, months), "centre-months")
+    matrix = materialize(centre_months(facts, months, parts), "centre-months")
     months = [c for c in matrix.columns if c not in (*PLACE, "pchc")]
     is_target = F.coalesce(F.col(target_column) == target, F.lit(False))
     scaled = scaled_features(matrix, is_target, months)
@@ -87,11 +88,12 @@ def knn_impute(
     k: int = 3,
     normalize: str = "sequential",
     months: Sequence[str] | None = None,
+    parts: int | None = None,
 ) -> DataFrame:
     """Facts of the missing market for the target's centres, flag 1."""
     facts = materialize(facts, "panel")
     weights = knn_weights(
-        knn_neighbours(facts, target=target, target_column=target_column, k=k, months=months), k, normalize
+        knn_neighbours(facts, target=target, target_column=target_column, k=k, months=months, parts=parts), k, normalize
     ).drop("rank")
     outside = ~F.coalesce(F.col(target_column) == target, F.lit(False))
     offered = facts.filter(outside & (F.col("market") == market))

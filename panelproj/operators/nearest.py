@@ -6,19 +6,19 @@ order by its own task and takes the neighbouring bins' edge donors from a table
 one row per bin.
 
 Vector case: exact k nearest neighbours with pivot cells. A triangle-inequality bound
-per target decides which cells can hold a neighbour; cells are split into blocks of
-bounded size, and only the k best candidates per block leave a task.
+per target decides which cells can hold a neighbour; cells are packed and split into blocks
+of bounded size, and only the k best candidates per block leave a task.
 """
 
 import math
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelproj.operators.relational import na_join
+from panelproj.operators.relational import na_join, spread
 from panelproj.sources import materialize
 
 
@@ -93,6 +93,7 @@ def nearest_in_block(targets: DataFrame, donors: DataFrame, by: str, value: str,
 
 
 MATRIX = 4_000_000  # numbers in one array of differences (32 MB)
+MOST_TASKS = 4096  # of one join
 
 
 def _gaps(vectors: np.ndarray, others: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
@@ -103,6 +104,35 @@ def _gaps(vectors: np.ndarray, others: np.ndarray) -> Iterator[tuple[int, np.nda
         yield lo, np.sqrt(((part[:, None, :] - others[None, :, :]) ** 2).sum(axis=2))
 
 
+def _within_kth(vectors: np.ndarray, others: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """Pairs that can be among a vector's k nearest, with their exact distance, in chunks: (first row, rows, columns, distances).
+
+    Products of the vectors tell which pairs these are, with a slack far above their rounding.
+    """
+    last, sizes = min(k, len(others)) - 1, (others**2).sum(axis=1)
+    step, few = max(1, MATRIX // len(others)), max(1, MATRIX // max(1, others.shape[1]))
+    for lo in range(0, len(vectors), step):
+        part = vectors[lo : lo + step]
+        lengths = (part**2).sum(axis=1)
+        rough = lengths[:, None] + sizes - 2 * (part @ others.T)
+        bound = np.partition(rough, last, axis=1)[:, last] + 1e-9 * (lengths + sizes.max())
+        row, column = np.nonzero(~(rough > bound[:, None]))
+        gaps = [np.sqrt(((part[row[i : i + few]] - others[column[i : i + few]]) ** 2).sum(axis=1)) for i in range(0, len(row), few)]
+        yield lo, row, column, np.concatenate(gaps)
+
+
+def _bins(pivots: np.ndarray, counts: np.ndarray, block: int) -> Callable[[Column], Column]:
+    """The bin of a cell: cells in the order of their distance from the first pivot, about a block of donors together.
+
+    A target is sent once to a bin, however many of its cells it asks for.
+    """
+    order = np.argsort(np.sqrt(((pivots - pivots[0]) ** 2).sum(axis=1)), kind="stable")
+    bins = np.empty(len(pivots), dtype=int)
+    bins[order] = (np.cumsum(counts[order]) - counts[order]) // block
+    numbers = F.array(*[F.lit(int(b)) for b in bins])
+    return lambda cell: F.get(numbers, cell)
+
+
 def _assign(pivots: np.ndarray):
     """Batch function: nearest pivot of each vector."""
 
@@ -147,22 +177,19 @@ def _block_best(k: int):
         donors = donors.sort_values("donor", kind="stable")
         names, asked = donors["donor"].to_numpy(), targets["target"].to_numpy()
         space, parts = np.stack(donors["vec"].to_numpy()), []
-        for lo, gaps in _gaps(np.stack(targets["vec"].to_numpy()), space):
-            limit = np.partition(gaps, min(k, gaps.shape[1]) - 1, axis=1)[:, min(k, gaps.shape[1]) - 1]
-            row, column = np.nonzero(gaps <= limit[:, None])
+        for lo, row, column, gaps in _within_kth(np.stack(targets["vec"].to_numpy()), space, k):
             # Donors are in name order, so their position breaks ties by name.
-            order = np.lexsort((column, gaps[row, column], row))
-            row, column = row[order], column[order]
-            place = np.arange(len(row)) - np.searchsorted(row, row)
-            row, column = row[place < k], column[place < k]
-            parts.append(pd.DataFrame({"target": asked[lo + row], "donor": names[column], "distance": gaps[row, column]}))
+            order = np.lexsort((column, gaps, row))
+            row, column, gaps = row[order], column[order], gaps[order]
+            best = np.arange(len(row)) - np.searchsorted(row, row) < k
+            parts.append(pd.DataFrame({"target": asked[lo + row[best]], "donor": names[column[best]], "distance": gaps[best]}))
         return pd.concat(parts, ignore_index=True)
 
     return run
 
 
 def knn_join(
-    targets: DataFrame, donors: DataFrame, features: Sequence[str], key: str, k: int = 3, *, cells: int | None = None, block: int = 2048
+    targets: DataFrame, donors: DataFrame, features: Sequence[str], key: str, k: int = 3, *, cells: int | None = None, block: int = 16384
 ) -> DataFrame:
     """(target, rank, donor, distance): exact k nearest donors by Euclidean distance.
 
@@ -188,18 +215,20 @@ def knn_join(
     counts = np.array([stats.get(i, (0, 0.0))[0] for i in range(len(pivots))])
     radii = np.array([stats.get(i, (0, 0.0))[1] for i in range(len(pivots))])
 
+    bin_of = _bins(pivots, counts, block)
+    stored = stored.select("donor", "vec", bin_of(F.col("cell")).alias("bin"))
     wanted = "target string, vec array<double>, cells array<int>"
     asking = targets.mapInPandas(_candidate_cells(pivots, counts, radii, k), wanted)
-    asking = materialize(asking.select("target", "vec", F.explode("cells").alias("cell")), "knn-targets")
-    askers = {r.cell: r.n for r in asking.groupBy("cell").agg(F.count("*").alias("n")).collect()}
+    asking = materialize(asking.select("target", "vec", F.explode(F.array_distinct(F.transform("cells", bin_of))).alias("bin")), "knn-targets")
+    size = lambda df: {r.bin: r.n for r in df.groupBy("bin").agg(F.count("*").alias("n")).collect()}
+    askers, offers = size(asking), size(stored)
 
     def splits(sizes: dict) -> Column:
-        pairs = [F.lit(v) for cell, n in sizes.items() for v in (cell, -(-int(n) // block))]
-        return F.coalesce(F.create_map(*pairs)[F.col("cell")], F.lit(1)) if pairs else F.lit(1)
+        pairs = [F.lit(v) for number, n in sizes.items() for v in (number, -(-int(n) // block))]
+        return F.coalesce(F.create_map(*pairs)[F.col("bin")], F.lit(1)) if pairs else F.lit(1)
 
-    donor_splits = splits({c: n for c, (n, _) in stats.items()})
-    target_splits = splits(askers)
-    keys = ["cell", "donor_block", "target_block"]
+    donor_splits, target_splits = splits(offers), splits(askers)
+    keys = ["bin", "donor_block", "target_block"]
     left = asking.withColumns(
         {
             "target_block": F.pmod(F.xxhash64("target"), target_splits).cast("int"),
@@ -211,7 +240,10 @@ def knn_join(
             "donor_block": F.pmod(F.xxhash64("donor"), donor_splits).cast("int"),
             "target_block": F.explode(F.sequence(F.lit(0), target_splits - 1)),
         }
-    ).drop("gap")
+    )
+    # Few bytes stand for much work here, so the number of tasks follows the blocks that meet.
+    parts = min(sum(-(-n // block) * -(-offers.get(b, 0) // block) for b, n in askers.items()), MOST_TASKS)
+    left, right = spread(left, parts, *keys), spread(right, parts, *keys)
     best = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(_block_best(k), result)
     ranked = Window.partitionBy("target").orderBy("distance", "donor")
     return (
