@@ -263,7 +263,7 @@ def combine_panels_query(fx: Fixtures) -> DataFrame:
         "district", F.when(F.col("p_type") != "LARGE", F.col("district"))
     )
     second = fx.sales.filter(F.col("o_orderstatus") != "P").withColumn("city", F.concat(F.lit("Z "), "city"))
-    return combine_panels(first.select(*FACT_COLUMNS), second.select(*FACT_COLUMNS))
+    return combine_panels(first.select(*FACT_COLUMNS), second.select(*FACT_COLUMNS), parts=fx.parts)
 
 
 @query(

@@ -18,7 +18,7 @@ from panelproj.functions import (
     substring_between,
     sum_known,
 )
-from panelproj.operators.relational import fill_from_group, first_of_equal, lookup_matched, na_join, sum_by, tag_rows
+from panelproj.operators.relational import first_of_equal, lookup_matched, na_join, spread, sum_by, tag_rows
 from panelproj.sources import materialize
 
 # Administrative suffixes, the label for a municipality's own
@@ -146,27 +146,28 @@ def market_definition(listing: DataFrame, exclude_atc3: Sequence[str] = ("A10C",
     return listing.filter(not_in("atc3", exclude_atc3)).select("atc3", "molecule", "market").distinct()
 
 
-def combine_panels(*facts: DataFrame) -> DataFrame:
+def combine_panels(*facts: DataFrame, parts: int | None = None) -> DataFrame:
     """Stack the sources, give every centre its first known place, sum to the fact key.
 
     The row order behind "first" is: source position, then the row's position in its files
     if all facts carry it (`_pos`), else the fact's business key. A transaction present in
     two sources counts twice. The sources are summed per source first and written once to
-    the shared folder.
+    the shared folder. The join hashes the places, one row a centre, so the facts are not
+    sorted; `parts` is the number of partitions to group large facts in.
     """
-    tagged = tag_rows(facts)
+    tagged = spread(tag_rows(facts), parts, *FACT_KEYS)
     if all("_pos" in f.columns for f in facts):
         sums = [sum_known(m).alias(m) for m in ("units", "sales")]
         stacked = materialize(tagged.groupBy("_src", *FACT_KEYS).agg(*sums, F.min("_pos").alias("_pos")), "stacked-panels")
         # few rows a centre before the first one is chosen
         places = stacked.groupBy("pchc", *PLACE, "_src").agg(F.min("_pos").alias("_pos"))
         first = places.groupBy("pchc").agg(*[first_known(c, ["_src", "_pos"]).alias(c) for c in PLACE])
-        unified = na_join(stacked.drop(*PLACE), first, ["pchc"], "inner")
     else:
         stacked = materialize(sum_by(tagged, ["_src", *FACT_KEYS], ["units", "sales"]), "stacked-panels")
         order = ["_src", "date", "market", "packid", *PLACE]
-        unified = fill_from_group(stacked, ["pchc"], {c: first_known(c, order) for c in PLACE})
-    return sum_by(unified, FACT_KEYS, ["units", "sales"]).withColumn("flag", F.lit(0))
+        first = spread(stacked, parts, "pchc").groupBy("pchc").agg(*[first_known(c, order).alias(c) for c in PLACE])
+    unified = na_join(stacked.drop(*PLACE), first.hint("shuffle_hash"), ["pchc"], "inner")
+    return sum_by(spread(unified, parts, *FACT_KEYS), FACT_KEYS, ["units", "sales"]).withColumn("flag", F.lit(0))
 
 
 def channel_extract(
