@@ -18,7 +18,7 @@ from panelproj.operators.delivery import MEASURES
 from panelproj.operators.dims import attribute_source, product_master
 from panelproj.operators.periods import moving_annual_series
 from panelproj.operators.position import by_position, with_position
-from panelproj.operators.relational import union_strict, weighted_quantile
+from panelproj.operators.relational import spread, union_strict, weighted_quantile
 from panelproj.operators.rules import apply_rules, classification_rules
 from panelproj.operators.sketch import merged_quantile, period_sketches, rank_error
 from panelproj.operators.standardize import market_definition
@@ -172,7 +172,8 @@ def master_by_position(fx: Fixtures) -> DataFrame:
 )
 def lookup_audit(fx: Fixtures) -> DataFrame:
     """What two lookups do to the facts: some centres stand for two, some are unknown, some classes are in two markets or none."""
-    facts = fx.sales.groupBy("province", "city", "district", "hospital", "atc3", "molecule", "packid", "date").agg(F.sum("sales").alias("sales"))
+    keys = ["province", "city", "district", "hospital", "atc3", "molecule", "packid", "date"]
+    facts = spread(fx.sales, fx.parts, *keys).groupBy(*keys).agg(F.sum("sales").alias("sales"))
     centres = fx.places.select("province", "city", "district", "hospital", "pchc", "c_acctbal").filter(F.col("c_acctbal") > 0)
     second = centres.filter(F.col("c_acctbal") > 9000).withColumn("pchc", F.concat(F.lit("second "), "pchc"))
     audit = LookupAudit()
@@ -195,7 +196,7 @@ def cross_source_duplicates_query(fx: Fixtures) -> DataFrame:
     """Transactions that several files hold; the third file overlaps the others, and a missing code is a code."""
     sales = fx.sales.withColumn("packid", F.when(F.col("l_tax") != 0, F.col("packid")))
     files = [F.col("o_orderstatus") == "F", F.col("o_orderstatus") == "O", (F.col("l_returnflag") == "N") & (F.col("l_linenumber") <= 2)]
-    return cross_source_duplicates([sales.filter(f) for f in files], ["date", "city", "packid", "units"])
+    return cross_source_duplicates([sales.filter(f) for f in files], ["date", "city", "packid", "units"], fx.parts)
 
 
 _VERSION_KEYS = ["channel", "city", "date", "market", "packid"]

@@ -6,7 +6,7 @@ from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from panelproj.operators.relational import Keys, na_join, tag_rows
+from panelproj.operators.relational import Keys, na_join, spread, tag_rows
 
 AUDIT = "lookup string, rows_in bigint, rows_out bigint, unmatched bigint, multiplied bigint"
 
@@ -22,11 +22,11 @@ class LookupAudit:
         self._seen: list[tuple[str, Observation, Observation]] = []
 
     def lookup(self, left: DataFrame, right: DataFrame, on: Keys, name: str, *, keep_unmatched: bool = True) -> DataFrame:
-        """Join that keeps the lookup's multiplicity; `right` holds the keys and the columns to look up."""
+        """Join that keeps the lookup's multiplicity, without sorting the rows; `right` holds the keys and the columns to look up."""
         before, after = Observation(f"{name}: rows in"), Observation(f"{name}: rows out")
         rights = [k if isinstance(k, str) else k[1] for k in on]
         counts = right.groupBy(*rights).agg(F.count(F.lit(1)).alias("__n"))
-        joined = na_join(left.observe(before, F.count(F.lit(1)).alias("rows_in")), na_join(right, counts, rights), on, "left")
+        joined = na_join(left.observe(before, F.count(F.lit(1)).alias("rows_in")), na_join(right, counts, rights).hint("shuffle_hash"), on, "left")
         many = F.col("__n") > 1
         joined = joined.observe(
             after,
@@ -55,15 +55,16 @@ def _counts(seen: Observation) -> dict:
         return {}
 
 
-def cross_source_duplicates(sources: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
+def cross_source_duplicates(sources: Sequence[DataFrame], keys: Sequence[str], parts: int | None = None) -> DataFrame:
     """Keys that occur in several sources, with their count in each (`n_0`, `n_1`, ...) and `surplus`.
 
     A bag intersection in one shuffle: `surplus` counts the rows beyond those of the source
-    that has the key most often, that is what would go if the sources were merged by maximum.
+    that has the key most often, that is what would go if the sources were merged by maximum. `parts` is the number of
+    partitions of that shuffle where the sources are large.
     """
     names = [f"n_{i}" for i in range(len(sources))]
     tagged = tag_rows([s.select(*keys) for s in sources])
-    counts = tagged.groupBy(*keys).agg(*[F.count_if(F.col("_src") == i).alias(n) for i, n in enumerate(names)])
+    counts = spread(tagged, parts, *keys).groupBy(*keys).agg(*[F.count_if(F.col("_src") == i).alias(n) for i, n in enumerate(names)])
     total: Column = sum((F.col(n) for n in names[1:]), F.col(names[0]))
     most = F.greatest(*names) if len(names) > 1 else F.col(names[0])
     return counts.withColumn("surplus", total - most).filter(F.col("surplus") > 0)
