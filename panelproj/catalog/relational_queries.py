@@ -48,7 +48,7 @@ def ingest_csv_roundtrip(fx: Fixtures) -> DataFrame:
     """Write the raw panel as GB18030 text and read it back with its schema."""
     path = _scratch(fx, "raw-csv")
     fx.spark.conf.set("spark.sql.legacy.javaCharsets", "true")
-    fx.raw_panel.write.csv(path, header=True, encoding="GB18030")
+    fx.raw_panel.write.csv(path, header=True, encoding="GB18030", compression="gzip")
     return read_raw_csv(fx.spark, path, T.StructType(fx.raw_panel.schema.fields))
 
 

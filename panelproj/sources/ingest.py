@@ -138,10 +138,11 @@ def ingest(
     )
     blocks = blocks.select("_src", "file", "block", "first", before("_src").alias("in_src"), before("_src", "file").alias("in_file"))
     inside = F.col("at") - F.col("first")
-    placed = staged.join(blocks, ["_src", "file", "block"]).withColumns({"_row": F.col("in_src") + inside, "line": F.col("in_file") + inside + 1})
+    # Blocks and files are few and are sent to the lines, which need not move.
+    placed = staged.join(F.broadcast(blocks), ["_src", "file", "block"]).withColumns({"_row": F.col("in_src") + inside, "line": F.col("in_file") + inside + 1})
     if header:
         wrong = placed.filter((F.col("line") == lead) & ~F.col("is_heading")).select("_src", "file").distinct().withColumn("wrong", F.lit(True))
-        placed = placed.join(wrong, ["_src", "file"], "left").withColumn("wrong", F.col("wrong").isNotNull())
+        placed = placed.join(F.broadcast(wrong), ["_src", "file"], "left").withColumn("wrong", F.col("wrong").isNotNull())
     else:
         placed = placed.withColumn("wrong", F.lit(False))
     body = placed.filter((F.col("line") > lead) & ~F.col("blank"))
