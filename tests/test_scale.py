@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from panelproj.catalog import fixtures
+from panelproj.operators import relational
 from panelproj.operators.audit import LookupAudit, cross_source_duplicates
 from panelproj.operators.impute import centre_months
 from panelproj.operators.nearest import _bins, _within_kth
@@ -95,3 +96,17 @@ def test_cells_are_packed_into_bins(spark):
     pivots, counts = np.arange(64, dtype=float)[:, None], np.full(64, 10)
     bins = [r["b"] for r in spark.range(64).select(_bins(pivots, counts, 100)(F.col("id").cast("int")).alias("b")).collect()]
     assert sorted(set(bins)) == list(range(7)) and max(bins.count(b) for b in set(bins)) == 10
+
+
+def test_repeated_join_multiplies_after_dealing(spark, rows, monkeypatch):
+    monkeypatch.setattr(relational, "REPEATS", 4)
+    left = spark.createDataFrame([(i, ["a", "b", None, "d"][i % 4], i % 3 or None) for i in range(40)], "id int, k string, x int")
+    right = spark.createDataFrame([("a", 1, "M")] * 11 + [("a", 1, None)] * 3 + [(None, 2, "N")] * 5 + [("b", None, "M"), ("z", 1, "M")], "r string, x int, m string")
+    on = [("k", "r"), "x"]
+    plain, dealt = relational.na_join(left, right, on), relational.na_join_repeated(left, right, on, 7)
+    assert dealt.columns == plain.columns and rows(dealt) == rows(plain) and plain.count() > 50
+    assert dealt.rdd.getNumPartitions() == 7
+    # one hot key: every part gets rows to multiply
+    hot = relational.na_join_repeated(spark.range(70).select(F.lit("a").alias("k"), F.lit(1).alias("x")), right, on, 7)
+    assert len({r[0] for r in hot.select(F.spark_partition_id()).distinct().collect()}) == 7
+    assert relational.na_join_repeated(left.limit(0), right, on, 3).count() == 0
