@@ -19,8 +19,9 @@ lines that are left with all earlier lines, removed ones too. So exactly the lin
 earlier match go, whatever the order of the tokens.
 
 Order is by doc_id (null last) and the line's number, ties by hashes of the document and the line. Lines without a word stay.
-Native functions only. Texts are moved once, for the result; until then lines are hashes, and
-only lines with a candidate are read again.
+Native functions only. Lines are hashes; only texts that hold a line of a candidate pair move to
+compare it, and only texts that lose a line move for the result. The others stay where they are
+read: what tells them is a bitmap of ids.
 
 Defined cases: null text stays null and has no lines; equal rows are one place for the order, so
 both keep the same lines; extra columns are kept by ``without_repeated_lines``; an empty table
@@ -30,7 +31,7 @@ gives an empty result.
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelproj.llm.shared import free_name, written
+from panelproj.llm.shared import free_name, with_membership, written
 
 SHINGLE = 5
 COUNT_BITS = 16
@@ -82,73 +83,94 @@ def _least_overlap(n: Column, m: Column, similarity: float) -> Column:
     return F.ceil((n + m) * (similarity / (1 + similarity)) - 1e-9)
 
 
-def line_verdicts(docs: DataFrame, keyed: DataFrame, similarity: float = 0.8, key: str = "key_of_doc") -> tuple[DataFrame, DataFrame]:
-    """Two tables: the first place of each distinct line (line_hash, place, line_no), and the hashes of lines that nearly repeat an earlier one.
-
-    keyed: the documents with their row key, as they are joined with the result.
-    """
+def line_verdicts(docs: DataFrame, similarity: float = 0.8) -> tuple[DataFrame, DataFrame]:
+    """Two tables: the first place of each distinct line (line_hash, place, line_no), and the hashes of lines that nearly repeat an earlier one."""
     # The filter looks at the line and not at its tokens, which would then be made twice.
     lines = lines_of(docs).where(F.col("line").rlike(r"[^\x20\x09-\x0D]"))
     magnitude = frequencies(lines)
     hashed = lines.select("place", "line_no", F.xxhash64("line").alias("line_hash"), by_rarity(shingles(F.col("line")), magnitude).alias("tokens"))
     n = F.size("tokens")
     prefix = F.slice("tokens", 1, n - F.ceil(n * similarity - 1e-9).cast("int") + 1)
-    # the line's place and parities go with its first token only
+    # the line's place, size and parities go with its first token only
     hashed = hashed.withColumn("parities", parities(F.col("tokens")))
-    rows = hashed.select("line_hash", n.alias("n"), F.struct("place", "line_no", "parities").alias("at"), F.posexplode(prefix).alias("pos", "token"))
-    rows = rows.select("token", "line_hash", "n", "pos", F.when(F.col("pos") == 0, F.col("at")).alias("at"))
+    rows = hashed.select("line_hash", F.struct("place", "line_no", "parities", n.alias("n")).alias("at"), F.posexplode(prefix).alias("pos", "token"))
+    # one long: 56 bits of the token, and its position in the last byte (a position above 255 counts as 255, by which the positional filter lets more through)
+    packed = F.col("token").bitwiseAND(~255).bitwiseOR(F.least("pos", F.lit(255)).cast("long"))
+    rows = rows.select(packed.alias("packed"), "line_hash", F.when(F.col("pos") == 0, F.col("at")).alias("at"))
     n_parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    met = rows.repartition(n_parts, "token").groupBy("token", "line_hash").agg(F.min("n").alias("n"), F.min("pos").alias("pos"), F.min("at").alias("at"))
-    met = met.withColumn("lines", F.count(F.lit(1)).over(Window.partitionBy("token")))
-    met = written(met.where("lines > 1 or pos = 0"))
-
-    first = met.where("pos = 0").select("line_hash", F.col("at.place").alias("place"), F.col("at.line_no").alias("line_no"), F.col("at.parities").alias("parities"))
-    tokens = met.where("lines > 1").select("token", "line_hash", "n", "pos").join(first, "line_hash")
-    return first, _near(keyed, written(tokens), similarity, key)
-
-
-def _near(keyed: DataFrame, tokens: DataFrame, similarity: float, key: str) -> DataFrame:
-    """line_hash of the lines to remove; tokens: token, line_hash, n, pos, place and line_no of tokens that several lines share."""
-    wanted = tokens.select("line_hash", F.col("place.row_key").alias("row_key"), "line_no").distinct()
-    wanted = wanted.groupBy("row_key").agg(F.collect_list(F.struct("line_hash", "line_no")).alias("some"))
-    # All columns are asked for (by a condition that always holds), so this join and the final one read the same exchange of texts.
-    same = F.xxhash64(*[F.col(f"k.`{c}`") for c in keyed.columns if c != "text"], F.size("w.some")) >= F.lit(-(2**63))
-    found = keyed.alias("k").join(wanted.alias("w"), (F.col(f"k.{key}") == F.col("w.row_key")) & same)
-    sets = found.select(F.split(F.col("k.text").cast("string"), "\n", -1).alias("all"), F.explode("w.some").alias("one"))
-    sets = sets.select("one.line_hash", F.array_distinct(shingles(F.get("all", F.col("one.line_no")))).alias("set"))
-    tokens = tokens.select("token", "line_hash", "n", "pos", "parities", F.coalesce("place.doc_id", F.lit(2**63 - 1)).alias("id"), "line_no")
+    token = F.shiftright("packed", 8)
+    met = rows.repartition(n_parts, token).groupBy(token.alias("token"), "line_hash").agg(F.min("packed").alias("packed"), F.min("at").alias("at"))
+    met = met.withColumn("lines", F.count(F.lit(1)).over(Window.partitionBy("token"))).where("lines > 1 or at IS NOT NULL")
+    met = written(met.select(F.when(F.col("lines") > 1, F.col("packed")).alias("packed"), "line_hash", "at"))
+
+    first = met.where("at IS NOT NULL").select("line_hash", "at.*")
+    tokens = met.where("packed IS NOT NULL").select(token.alias("token"), F.col("packed").bitwiseAND(255).cast("int").alias("pos"), "line_hash").join(first, "line_hash")
+    return first.select("line_hash", "place", "line_no"), _near(docs, written(tokens), similarity)
+
+
+def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """line_hash and set of shingles of lines; wanted: line_hash, id, row_key and line_no. Only texts that hold one of them move."""
+    by_row = written(wanted.groupBy("row_key").agg(F.first("id").alias("doc_id"), F.collect_list(F.struct("line_hash", "line_no")).alias("some")))
+    texts = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    texts = with_membership(texts, by_row, "asked").where("asked OR doc_id IS NULL").select(row_key().alias("row_key"), "text")
+    found = texts.join(by_row.select("row_key", "some"), "row_key")
+    sets = found.select(F.split("text", "\n", -1).alias("all"), F.explode("some").alias("one"))
+    return sets.select("one.line_hash", F.array_distinct(shingles(F.get("all", F.col("one.line_no")))).alias("set"))
+
+
+def _near(docs: DataFrame, tokens: DataFrame, similarity: float) -> DataFrame:
+    """line_hash of the lines to remove; tokens: token, pos, line_hash, place, line_no, parities and n of tokens that several lines share."""
+    tokens = tokens.select("token", "line_hash", "n", "pos", "parities", F.coalesce("place.doc_id", F.lit(2**63 - 1)).alias("id"), F.col("place.row_key").alias("row_key"), "line_no")
+    about = {"line_hash": "{0}", "n": "n_{0}", "pos": "pos_{0}", "parities": "parities_{0}", "id": "id_{0}", "row_key": "row_key_{0}", "line_no": "no_{0}"}
 
     def matched(pairs: DataFrame) -> DataFrame:
         """The later lines x of verified pairs (x, y)."""
+        pairs = written(pairs)
+        ends = [pairs.select(F.col(of).alias("line_hash"), F.col(f"id_{of}").alias("id"), F.col(f"row_key_{of}").alias("row_key"), F.col(f"no_{of}").alias("line_no")) for of in "xy"]
+        sets = _sets(docs, ends[0].unionByName(ends[1]).distinct())
         left = sets.select(F.col("line_hash").alias("x"), F.col("set").alias("x_set"))
         right = sets.select(F.col("line_hash").alias("y"), F.col("set").alias("y_set"))
-        both = pairs.join(left, "x").join(right, "y")
+        both = pairs.select("x", "y").join(left, "x").join(right, "y")
         overlap = F.size(F.array_intersect("x_set", "y_set"))
-        return both.where(overlap >= (F.size("x_set") + F.size("y_set") - overlap) * similarity - 1e-9).select("x").distinct()
+        return written(both.where(overlap >= (F.size("x_set") + F.size("y_set") - overlap) * similarity - 1e-9).select("x").distinct())
+
+    named = lambda of, by="": [F.col(f"{by}{c}").alias(to.format(of)) for c, to in about.items()]
 
-    def candidates(later: DataFrame, earlier: DataFrame) -> DataFrame:
-        named = lambda df, of: df.select("token", F.col("line_hash").alias(of), F.col("n").alias(f"n_{of}"), F.col("pos").alias(f"pos_{of}"), F.col("parities").alias(f"parities_{of}"), F.col("id").alias(f"id_{of}"), F.col("line_no").alias(f"no_{of}"))
-        x, y = named(later, "x"), named(earlier, "y")
+    def candidates(met: DataFrame) -> DataFrame:
+        """The pairs that pass the filters, of pairs that share a token."""
         before = F.struct("id_y", "no_y", "y") < F.struct("id_x", "no_x", "x")
         lengths = (F.col("n_x") >= F.col("n_y") * similarity) & (F.col("n_y") >= F.col("n_x") * similarity)
         reach = F.least("pos_x", "pos_y") + 1 + F.least(F.col("n_x") - F.col("pos_x"), F.col("n_y") - F.col("pos_y")) - 1
         least = _least_overlap(F.col("n_x"), F.col("n_y"), similarity)
         differing = F.bit_count(F.col("parities_x").bitwiseXOR(F.col("parities_y"))) <= F.col("n_x") + F.col("n_y") - 2 * least
-        return x.join(y, "token").where(before & lengths & (reach >= least) & differing).select("x", "y").distinct()
+        return met.where(before & lengths & (reach >= least) & differing).select("x", "id_x", "row_key_x", "no_x", "y", "id_y", "row_key_y", "no_y").distinct()
 
-    head = tokens.groupBy("token").agg(F.min(F.struct("id", "line_no", "line_hash", "n", "pos", "parities")).alias("h")).select("token", "h.*")
-    gone = matched(candidates(tokens, head))
+    head = F.min(F.struct("id", "line_no", "line_hash", "n", "pos", "parities", "row_key")).over(Window.partitionBy("token"))
+    gone = matched(candidates(tokens.withColumn("h", head).select(*named("x"), *named("y", "h."))))
     left = tokens.join(gone.select(F.col("x").alias("line_hash")), "line_hash", "left_anti")
-    return gone.unionByName(matched(candidates(left, tokens))).select(F.col("x").alias("line_hash"))
+    more = matched(candidates(left.select("token", *named("x")).join(tokens.select("token", *named("y")), "token")))
+    return gone.unionByName(more).select(F.col("x").alias("line_hash"))
 
 
-def removed_lines(docs: DataFrame, keyed: DataFrame, similarity: float = 0.8, key: str = "key_of_doc") -> DataFrame:
-    """key_of_gone (a row key) and gone_lines (line numbers) of the documents that lose lines."""
-    first, near = line_verdicts(docs, keyed, similarity, key)
+def removed_lines(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
+    """key_of_gone (a row key), its doc_id and gone_lines (line numbers) of the documents that lose lines."""
+    first, near = line_verdicts(docs, similarity)
     verdict = first.select("line_hash", F.struct("place", "line_no").alias("first_at")).join(near.withColumn("near", F.lit(True)), "line_hash", "left")
     lines = lines_of(docs).select(F.struct("place", "line_no").alias("at"), F.xxhash64("line").alias("line_hash"))
     gone = lines.join(verdict, "line_hash").where("near or at <> first_at")
-    return gone.groupBy(F.col("at.place.row_key").alias("key_of_gone")).agg(F.collect_set("at.line_no").alias("gone_lines"))
+    return written(gone.groupBy(F.col("at.place.row_key").alias("key_of_gone")).agg(F.min("at.place.doc_id").alias("doc_id"), F.collect_set("at.line_no").alias("gone_lines")))
+
+
+def _with_gone(docs: DataFrame, gone: DataFrame, numbers: str) -> DataFrame:
+    """The documents with the numbers of the lines that they lose (null: none). Only documents that lose lines, and those without an id, move."""
+    own, other, loses = (free_name(stem, docs) for stem in ("own_key", "other_key", "loses_lines"))
+    told = with_membership(docs, gone, loses)
+    moved = told.where(F.col(loses) | F.col("doc_id").isNull()).withColumn(own, row_key())
+    # what is lost grows with the documents, so it is never sent to all tasks
+    lost = gone.select(F.col("key_of_gone").alias(other), F.col("gone_lines").alias(numbers)).hint("merge")
+    moved = moved.join(lost, F.col(own) == F.col(other), "left")
+    kept = told.where(~F.col(loses) & F.col("doc_id").isNotNull()).withColumn(numbers, F.lit(None).cast("array<int>"))
+    return moved.select(*docs.columns, numbers).unionAll(kept.select(*docs.columns, numbers))
 
 
 def _kept(text: Column, gone: Column) -> Column:
@@ -160,17 +182,15 @@ def _kept(text: Column, gone: Column) -> Column:
 
 def without_repeated_lines(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
     """The documents with all their columns and the repeated lines taken out of the text. A document may lose all its lines; it stays, with an empty text."""
-    own, other, numbers = (free_name(stem, docs) for stem in ("own_key", "other_key", "line_numbers"))
-    keyed = docs.withColumn(own, row_key())
-    gone = removed_lines(docs, keyed, similarity, own).select(F.col("key_of_gone").alias(other), F.col("gone_lines").alias(numbers))
-    joined = keyed.join(gone, F.col(own) == F.col(other), "left")
+    numbers = free_name("line_numbers", docs)
+    joined = _with_gone(docs, removed_lines(docs, similarity), numbers)
     return joined.withColumn("text", _kept(F.col("text").cast("string"), F.col(numbers))).select(*docs.columns)
 
 
 def line_dedup(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
     """doc_id, n_lines, n_removed and kept_sha256 (of the remaining text) of every document."""
-    keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_key().alias("key_of_doc"), F.col("text").cast("string").alias("text"))
-    joined = keyed.join(removed_lines(docs, keyed, similarity), F.col("key_of_doc") == F.col("key_of_gone"), "left")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    joined = _with_gone(texts, removed_lines(texts, similarity), "gone_lines")
     text = F.coalesce("text", F.lit(""))
     return joined.select(
         "doc_id",

@@ -8,9 +8,11 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from panelproj.llm import line_dedup as line_dedup_module
 from panelproj.llm import mixing
 from panelproj.llm.decontaminate import clean_documents, contamination
 from panelproj.llm.line_dedup import frequencies, line_dedup, shingles, without_repeated_lines
+from panelproj.llm.shared import with_membership
 
 DATA = "/root/testdata/sf0.001"
 
@@ -100,6 +102,25 @@ def test_odd_lines(make_docs, odd_rows):
     assert line_dedup(empty).count() == 0 and without_repeated_lines(empty).count() == 0
 
 
+def test_only_texts_with_candidates_or_lost_lines_move(make_docs, words, monkeypatch):
+    """Pairs name the texts that are compared, verdicts those that are rebuilt; all others stay."""
+    asked = []
+
+    def spy(rows, ids, flag):
+        told = with_membership(rows, ids, flag)
+        asked.append(sorted(r["doc_id"] for r in told.where(flag).collect()))
+        return told
+
+    monkeypatch.setattr(line_dedup_module, "with_membership", spy)
+    near, equal, long = words(60, 970), " ".join(words(30, 971)), words(1700, 972)
+    rows = [(i, " ".join(words(25, 5000 + i)), "a") for i in range(30)]
+    rows += [(100, " ".join(near), "a"), (101, " ".join(near[:-1] + ["changed"]), "a"), (102, equal, "a"), (103, "first\n" + equal, "a")]
+    rows += [(104, " ".join(long), "a"), (105, " ".join(words(150, 973) + long[150:]), "a")]  # shared tokens beyond position 255
+    got = {r["doc_id"]: r["text"] for r in without_repeated_lines(make_docs(rows)).collect()}
+    assert asked == [[100, 101, 104, 105], [], [101, 103, 105]]
+    assert got == {i: {101: "", 103: "first", 105: ""}.get(i, t) for i, t, _ in rows}
+
+
 ITEM = "If Anna has 12 apples and Bob gives Anna 5 more apples how many apples does she have after 3 days?"
 
 
