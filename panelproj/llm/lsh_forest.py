@@ -1,7 +1,7 @@
 """Near duplicates by MinHash, with candidates from an LSH forest.
 
 A document is the set of its two-word shingles. Documents with equal sets are one class; a class
-has a signature of 96 one-byte MinHash values. The forest holds several sorted orders of the
+has a signature of 80 one-byte MinHash values. The forest holds several sorted orders of the
 classes: tree t sorts by the signature rotated to its t-th group of eight values, so a longer
 common prefix of two labels means more agreeing values.
 
@@ -13,8 +13,10 @@ common prefix of two labels means more agreeing values.
   region, or with its most agreeing neighbour where the hub is less certain; classes that this
   connects share a label. This pass only looks for short cuts: where a class would meet more
   than ``capacity`` others, a region is cut at the next value, and so on down the whole label.
-  Then all candidates with different labels, in regions that are not cut. So a large group of
-  near copies becomes a few pairs for each member, not all its pairs. A region of more than
+  Then, in regions that are not cut, rounds of one pair a class with another component, and last
+  all candidates whose components still differ. So a large group of near copies becomes a few
+  pairs for each member, not all its pairs. 1,024 parities of each set rule out pairs that differ
+  in too many hashes to be links, never a link. A region of more than
   ``region_rows`` is dealt to blocks that meet two by two, so no task gets it whole. Components
   are those of all links.
 
@@ -44,6 +46,8 @@ from panelproj.llm.shared import with_membership, written
 U64 = np.uint64
 TREES, STEP = 10, 8
 VALUES = TREES * STEP
+PARITIES = 1024  # bits after a signature's values
+ROUNDS = 3  # of joining components by one pair a class, before all pairs that are left
 LEAST_DEPTH = 4
 DEPTHS = (16, VALUES)  # depths at which very common prefixes are cut before the shuffle
 REGION_ROWS = 20_000
@@ -83,19 +87,30 @@ def _signature(hashes: np.ndarray, firsts: np.ndarray) -> np.ndarray:
     return out
 
 
+def _parities(hashes: np.ndarray, rows: np.ndarray, n: int, block: int = 2048) -> np.ndarray:
+    """Per row: whether the set holds an odd number of hashes of each class. Two sets differ in as many hashes as bits at least."""
+    out = np.zeros((n, PARITIES // 8), np.uint8)
+    for lo in range(0, n, block):
+        hi = min(lo + block, n)
+        a, b = np.searchsorted(rows, (lo, hi))
+        place = (rows[a:b] - lo) * PARITIES + (hashes[a:b] % U64(PARITIES)).astype(np.int64)
+        out[lo:hi] = np.packbits(np.bincount(place, minlength=(hi - lo) * PARITIES) & 1).reshape(hi - lo, -1)
+    return out
+
+
 def _row_key() -> Column:
     return F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string"))
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """doc_id, row_key, k (a struct of 128 bits that names the set), n_shingles and signature of every document."""
+    """doc_id, row_key, k (a struct of 128 bits that names the set), n_shingles and signature (values, then parities) of every document."""
 
     def sign(batches):
         for batch in batches:
             column = batch.column(2)
             n = batch.num_rows
             sizes, names = np.zeros(n, np.int64), np.zeros((2, n), U64)
-            bytes_ = np.zeros((n, VALUES), np.uint8)
+            bytes_ = np.zeros((n, VALUES + PARITIES // 8), np.uint8)
             for lo, count, hashes, rows in _sets(column):
                 sizes[lo : lo + count] = np.bincount(rows, minlength=count)
                 some = np.flatnonzero(sizes[lo : lo + count])
@@ -104,8 +119,9 @@ def signatures(docs: DataFrame) -> DataFrame:
                 firsts = np.searchsorted(rows, some)
                 names[0, lo + some] = np.add.reduceat(textbytes.mix(hashes + ONE_WORD), firsts)
                 names[1, lo + some] = np.add.reduceat(textbytes.mix(hashes ^ FLIPS[0]), firsts)
-                bytes_[lo + some] = _signature(hashes, firsts)
-            packed = pa.FixedSizeBinaryArray.from_buffers(pa.binary(VALUES), n, [None, pa.py_buffer(bytes_.tobytes())]).cast(pa.binary())
+                bytes_[lo + some, :VALUES] = _signature(hashes, firsts)
+                bytes_[lo : lo + count, VALUES:] = _parities(hashes, rows, count)
+            packed = pa.FixedSizeBinaryArray.from_buffers(pa.binary(bytes_.shape[1]), n, [None, pa.py_buffer(bytes_.tobytes())]).cast(pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *[pa.array(x.view(np.int64)) for x in names], pa.array(sizes), packed], ["doc_id", "row_key", "k1", "k2", "n_shingles", "signature"])
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _row_key().alias("row_key"), F.col("text").cast("string").alias("text"))
@@ -114,8 +130,9 @@ def signatures(docs: DataFrame) -> DataFrame:
 
 
 def _rotated(classes: DataFrame) -> DataFrame:
-    """region (of the least depth), label and the columns of classes, for every class and tree."""
-    rotated = [F.struct(F.lit(t).alias("tree"), F.concat(F.substring("signature", STEP * t + 1, VALUES), F.substring("signature", 1, STEP * t)).alias("label")) for t in range(TREES)]
+    """region (of the least depth), tree, label, parities and the columns of classes, for every class and tree."""
+    classes = classes.withColumn("parities", F.substring("signature", VALUES + 1, PARITIES // 8))
+    rotated = [F.struct(F.lit(t).alias("tree"), F.concat(F.substring("signature", STEP * t + 1, VALUES - STEP * t), F.substring("signature", 1, STEP * t)).alias("label")) for t in range(TREES)]
     rows = classes.withColumn("at", F.explode(F.array(*rotated))).select("*", "at.tree", "at.label").drop("at", "signature")
     return rows.withColumn("region", _prefix(LEAST_DEPTH))
 
@@ -274,8 +291,12 @@ def _nearest(forest: DataFrame, percent: int, capacity: int, least_agreement: fl
     return forest.select("region", "label", "k", "n_shingles").mapInArrow(lambda batches: _by_region(batches, look), PAIR + ", agreement int, hub boolean")
 
 
-def _across(regions: DataFrame, percent: int, least_agreement: float) -> DataFrame:
-    """a, b and agreement of all candidates in different components; regions as of _whole_regions."""
+def _across(regions: DataFrame, percent: int, least_agreement: float, best: bool = False) -> DataFrame:
+    """a, b and agreement of all candidates in different components, each in the first tree where it meets; regions as of _whole_regions.
+
+    best: of each class that asks only the most agreeing one in a region. Pairs whose parities
+    differ too much to be links are left out: sets differ in one hash for each differing bit at least.
+    """
 
     def look(table: pa.Table):
         roots = np.stack([x.to_numpy() for x in table.column("root").combine_chunks().flatten()], axis=1)
@@ -283,20 +304,48 @@ def _across(regions: DataFrame, percent: int, least_agreement: float) -> DataFra
         root = root.reshape(-1)
         if len(counts) == 1:
             return None
-        labels, sizes = _labels(table), table.column("n_shingles").to_numpy()
-        asks = table.column("asks")
+        labels, sizes, asks, tree = _labels(table), table.column("n_shingles").to_numpy(), table.column("asks"), table.column("tree")[0].as_py()
+        sets = np.frombuffer(b"".join(table.column("parities").to_pylist()), np.uint64).reshape(len(sizes), -1)
+        before = [g for g in range(TREES) if (tree + g) % TREES < tree]
         # all that are not in the region's largest component are compared with all of the region
-        minor = np.flatnonzero(root != counts.argmax() if asks.null_count else asks.to_numpy())
+        minor = root != counts.argmax() if asks.null_count else asks.to_numpy()
         a, b, agree = [], [], []
-        for some, equal in _agreeing(labels, sizes, minor, percent, least_agreement):
+        for some, equal in _agreeing(labels, sizes, np.flatnonzero(minor), percent, least_agreement):
             equal[root[some][:, None] == root[None, :]] = 0
             i, j = np.nonzero(equal)
-            a.append(some[i])
-            b.append(j)
-            agree.append(equal[i, j])
+            x, most = some[i], equal[i, j]
+            keep = (100 + percent) * np.bitwise_count(sets[x] ^ sets[j]).sum(axis=1, dtype=np.int64) <= (100 - percent) * (sizes[x] + sizes[j])
+            if best:
+                order = np.flatnonzero(keep)[np.lexsort((-most[keep], i[keep]))]
+                keep = order[np.flatnonzero(np.diff(i[order], prepend=-1))]
+            else:
+                met = (labels[x] == labels[j]).reshape(-1, TREES, STEP)[:, before, :LEAST_DEPTH].all(axis=2).any(axis=1)
+                keep &= ~met & (~minor[j] | (x < j) if asks.null_count else True)
+            a.append(x[keep])
+            b.append(j[keep])
+            agree.append(most[keep])
         return _pairs_table(table, a, b, agree)
 
-    return regions.select("region", "label", "k", "n_shingles", "root", "asks").mapInArrow(lambda batches: _by_region(batches, look), PAIR + ", agreement int")
+    columns = ["region", "label", "k", "n_shingles", "root", "asks", "tree", "parities"]
+    return regions.select(*columns).mapInArrow(lambda batches: _by_region(batches, look), PAIR + ", agreement int")
+
+
+def _joined(docs: DataFrame, classes: DataFrame, labels: DataFrame, links: DataFrame, percent: int, least_agreement: float, region_rows: int) -> DataFrame:
+    """More links: all that connect components of the given ones, found by one pair a class first, so that a large group of near copies is one component before the pairs between components are confirmed."""
+    labelled = classes.join(labels.withColumnRenamed("node", "k"), "k", "left").select("k", "n_shingles", "signature", F.coalesce("label", "k").alias("label"))
+    rooted = written(labelled.withColumnRenamed("label", "root"))
+    more = links.limit(0)
+    for _ in range(ROUNDS):
+        best = _across(_whole_regions(rooted, region_rows), percent, least_agreement, best=True)
+        pairs = _distinct(best.groupBy("a").agg(F.max(F.struct("agreement", "b")).alias("most")).select("a", "most.b"))
+        found = _confirmed(docs, pairs, classes, percent)
+        if found.isEmpty():
+            break
+        more = more.unionByName(found)
+        roots = components(_contracted(links.unionByName(more), labels)).withColumnRenamed("node", "label")
+        rooted = written(labelled.join(roots, "label", "left").select("k", "n_shingles", "signature", F.coalesce("root", "label").alias("root")))
+    rest = _distinct(_across(_whole_regions(rooted, region_rows), percent, least_agreement))
+    return more.unionByName(_confirmed(docs, rest, classes, percent))
 
 
 def _first_pairs(found: DataFrame) -> DataFrame:
@@ -406,8 +455,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80, capacity: int = 512, lea
     nearest = written(_nearest(_forest(classes.select("k", "n_shingles", "signature")), percent, capacity, least_agreement))
     links = _confirmed(docs, _first_pairs(nearest), classes, percent)
     labels = _labels_of(links)
-    rooted = written(classes.join(labels.withColumnRenamed("node", "k"), "k", "left").select("k", "n_shingles", "signature", F.coalesce("label", "k").alias("root")))
-    more = _confirmed(docs, _distinct(_across(_whole_regions(rooted, region_rows), percent, least_agreement)), classes, percent)
+    more = _joined(docs, classes, labels, links, percent, least_agreement, region_rows)
 
     roots = components(_contracted(links.unionByName(more), labels))
     labelled = classes.select("k", "doc_id").join(labels.withColumnRenamed("node", "k"), "k", "left").select("k", "doc_id", F.coalesce("label", "k").alias("label"))

@@ -6,6 +6,7 @@ import brute
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from panelproj.llm import lsh_forest, ranked_search, spelling
 
@@ -163,6 +164,25 @@ def test_regions_stay_whole_over_batches():
     assert seen == [(i, i % 5) for i in range(300) if i % 5 > 1]
 
 
+def test_candidates_meet_once_and_no_link_is_ruled_out(spark):
+    """Of agreeing classes with equal components none, of others each pair once, and all that are links: parities only rule out others."""
+    rng = np.random.default_rng(9)
+    base = rng.integers(0, 2**64, 120, np.uint64)
+    sets = [np.unique(np.concatenate((base[rng.permutation(120)[: 120 - n]], rng.integers(0, 2**64, n, np.uint64)))) for n in [6, 9, 14, 20, 26] * 20]
+    pair = "struct<k1:long,k2:long>"
+    flat, rows = np.concatenate(sets), np.repeat(np.arange(100), [len(x) for x in sets])
+    signed = np.hstack((lsh_forest._signature(flat, np.searchsorted(rows, np.arange(100))), lsh_forest._parities(flat, rows, 100, block=7)))
+    classes = spark.createDataFrame([((i, i), len(x), bytearray(y.tobytes()), (i // 2, 0)) for i, (x, y) in enumerate(zip(sets, signed, strict=True))], f"k {pair}, n_shingles long, signature binary, root {pair}")
+    found = [(r["a"]["k1"], r["b"]["k1"]) for r in lsh_forest._across(lsh_forest._whole_regions(classes, 20_000), 80, 0.7).collect()]
+    plain = [(r["a"]["k1"], r["b"]["k1"]) for r in lsh_forest._across(lsh_forest._whole_regions(classes.withColumn("signature", F.substring("signature", 1, lsh_forest.VALUES)), 20_000), 80, 0.7).collect()]
+    once = {tuple(sorted(p)) for p in found}
+    assert len(once) == len(found) and all(a // 2 != b // 2 for a, b in found)
+    links = {(a, b) for a, b in (tuple(sorted(p)) for p in plain) if 10 * len(np.intersect1d(sets[a], sets[b])) >= 8 * len(np.union1d(sets[a], sets[b]))}
+    assert links and links <= once and len(found) < len(plain)
+    best = lsh_forest._across(lsh_forest._whole_regions(classes, 20_000), 80, 0.7, best=True)
+    assert {r["a"]["k1"] for r in best.collect()} >= {x for p in links for x in p if x > 1}
+
+
 def test_no_documents_to_link(make_docs):
     assert lsh_forest.near_duplicates(make_docs([(1, "x", "a")]).where("false")).count() == 0
     got = lsh_forest.near_duplicates(make_docs([(3, None, "a"), (2, "", "a"), (1, " ", "a"), (None, "one", "a")])).collect()
