@@ -48,6 +48,7 @@ TREES, STEP = 10, 8
 VALUES = TREES * STEP
 PARITIES = 1024  # bits after a signature's values
 ROUNDS = 3  # of joining components by one pair a class, before all pairs that are left
+MORE = 0.01  # links found, as a share of the classes, from which another round is worth its pass over the regions
 LEAST_DEPTH = 4
 DEPTHS = (16, VALUES)  # depths at which very common prefixes are cut before the shuffle
 REGION_ROWS = 20_000
@@ -339,11 +340,14 @@ def _joined(docs: DataFrame, classes: DataFrame, labels: DataFrame, links: DataF
         best = _across(_whole_regions(rooted, region_rows), percent, least_agreement, best=True)
         pairs = _distinct(best.groupBy("a").agg(F.max(F.struct("agreement", "b")).alias("most")).select("a", "most.b"))
         found = _confirmed(docs, pairs, classes, percent)
-        if found.isEmpty():
+        joining = found.count()
+        if not joining:
             break
         more = more.unionByName(found)
         roots = components(_contracted(links.unionByName(more), labels)).withColumnRenamed("node", "label")
         rooted = written(labelled.join(roots, "label", "left").select("k", "n_shingles", "signature", F.coalesce("root", "label").alias("root")))
+        if joining < MORE * rooted.count():
+            break
     rest = _distinct(_across(_whole_regions(rooted, region_rows), percent, least_agreement))
     return more.unionByName(_confirmed(docs, rest, classes, percent))
 
