@@ -9,7 +9,7 @@ match from a Jaccard similarity of ``similarity`` on. The join:
 * length filter (t n <= m) and positional filter (from the shared positions on, enough tokens
   must be left to reach the overlap that t asks for);
 * parity filter: sets that may match differ in few tokens, hence in few of 64 parities of
-  token classes;
+  token classes; in the second pass, where 64 say little of a larger set, in few of 512 more;
 * verification of the Jaccard similarity on the lines' full sets.
 
 Equal lines are one line of the join, standing where it occurs first; later occurrences go. For
@@ -28,6 +28,8 @@ both keep the same lines; extra columns are kept by ``without_repeated_lines``;
 gives an empty result.
 """
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -35,6 +37,7 @@ from panelproj.llm.shared import free_name, with_membership, written
 
 SHINGLE = 5
 COUNT_BITS = 16
+LARGE, MORE_PARITIES = 48, 8  # tokens of a set from which the second pass has so many more words of 64 parities
 
 
 def row_key() -> Column:
@@ -79,6 +82,15 @@ def parities(tokens: Column) -> Column:
     return F.aggregate(tokens, F.lit(0).cast("long"), lambda a, t: a.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), t.bitwiseAND(63).cast("int"))))
 
 
+def more_parities(tokens: Column) -> Column:
+    """A struct of so many words of parities, each of the tokens of one class."""
+
+    def word(of: Column, k: int) -> Column:
+        return parities(F.filter(of, lambda t: F.shiftright(t, 6).bitwiseAND(MORE_PARITIES - 1) == k))
+
+    return F.get(F.transform(F.array(tokens), lambda of: F.struct(*[word(of, k).alias(f"w{k}") for k in range(MORE_PARITIES)])), F.lit(0))
+
+
 def _least_overlap(n: Column, m: Column, similarity: float) -> Column:
     return F.ceil((n + m) * (similarity / (1 + similarity)) - 1e-9)
 
@@ -123,33 +135,49 @@ def _near(docs: DataFrame, tokens: DataFrame, similarity: float) -> DataFrame:
     tokens = tokens.select("token", "line_hash", "n", "pos", "parities", F.coalesce("place.doc_id", F.lit(2**63 - 1)).alias("id"), F.col("place.row_key").alias("row_key"), "line_no")
     about = {"line_hash": "{0}", "n": "n_{0}", "pos": "pos_{0}", "parities": "parities_{0}", "id": "id_{0}", "row_key": "row_key_{0}", "line_no": "no_{0}"}
 
-    def matched(pairs: DataFrame) -> DataFrame:
-        """The later lines x of verified pairs (x, y)."""
-        pairs = written(pairs)
-        ends = [pairs.select(F.col(of).alias("line_hash"), F.col(f"id_{of}").alias("id"), F.col(f"row_key_{of}").alias("row_key"), F.col(f"no_{of}").alias("line_no")) for of in "xy"]
-        sets = _sets(docs, ends[0].unionByName(ends[1]).distinct())
-        left = sets.select(F.col("line_hash").alias("x"), F.col("set").alias("x_set"))
-        right = sets.select(F.col("line_hash").alias("y"), F.col("set").alias("y_set"))
-        both = pairs.select("x", "y").join(left, "x").join(right, "y")
+    def matched(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+        """The later lines x of verified pairs (x, y). Each set moves once, to the pairs that it is in."""
+        ends = pairs.select("x", "y", F.explode(F.array("x", "y")).alias("line_hash"))
+        set_of = lambda end: F.first(F.when(F.col("line_hash") == F.col(end), F.col("set")), ignorenulls=True).alias(f"{end}_set")
+        both = sets.join(ends.hint("merge"), "line_hash").groupBy("x", "y").agg(set_of("x"), set_of("y"))
         overlap = F.size(F.array_intersect("x_set", "y_set"))
         return written(both.where(overlap >= (F.size("x_set") + F.size("y_set") - overlap) * similarity - 1e-9).select("x").distinct())
 
+    differing = lambda field: F.bit_count(F.col(field.format("x")).bitwiseXOR(F.col(field.format("y"))))
     named = lambda of, by="": [F.col(f"{by}{c}").alias(to.format(of)) for c, to in about.items()]
 
-    def candidates(met: DataFrame) -> DataFrame:
-        """The pairs that pass the filters, of pairs that share a token."""
+    def candidates(met: DataFrame, also: Callable[[Column], Column] | None = None) -> DataFrame:
+        """The pairs that pass the filters, of pairs that share a token; also: a further filter, given how many tokens a pair may differ in."""
         before = F.struct("id_y", "no_y", "y") < F.struct("id_x", "no_x", "x")
         lengths = (F.col("n_x") >= F.col("n_y") * similarity) & (F.col("n_y") >= F.col("n_x") * similarity)
         reach = F.least("pos_x", "pos_y") + 1 + F.least(F.col("n_x") - F.col("pos_x"), F.col("n_y") - F.col("pos_y")) - 1
         least = _least_overlap(F.col("n_x"), F.col("n_y"), similarity)
-        differing = F.bit_count(F.col("parities_x").bitwiseXOR(F.col("parities_y"))) <= F.col("n_x") + F.col("n_y") - 2 * least
-        return met.where(before & lengths & (reach >= least) & differing).select("x", "id_x", "row_key_x", "no_x", "y", "id_y", "row_key_y", "no_y").distinct()
-
-    head = F.min(F.struct("id", "line_no", "line_hash", "n", "pos", "parities", "row_key")).over(Window.partitionBy("token"))
-    gone = matched(candidates(tokens.withColumn("h", head).select(*named("x"), *named("y", "h."))))
-    left = tokens.join(gone.select(F.col("x").alias("line_hash")), "line_hash", "left_anti")
-    more = matched(candidates(left.select("token", *named("x")).join(tokens.select("token", *named("y")), "token")))
-    return gone.unionByName(more).select(F.col("x").alias("line_hash"))
+        most = F.col("n_x") + F.col("n_y") - 2 * least
+        alike = differing("parities_{}") <= most
+        both = before & lengths & (reach >= least) & alike
+        pairs = met.where(both if also is None else both & also(most))
+        return written(pairs.select("x", "id_x", "row_key_x", "no_x", "y", "id_y", "row_key_y", "no_y").distinct())
+
+    def more_alike(most: Column) -> Column:
+        """Null, which a set that is not large has, says nothing."""
+        return F.coalesce(sum((differing(f"more_{{}}.w{k}") for k in range(MORE_PARITIES)), F.lit(0)) <= most, F.lit(True))
+
+    place, group = F.struct("id", "line_no", "line_hash"), Window.partitionBy("token")
+    head = F.min(F.struct("id", "line_no", "line_hash", "n", "pos", "parities", "row_key")).over(group)
+    pairs = candidates(tokens.withColumn("h", head).select(*named("x"), *named("y", "h.")))
+    ends = [pairs.select(F.col(of).alias("line_hash"), F.col(f"id_{of}").alias("id"), F.col(f"row_key_{of}").alias("row_key"), F.col(f"no_{of}").alias("line_no")) for of in "xy"]
+    gone = matched(pairs, _sets(docs, ends[0].unionByName(ends[1]).distinct()))
+
+    # lines that are left ask the others of a token, unless they are its earliest; sets are made once, for the parities and to verify
+    told = tokens.join(gone.select(F.col("x").alias("line_hash"), F.lit(True).alias("is_gone")), "line_hash", "left")
+    told = told.withColumn("asks", F.col("is_gone").isNull() & (place > F.min(place).over(group)))
+    meeting = written(told.withColumn("asked", F.max("asks").over(group)).where("asked").drop("asked", "is_gone"))
+    sets = written(_sets(docs, meeting.select("line_hash", "id", "row_key", "line_no").distinct()))
+    # equal rows of a document give a line's set more than once
+    more = sets.where(F.size("set") >= LARGE).select("line_hash", more_parities(F.col("set")).alias("more")).groupBy("line_hash").agg(F.first("more").alias("more"))
+    meeting = written(meeting.join(more.hint("merge"), "line_hash", "left"))
+    met = meeting.where("asks").select("token", *named("x"), F.col("more").alias("more_x")).join(meeting.select("token", *named("y"), F.col("more").alias("more_y")), "token")
+    return gone.unionByName(matched(candidates(met, more_alike), sets)).select(F.col("x").alias("line_hash"))
 
 
 def removed_lines(docs: DataFrame, similarity: float = 0.8) -> DataFrame:

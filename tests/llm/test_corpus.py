@@ -11,8 +11,8 @@ import corpus_pipeline
 from panelproj.llm import line_dedup as line_dedup_module
 from panelproj.llm import mixing
 from panelproj.llm.decontaminate import clean_documents, contamination
-from panelproj.llm.line_dedup import frequencies, line_dedup, shingles, without_repeated_lines
-from panelproj.llm.shared import with_membership
+from panelproj.llm.line_dedup import frequencies, line_dedup, more_parities, shingles, without_repeated_lines
+from panelproj.llm.shared import with_membership, written
 
 DATA = "/root/testdata/sf0.001"
 
@@ -121,6 +121,36 @@ def test_only_texts_with_candidates_or_lost_lines_move(make_docs, words, monkeyp
     assert got == {i: {101: "", 103: "first", 105: ""}.get(i, t) for i, t, _ in rows}
 
 
+def test_large_lines_that_share_a_passage_make_no_pairs(make_docs, words, monkeypatch):
+    """A passage of 60 words in lines of 160 does not make them all candidates of each other; a line that does match, but not its group's first, is found."""
+    pairs = []
+
+    def spy(df):
+        out = written(df)
+        if {"x", "y"} <= set(out.columns):
+            pairs.append(out.count())
+        return out
+
+    monkeypatch.setattr(line_dedup_module, "written", spy)
+    passage = words(60, 980)
+    lines = [words(50, 6000 + i) + passage + words(50, 7000 + i) for i in range(40)]
+    lines.append(lines[20][:-4] + words(4, 981))
+    rows = [(i, " ".join(line), "a") for i, line in enumerate(lines)]
+    got = {r["doc_id"]: r["n_removed"] for r in line_dedup(make_docs(rows)).collect()}
+    assert got == {i: int(i == 40) for i in range(41)}
+    assert sum(pairs) <= 45, pairs
+
+
+def test_parities_differ_in_no_more_bits_than_sets_in_tokens(spark, words):
+    line = words(150, 982)
+    sets = [line, line[:-6] + words(6, 983), line[75:] + line[:75], words(150, 984)]
+    df = spark.createDataFrame([(" ".join(s),) for s in sets], "line string").select(shingles(F.col("line")).alias("t"))
+    found = [(set(r["t"]), r["more"]) for r in df.select("t", more_parities(F.col("t")).alias("more")).collect()]
+    bits = [sum(((x ^ y) & (2**64 - 1)).bit_count() for x, y in zip(found[0][1], more, strict=True)) for _, more in found]
+    assert all(b <= len(found[0][0] ^ t) for b, (t, _) in zip(bits, found, strict=True))
+    assert bits[0] == 0 and bits[1] > 0 and bits[3] > 100
+
+
 ITEM = "If Anna has 12 apples and Bob gives Anna 5 more apples how many apples does she have after 3 days?"
 
 
