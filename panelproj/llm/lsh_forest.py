@@ -48,7 +48,7 @@ TREES, STEP = 10, 8
 VALUES = TREES * STEP
 PARITIES = 1024  # bits after a signature's values
 ROUNDS = 3  # of joining components by one pair a class, before all pairs that are left
-MORE = 0.01  # links found, as a share of the classes, from which another round is worth its pass over the regions
+MORE = 0.1  # links found, as a share of the classes, from which another round is worth its pass over the regions
 LEAST_DEPTH = 4
 DEPTHS = (16, VALUES)  # depths at which very common prefixes are cut before the shuffle
 REGION_ROWS = 20_000
