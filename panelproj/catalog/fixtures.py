@@ -104,18 +104,16 @@ class Fixtures:
 
     @cached_property
     def sales(self) -> DataFrame:
-        month = F.date_format("o_orderdate", "yyyyMM")
-        orders = self.table("orders").select(
-            "o_orderkey", "o_custkey", "o_orderstatus", month.alias("date"), F.substring(month, 1, 4).alias("year"),
-            month_to_quarter(month).alias("quarter"),
-        )
+        orders = self.table("orders").select("o_orderkey", "o_custkey", "o_orderstatus", F.date_format("o_orderdate", "yyyyMM").alias("date"))
         lines = self.table("lineitem").select(
-            "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus"
+            "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus",
+            F.floor("l_extendedprice").cast("double").alias("sales"),
         )
-        rows = spread(lines, self.parts, "l_orderkey").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        rows = spread(rows, self.parts, "o_custkey").join(self.places, F.col("o_custkey") == F.col("c_custkey"))
+        # Lines move twice, to their order with its centre and to their pack; what follows from the month comes last.
+        placed = spread(orders, self.parts, "o_custkey").join(self.places, F.col("o_custkey") == F.col("c_custkey"))
+        rows = spread(lines, self.parts, "l_orderkey").join(placed, F.col("l_orderkey") == F.col("o_orderkey"))
         rows = spread(rows, self.parts, "l_partkey").join(self.packs, F.col("l_partkey") == F.col("p_partkey"))
-        return rows.withColumns({"units": F.col("l_quantity"), "sales": F.floor("l_extendedprice").cast("double")})
+        return rows.withColumns({"year": F.substring("date", 1, 4), "quarter": month_to_quarter("date"), "units": F.col("l_quantity")})
 
     @cached_property
     def raw_panel(self) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelproj.functions import (
@@ -18,8 +18,7 @@ from panelproj.functions import (
     substring_between,
     sum_known,
 )
-from panelproj.operators.relational import first_of_equal, lookup_matched, na_join, spread, sum_by, tag_rows
-from panelproj.sources import materialize
+from panelproj.operators.relational import first_of_equal, lookup_matched, spread, sum_by, tag_rows
 
 # Administrative suffixes, the label for a municipality's own
 # districts with the city it stands for, and two pack-code prefix successions.
@@ -151,23 +150,20 @@ def combine_panels(*facts: DataFrame, parts: int | None = None) -> DataFrame:
 
     The row order behind "first" is: source position, then the row's position in its files
     if all facts carry it (`_pos`), else the fact's business key. A transaction present in
-    two sources counts twice. The sources are summed per source first and written once to
-    the shared folder. The join hashes the places, one row a centre, so the facts are not
-    sorted; `parts` is the number of partitions to group large facts in.
+    two sources counts twice. The facts move once, dealt by centre: it is part of the fact
+    key, so they are placed and summed where they are, and none are written between. Facts
+    of one place leave a task together, which takes fewer bytes. With `parts`, large facts
+    are dealt into twice as many: a task sorts its facts and groups them as well. A centre's
+    facts are in one task.
     """
-    tagged = spread(tag_rows(facts), parts, *FACT_KEYS)
-    if all("_pos" in f.columns for f in facts):
-        sums = [sum_known(m).alias(m) for m in ("units", "sales")]
-        stacked = materialize(tagged.groupBy("_src", *FACT_KEYS).agg(*sums, F.min("_pos").alias("_pos")), "stacked-panels")
-        # few rows a centre before the first one is chosen
-        places = stacked.groupBy("pchc", *PLACE, "_src").agg(F.min("_pos").alias("_pos"))
-        first = places.groupBy("pchc").agg(*[first_known(c, ["_src", "_pos"]).alias(c) for c in PLACE])
-    else:
-        stacked = materialize(sum_by(tagged, ["_src", *FACT_KEYS], ["units", "sales"]), "stacked-panels")
-        order = ["_src", "date", "market", "packid", *PLACE]
-        first = spread(stacked, parts, "pchc").groupBy("pchc").agg(*[first_known(c, order).alias(c) for c in PLACE])
-    unified = na_join(stacked.drop(*PLACE), first.hint("shuffle_hash"), ["pchc"], "inner")
-    return sum_by(spread(unified, parts, *FACT_KEYS), FACT_KEYS, ["units", "sales"]).withColumn("flag", F.lit(0))
+    placed = all("_pos" in f.columns for f in facts)
+    stacked = tag_rows(facts).select(*FACT_COLUMNS, "_src", *(["_pos"] if placed else []))
+    dealt = spread(stacked.sortWithinPartitions(F.xxhash64(*PLACE)), parts and 2 * parts, "pchc")
+    order = ["_src", "_pos"] if placed else ["_src", "date", "market", "packid", *PLACE]
+    centre = Window.partitionBy("pchc").orderBy(*[F.col(c).asc_nulls_last() for c in order])
+    whole = centre.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    unified = dealt.withColumns({c: F.first(c, ignorenulls=True).over(whole) for c in PLACE})
+    return sum_by(unified, FACT_KEYS, ["units", "sales"]).withColumn("flag", F.lit(0))
 
 
 def channel_extract(

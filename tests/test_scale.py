@@ -42,6 +42,94 @@ def test_combined_panels_in_parts(spark, rows):
     assert rows(combine_panels(*places, parts=9)) == rows(combine_panels(*places))
 
 
+def first_places(stacked, order):
+    """Centre -> its first known province, city and district, one by one."""
+    found = {}
+    for r in sorted(stacked, key=lambda r: [(r[c] is None, r[c] or 0) for c in order]):
+        for c in ("province", "city", "district"):
+            if r[c] is not None:
+                found.setdefault((r["pchc"], c), r[c])
+    return found
+
+
+def test_combined_panels_take_first_places(spark):
+    both = [facts(spark, "a").withColumn("city", F.when(F.col("packid") != "0000000", F.col("city"))), facts(spark, "b")]
+    for sources in (both, [f.withColumn("_pos", F.xxhash64("date", "packid", "city", "pchc")) for f in both]):
+        order = ["_src", "_pos"] if "_pos" in sources[0].columns else ["_src", "date", "market", "packid", "province", "city", "district"]
+        stacked = [r.asDict() | {"_src": i} for i, f in enumerate(sources) for r in f.collect()]
+        found, sums = first_places(stacked, order), {}
+        for r in stacked:
+            r |= {c: found.get((r["pchc"], c)) for c in ("province", "city", "district")}
+            total = sums.setdefault(tuple(r[c] for c in FACT_COLUMNS[:-2]), [0.0, 0.0])
+            total[:] = total[0] + r["units"], total[1] + r["sales"]
+        for parts in (None, 9):
+            got = combine_panels(*sources, parts=parts)
+            assert got.columns == [*FACT_COLUMNS, "flag"]
+            assert {tuple(r[:9]): [r["units"], r["sales"]] for r in got.collect()} == sums
+
+
+def test_combined_facts_move_once(spark, capsys):
+    first, second = facts(spark, "a"), facts(spark, "b")
+    for sources in ([first, second], [f.withColumn("_pos", F.xxhash64("date", "packid")) for f in (first, second)]):
+        for parts in (None, 9):
+            out = combine_panels(*sources, parts=parts)
+            assert out.inputFiles() == []  # none are written between
+            out.explain()
+            assert capsys.readouterr().out.count("Exchange hashpartitioning(") == 1
+
+
+def moves(plan, column):
+    """For each scan that begins with a column, how many exchanges its rows pass."""
+    above, found = [], []
+    for line in plan.splitlines():
+        if ("+- " in line or ":- " in line) and "Physical Plan" not in line:
+            at = min(line.find(m) for m in ("+- ", ":- ") if m in line)
+            above = [x for x in above if x[0] < at] + [(at, "Exchange " in line)]
+            if f"FileScan parquet [{column}#" in line:
+                found.append(sum(x[1] for x in above))
+    return found
+
+
+def test_order_lines_move_twice(spark, tmp_path, monkeypatch, capsys):
+    """To their order, which has its centre by then, and to their pack."""
+    monkeypatch.setattr(fixtures, "PART_ROWS", 1)
+    lines = [(i, i, i, 1, 1.0, 1.0, 0.0, 0.0, "A", "F", None) for i in range(20)]
+    for name, schema in fixtures.TABLES.items():
+        spark.createDataFrame(lines if name == "lineitem" else [], schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        fixtures.Fixtures(spark, str(tmp_path)).sales.explain()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert moves(capsys.readouterr().out, "l_orderkey") == [2]
+
+
+def test_sales_keep_all_matches(spark, tmp_path, rows):
+    """Repeated keys multiply, missing ones match nothing."""
+    made = {
+        "region": [(0, "R")], "nation": [(7, "N", 0)], "supplier": [],
+        "customer": [(1, "Customer#1", 7, 5.5, "S"), (1, "Customer#1b", 7, None, None), (None, "x", 7, 1.0, "S"), (2, "Customer#2", None, 1.0, "S")],
+        "part": [(3, "p", "Brand#1", "LARGE", 4, 9.0), (3, "q", None, None, None, None), (None, "r", "Brand#1", "SMALL", 1, 1.0)],
+    }
+    for name, data in made.items():
+        spark.createDataFrame(data, fixtures.TABLES[name]).write.parquet(f"{tmp_path}/{name}.parquet")
+    when = "timestamp_ntz'1995-05-09 00:00:00'"
+    spark.sql(
+        f"SELECT * FROM VALUES (8L, 1L, 'P', 1.0D, {when}, 'x'), (8L, 1L, 'F', 1.0D, null, 'x'), (9L, null, 'P', 1.0D, {when}, 'x'), (null, 1L, 'P', 1.0D, {when}, 'x') "
+        "AS t(o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority)"
+    ).write.parquet(f"{tmp_path}/orders.parquet")
+    lines = [(8, 3, 1, 1, 2.0, 10.7, 0.0, 0.0, "A", "F", None), (9, 3, 1, 1, 2.0, 10.7, 0.0, 0.0, "A", "F", None), (None, 3, 1, 1, 2.0, 1.0, 0.0, 0.0, "A", "F", None), (8, None, 1, 1, 2.0, 1.0, 0.0, 0.0, "A", "F", None)]
+    spark.createDataFrame(lines, fixtures.TABLES["lineitem"]).write.parquet(f"{tmp_path}/lineitem.parquet")
+    got = rows(fixtures.Fixtures(spark, str(tmp_path)).sales, "o_orderstatus", "year", "date", "quarter", "pchc", "est", "province", "city", "district", "packid", "market", "units", "sales")
+    want = [
+        (*order, *centre, *pack, 2.0, 10.0)
+        for order in (("P", "1995", "199505", "1995Q2"), ("F", None, None, None))
+        for centre in (("C1", 5.0, "R", "N", "S"), ("C1b", None, "R", "N", None))
+        for pack in (("0000104", "Diabetes"), (None, None))
+    ]
+    assert len(got) == 8 and set(got) == set(want)
+
+
 def test_centre_months_in_parts(spark, rows):
     panel = facts(spark, "a")
     months = [f"2000{m:02d}" for m in range(1, 6)]
